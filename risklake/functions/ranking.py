@@ -7,27 +7,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from risklake.session import shared_dir
+from risklake.session import cut_lineage
 
 
 def exact_percentile(
-    df: DataFrame, by: str, value: str, p: float, name: str, widths: Sequence[float] = (1.0, 0.001)
+    counted: DataFrame, by: str, value: str, n: str, p: float, name: str,
+    widths: Sequence[float] = (1.0, 0.001),
 ) -> DataFrame:
     """Smallest value of each group that at least a share ``p`` of its rows do not exceed.
 
-    Counting narrows the value down: first the interval of width ``widths[0]`` that holds
-    it, then the finer one inside, then the value. Each step is one aggregate and a window
-    over interval counts, so neither a group's rows nor its values come together.
+    ``counted`` has one row per group and value, with the number of rows ``n``, and is best
+    a stored table, as it is read several times. Counting narrows the value down: first
+    the interval of width ``widths[0]`` that holds it, then the finer one inside, then the
+    value. Each step is one aggregate and a window over interval counts, so neither a
+    group's rows nor its values come together.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(
-        F.col(by), F.col(value).cast("double").alias("_v"), F.lit(None).cast("long").alias("_rank")
+    rows = counted.filter(F.col(value).isNotNull()).select(
+        F.col(by), F.col(value).cast("double").alias("_v"), F.col(n).alias("_n"),
+        F.lit(None).cast("long").alias("_rank"),
     )
     ordered = Window.partitionBy(by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(by)
     for cell in [F.floor(F.col("_v") / w) for w in widths] + [F.col("_v")]:
         within = rows.withColumn("_cell", cell)
         counts = within.groupBy(by, "_cell").agg(
-            F.count(F.lit(1)).alias("_n"), F.max("_rank").alias("_rank")
+            F.sum("_n").alias("_n"), F.max("_rank").alias("_rank")
         )
         # At first the wanted rank follows from the group's size, then from the step before.
         wanted = F.coalesce(F.col("_rank"), F.ceil(F.sum("_n").over(whole) * F.lit(p)))
@@ -42,7 +46,7 @@ def exact_percentile(
         )
         rows = within.join(
             found, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_cell") == F.col("_found"))
-        ).select(by, "_v", F.col("_inner_rank").alias("_rank"))
+        ).select(by, "_v", "_n", F.col("_inner_rank").alias("_rank"))
     return found.select(F.col("_by").alias(by), F.col("_found").alias(name))
 
 
@@ -54,11 +58,9 @@ def with_global_rank(df: DataFrame, order: Sequence[Column], name: str) -> DataF
     because both the sizes and the ranks must see the same partition limits even if an
     executor is lost in between.
     """
-    spark = df.sparkSession
-    shared_dir(spark)
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     # Upper bits of the id are the partition, the lower 33 the place in it.
-    placed = ranged.withColumn("_id", F.monotonically_increasing_id()).checkpoint(eager=True)
+    placed = cut_lineage(ranged.withColumn("_id", F.monotonically_increasing_id()))
     part = F.shiftright("_id", 33)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
     # One row per partition, so one task may sum them up.

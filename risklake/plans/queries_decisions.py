@@ -59,12 +59,12 @@ def verdict_counters(spark, sf_dir):
 def _histogram_sql(source: str) -> str:
     rows = " UNION ALL ".join(
         f"SELECT agent_type, '{b}' AS le, count(*) FILTER (latency_ms / 1000.0 <= {b}) AS cumulative, "
-        f"count(*) AS observations, round(sum(latency_ms / 1000.0), 4) AS sum_seconds "
+        f"count(*) AS observations, round(sum(latency_ms / 1000.0), 6) AS sum_seconds "
         f"FROM {source} GROUP BY agent_type"
         for b in LATENCY_BOUNDS_S
     )
     return rows + (
-        f" UNION ALL SELECT agent_type, '+Inf', count(*), count(*), round(sum(latency_ms / 1000.0), 4) "
+        f" UNION ALL SELECT agent_type, '+Inf', count(*), count(*), round(sum(latency_ms / 1000.0), 6) "
         f"FROM {source} GROUP BY agent_type"
     )
 
@@ -72,7 +72,7 @@ def _histogram_sql(source: str) -> str:
 @register("latency_histogram", with_parts(_histogram_sql("verdicts"), "verdicts"))
 def latency_histogram(spark, sf_dir):
     verdicts = scoring.score_all(enriched_rows(spark, sf_dir), SCORING)
-    return rounded(analytics.latency_histogram(verdicts, "latency_ms", ["agent_type"]), 4, "sum_seconds")
+    return rounded(analytics.latency_histogram(verdicts, "latency_ms", ["agent_type"]), 6, "sum_seconds")
 
 
 # --- decisions -------------------------------------------------------------------------

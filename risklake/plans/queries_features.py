@@ -26,8 +26,8 @@ _RAW = """
            CASE WHEN k = 60 THEN NULL WHEN k = 61 THEN 'nope' ELSE CAST(event_time AS STRING) END AS "timestamp"
     FROM txns"""
 _GATED = f"""
-    FROM (SELECT *, TRY_CAST("timestamp" AS TIMESTAMP) AS at, TRY_CAST(amount AS DOUBLE) AS paid FROM ({_RAW}))"""
-_PASSES = "transaction_id IS NOT NULL AND user_id IS NOT NULL AND coalesce(paid > 0, false) AND at IS NOT NULL"
+    FROM (SELECT *, TRY_CAST("timestamp" AS TIMESTAMP) AS seen, TRY_CAST(amount AS DOUBLE) AS paid FROM ({_RAW}))"""
+_PASSES = "transaction_id IS NOT NULL AND user_id IS NOT NULL AND coalesce(paid > 0, false) AND seen IS NOT NULL"
 
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def dq_good(spark, sf_dir):
               CASE WHEN transaction_id IS NULL THEN 'transaction_id missing' END,
               CASE WHEN user_id IS NULL THEN 'user_id missing' END,
               CASE WHEN NOT coalesce(paid > 0, false) THEN 'amount not positive' END,
-              CASE WHEN at IS NULL THEN 'timestamp missing' END) AS reasons
+              CASE WHEN seen IS NULL THEN 'timestamp missing' END) AS reasons
             {_GATED} WHERE NOT ({_PASSES})""",
         "txns",
     ),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime options the operators rely on. All can be changed on a live session.
 RUNTIME_OPTIONS = {
@@ -58,3 +58,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Store ``df`` in the shared folder and go on from there, so that plans which read it
+    several times compute it once, and alike, even if an executor is lost in between."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
