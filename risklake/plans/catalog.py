@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from risklake.plans import queries_decisions, queries_features  # noqa: F401  (they register)
+from risklake.plans import queries_decisions, queries_features, queries_streaming  # noqa: F401  (they register)
 from risklake.plans.registry import CHECKS, QUERIES, Query
 
 

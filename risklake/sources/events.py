@@ -61,6 +61,16 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_transactions(spark.read.parquet(events_path(sf_dir)))
 
 
+def stream_events(spark: SparkSession, sf_dir: str, max_files: int | None = None) -> DataFrame:
+    """The table as a stream; ``max_files`` bounds a micro-batch."""
+    schema = spark.read.parquet(events_path(sf_dir)).schema
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    # A pattern, so that the table may be one file or a folder of files.
+    return reader.parquet(f"{sf_dir.rstrip('/')}/event[s].parquet")
+
+
 def transaction_messages(events: DataFrame) -> DataFrame:
     """The transactions as the JSON messages they would arrive in: amount and time as text."""
     from risklake import schemas

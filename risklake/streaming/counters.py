@@ -7,15 +7,21 @@ window spans and not the number of a busy user's transactions.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from risklake.config import VelocityConfig
+from risklake.operators.feature_store import USER_TRANSACTION_STATS, push
+from risklake.operators.quality import normalise, split_valid
+from risklake.sources import lake
+from risklake.streaming.windows import dedupe
 
 OUTPUT = (
     "user_id string, transaction_id string, event_time timestamp, txn_count_1h long, "
@@ -23,19 +29,23 @@ OUTPUT = (
 )
 MINUTE = 60_000_000
 
+# The processor travels with the job; workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class TrailingCounters(StatefulProcessor):
-    def __init__(self, cfg: VelocityConfig, lateness_s: int):
+    def __init__(self, cfg: VelocityConfig, lateness_s: int, include_self: bool):
+        self.include_self = include_self
         self.short, self.long = cfg.short_s * 1_000_000, cfg.long_s * 1_000_000
         self.keep = self.long + lateness_s * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        ttl = (self.keep // 1000) * 2
+        self.handle = handle
         self.totals = handle.getMapState(
-            "totals", "minute long", "n long, amount double, merchants array<string>", ttl
+            "totals", "minute long", "n long, amount double, merchants array<string>"
         )
         self.details = handle.getMapState(
-            "details", "minute long", "us array<bigint>, amount array<double>, merchant array<string>", ttl
+            "details", "minute long", "us array<bigint>, amount array<double>, merchant array<string>"
         )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -60,27 +70,36 @@ class TrailingCounters(StatefulProcessor):
             seen = set().union(*(totals[m][2] for m in inside)) if want_merchants else set()
             for m in {first, own}:
                 for u, a, merchant in zip(*detail(m)):
-                    if us - width <= u < us:
+                    if us - width <= u < us + self.include_self:
                         n, amount = n + 1, amount + a
                         if merchant is not None:
                             seen.add(merchant)
             return n, amount, len(seen)
 
-        results, changed = [], set()
-        for us, same_instant in new.groupby("us", sort=True):
-            short, long = window(us, self.short, True), window(us, self.long, False)
+        def record(us: int, rows: pd.DataFrame) -> None:
             minute = us // MINUTE
-            for row in same_instant.itertuples(index=False):
-                results.append((key[0], row.transaction_id, us, short[0], short[1], long[0], long[1], short[2]))
             held, (n, amount, seen) = detail(minute), totals.get(minute, (0, 0.0, set()))
-            for row in same_instant.itertuples(index=False):
+            for row in rows.itertuples(index=False):
                 merchant = row.merchant_id if isinstance(row.merchant_id, str) else None
-                held[0].append(int(us)), held[1].append(float(row.amount)), held[2].append(merchant)
+                held[0].append(us)
+                held[1].append(float(row.amount))
+                held[2].append(merchant)
                 n, amount = n + 1, amount + float(row.amount)
                 seen = seen | {merchant} if merchant is not None else seen
             totals[minute] = (n, amount, seen)
             changed.add(minute)
 
+        results, changed = [], set()
+        for us, same_instant in new.groupby("us", sort=True):
+            us = int(us)
+            if self.include_self:
+                record(us, same_instant)
+            short, long = window(us, self.short, True), window(us, self.long, False)
+            for transaction_id in same_instant["transaction_id"]:
+                results.append((key[0], transaction_id, us, *short[:2], *long[:2], short[2]))
+            if not self.include_self:
+                record(us, same_instant)
+
         oldest = (max([int(new["us"].max()), *(m * MINUTE for m in totals)]) - self.keep) // MINUTE
         for minute in changed:
             if minute >= oldest:
@@ -92,26 +111,67 @@ class TrailingCounters(StatefulProcessor):
                 self.totals.removeKey((int(minute),))
                 self.details.removeKey((int(minute),))
 
+        # Forget the user once a whole window has passed without a new row.
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(((max(totals) + 1) * MINUTE + self.keep) // 1000)
+
         names = [c.split()[0] for c in OUTPUT.split(", ")]
         out = pd.DataFrame(results, columns=names)
         out["event_time"] = pd.to_datetime(out["event_time"].astype(np.int64), unit="us", utc=True)
         yield out
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.totals.clear()
+        self.details.clear()
+        yield from ()
+
     def close(self) -> None:
         pass
 
 
 def stream_velocity(
-    txns: DataFrame, cfg: VelocityConfig = VelocityConfig(), lateness_s: int = 600
+    txns: DataFrame,
+    cfg: VelocityConfig = VelocityConfig(),
+    lateness_s: int = 600,
+    include_self: bool = False,
 ) -> DataFrame:
     """Streaming form of ``velocity_features``; needs the RocksDB state store.
 
-    Rows are taken in time order within a micro-batch. A row that comes late sees the past
-    of its own time; rows already given out are not corrected.
+    Rows are taken in time order within a micro-batch. A row that comes late, but before
+    the watermark, sees the past of its own time; rows already given out are not corrected.
+    ``include_self`` counts the row's own instant too, which is what the next look-up
+    should find. Event time drives the clean-up, so a replayed stream behaves alike.
     """
-    rows = txns.select(
-        "user_id", "transaction_id", F.unix_micros("event_time").alias("us"), "amount", "merchant_id"
+    marked = "spark.watermarkDelayMs" in txns.schema["event_time"].metadata
+    rows = txns if marked else txns.withWatermark("event_time", f"{lateness_s} seconds")
+    narrow = rows.select(
+        "user_id", "transaction_id", "event_time", F.unix_micros("event_time").alias("us"),
+        "amount", "merchant_id",
     )
-    return rows.groupBy("user_id").transformWithStateInPandas(
-        TrailingCounters(cfg, lateness_s), OUTPUT, "append", "ProcessingTime"
+    return narrow.groupBy("user_id").transformWithStateInPandas(
+        TrailingCounters(cfg, lateness_s, include_self), OUTPUT, "append", "EventTime"
+    )
+
+
+def start_counter_updates(
+    txns: DataFrame,
+    base: str,
+    cfg: VelocityConfig = VelocityConfig(),
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep the online velocity view current from a decoded transaction stream."""
+    good, _ = split_valid(normalise(txns))
+    # A repeated delivery is no second purchase.
+    counters = stream_velocity(dedupe(good, "transaction_id"), cfg, include_self=True)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.withColumnRenamed("event_time", USER_TRANSACTION_STATS.ts_col)
+        push(USER_TRANSACTION_STATS, rows, lake.layer(base, "online"), batch_id)
+
+    return (
+        counters.writeStream.foreachBatch(store)
+        .option("checkpointLocation", f"{lake.layer(base, 'checkpoints')}/counters")
+        .trigger(**(trigger or {"processingTime": "500 milliseconds"}))
+        .start()
     )
