@@ -31,7 +31,8 @@ def gate_reasons(df: DataFrame) -> Column:
         {
             "transaction_id missing": F.col("transaction_id").isNotNull(),
             "user_id missing": F.col("user_id").isNotNull(),
-            "amount not positive": F.col("amount") > 0,
+            # NaN sorts above every number, so an upper limit is needed to keep it out.
+            "amount not positive": (F.col("amount") > 0) & (F.col("amount") < float("inf")),
             "timestamp missing": readable,
         }
     )
