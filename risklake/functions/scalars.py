@@ -48,7 +48,7 @@ def stable_id(*parts: Column) -> Column:
 
 def fixed(value: Column, digits: int) -> Column:
     """Number as text with a fixed count of decimals, ties away from zero."""
-    return F.format_string(f"%.{digits}f", F.round(value.cast("double"), digits))
+    return value.try_cast(f"decimal(38,{digits})").cast("string")
 
 
 def micros(ts: Column) -> Column:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from risklake.config import AGENTS, DecisionConfig
+from risklake.config import AGENTS, DecisionConfig, ScoringConfig
 from risklake.functions.scalars import fixed, risk_bucket, stable_id
+from risklake.operators import scoring
 from risklake.operators.quality import only_verdicts
 
 _FIELDS = ("agent_type", "risk_score", "reasoning", "latency_ms")
@@ -86,26 +89,11 @@ def needs_explanation(verdicts: Column, cfg: DecisionConfig = DecisionConfig())
     return (mean >= cfg.review_from) & (mean < cfg.decline_at)
 
 
-def decide(
-    collected: DataFrame, cfg: DecisionConfig = DecisionConfig(), explanation: str | None = None
+def _conclude(
+    df: DataFrame, mean: Column, latency: Column, listed: Column, cfg: DecisionConfig, explanation: str | None
 ) -> DataFrame:
-    """Decisions for rows with ``transaction_id`` and a ``verdicts`` array.
-
-    Purely column expressions, so it joins the stage of whatever built the array. Other
-    columns pass through. ``explanation`` names a text column to append to the reasoning.
-    """
-    scored = collected.withColumns(
-        {
-            "final_risk_score": final_score(F.col("verdicts"), cfg),
-            "total_latency_ms": _total(F.col("verdicts"), lambda v: v["latency_ms"]),
-            "needs_explanation": needs_explanation(F.col("verdicts"), cfg),
-        }
-    )
+    """Decision columns for rows that have ``final_risk_score``."""
     score = F.col("final_risk_score")
-    listed = F.array_join(
-        F.transform("verdicts", lambda v: F.concat(v["agent_type"], F.lit(": "), fixed(v["risk_score"], 3))),
-        ", ",
-    )
     parts = [
         F.concat(F.lit("Agent scores — "), listed),
         F.concat(F.lit("Weighted score: "), fixed(score, 4), F.lit(" → action: "), action(score, cfg)),
@@ -113,17 +101,72 @@ def decide(
     if explanation:
         said = F.nullif(F.col(explanation), F.lit(""))
         parts.append(F.concat(F.lit("LLM analysis: "), said))
-    return scored.withColumns(
+    return df.withColumns(
         {
             # The same transaction always gets the same id, so a repeated run replaces.
             "decision_id": stable_id(F.lit("decision"), F.col("transaction_id")),
             "action": action(score, cfg),
             "risk_level": decision_level(score, cfg),
+            "needs_explanation": (mean >= cfg.review_from) & (mean < cfg.decline_at),
+            "total_latency_ms": latency,
             "reasoning": F.concat_ws(" | ", *parts),
         }
     )
 
 
+def decide(
+    collected: DataFrame, cfg: DecisionConfig = DecisionConfig(), explanation: str | None = None
+) -> DataFrame:
+    """Decisions for rows with ``transaction_id`` and a ``verdicts`` array.
+
+    Purely column expressions, so it joins the stage of whatever built the array. Other
+    columns pass through. ``explanation`` names a text column to append to the reasoning.
+    """
+    verdicts = F.col("verdicts")
+    listed = F.array_join(
+        F.transform(verdicts, lambda v: F.concat(v["agent_type"], F.lit(": "), fixed(v["risk_score"], 3))),
+        ", ",
+    )
+    return _conclude(
+        collected.withColumn("final_risk_score", final_score(verdicts, cfg)),
+        mean_score(verdicts),
+        _total(verdicts, lambda v: v["latency_ms"]),
+        listed, cfg, explanation,
+    )
+
+
+def decide_enriched(
+    enriched: DataFrame,
+    scoring_cfg: ScoringConfig = ScoringConfig(),
+    cfg: DecisionConfig = DecisionConfig(),
+) -> DataFrame:
+    """``decide(with_verdicts(enriched))`` for all four agents at once.
+
+    Scores stay plain numbers up to the decision, so everything compiles into one stage,
+    and a roll-up that never looks at ``verdicts`` or ``reasoning`` does not build them.
+    """
+    scored = scoring.with_scores(enriched, scoring_cfg)
+    scores = [F.col(f"_score_{a}") for a in AGENTS]
+
+    def add(columns: list[Column]) -> Column:
+        return reduce(lambda total, c: total + c, columns, F.lit(0.0))
+
+    weights = [float(cfg.weights.get(a, cfg.default_weight)) for a in AGENTS]
+    mean = add([s * w for s, w in zip(scores, weights)]) / add([F.lit(w) for w in weights])
+    given = F.array(
+        *[scoring.verdict(scored, a, scoring_cfg, s) for a, s in zip(AGENTS, scores)]
+    )
+    listed = F.concat_ws(", ", *[F.concat(F.lit(f"{a}: "), fixed(s, 3)) for a, s in zip(AGENTS, scores)])
+    return _conclude(
+        scored.withColumns(
+            {"final_risk_score": F.round(F.least(mean, F.lit(1.0)), 4), "verdicts": given}
+        ),
+        add(scores) / len(AGENTS),
+        add([scoring.latency(scored)] * len(AGENTS)),
+        listed, cfg, None,
+    ).drop(*[f"_score_{a}" for a in AGENTS])
+
+
 def explanation_requests(collected: DataFrame, cfg: DecisionConfig = DecisionConfig()) -> DataFrame:
     """JSON payload per ambiguous transaction, for whoever writes the explanation."""
     signals = F.transform(

@@ -166,17 +166,25 @@ _RULES = {
 }
 
 
-def verdict(df: DataFrame, agent: str, cfg: ScoringConfig = ScoringConfig()) -> Column:
-    """One agent's verdict as a struct column.
-
-    ``latency_ms`` is taken from ``df`` where it has such a column: a set-based job has no
-    time per row to measure.
-    """
-    rules = _RULES[agent](df, cfg)
-    points = [F.when(fires, F.lit(float(p))).otherwise(0.0) for fires, p, _ in rules]
-    score = F.least(reduce(lambda total, p: total + p, points, F.lit(0.0)), F.lit(1.0))
-    messages = F.concat_ws("; ", *[F.when(fires, F.coalesce(m, F.lit(""))) for fires, _, m in rules])
-    latency = F.col("latency_ms").cast("double") if "latency_ms" in df.columns else F.lit(0.0)
+def risk_score(df: DataFrame, agent: str, cfg: ScoringConfig = ScoringConfig()) -> Column:
+    points = [F.when(fires, F.lit(float(p))).otherwise(0.0) for fires, p, _ in _RULES[agent](df, cfg)]
+    return F.least(reduce(lambda total, p: total + p, points, F.lit(0.0)), F.lit(1.0))
+
+
+def latency(df: DataFrame) -> Column:
+    """``latency_ms`` of ``df`` where it has such a column: a set-based job has no time per
+    row to measure."""
+    return F.col("latency_ms").cast("double") if "latency_ms" in df.columns else F.lit(0.0)
+
+
+def verdict(
+    df: DataFrame, agent: str, cfg: ScoringConfig = ScoringConfig(), score: Column | None = None
+) -> Column:
+    """One agent's verdict as a struct column; ``score`` if it has been computed before."""
+    score = risk_score(df, agent, cfg) if score is None else score
+    messages = F.concat_ws(
+        "; ", *[F.when(fires, F.coalesce(m, F.lit(""))) for fires, _, m in _RULES[agent](df, cfg)]
+    )
     return F.struct(
         F.lit(agent).alias("agent_type"),
         score.alias("risk_score"),
@@ -184,7 +192,7 @@ def verdict(df: DataFrame, agent: str, cfg: ScoringConfig = ScoringConfig()) ->
         F.lit(cfg.confidence[agent]).alias("confidence"),
         F.when(messages == "", NOTHING_FOUND[agent]).otherwise(messages).alias("reasoning"),
         F.array(*[F.lit(f) for f in FEATURES_USED[agent]]).alias("features_used"),
-        latency.alias("latency_ms"),
+        latency(df).alias("latency_ms"),
     )
 
 
@@ -210,9 +218,16 @@ def score_network(enriched: DataFrame, cfg: ScoringConfig = ScoringConfig()) ->
     return _score(enriched, "network", cfg)
 
 
+def with_scores(enriched: DataFrame, cfg: ScoringConfig = ScoringConfig()) -> DataFrame:
+    """Add ``_score_<agent>``: plain numbers, so that whoever needs only these pays only for these."""
+    return enriched.withColumns({f"_score_{a}": risk_score(enriched, a, cfg) for a in AGENTS})
+
+
 def with_verdicts(enriched: DataFrame, cfg: ScoringConfig = ScoringConfig()) -> DataFrame:
     """Add ``verdicts``, the four agents' verdicts in their fixed order. No shuffle."""
-    return enriched.withColumn("verdicts", F.array(*[verdict(enriched, a, cfg) for a in AGENTS]))
+    scored = with_scores(enriched, cfg)
+    given = F.array(*[verdict(scored, a, cfg, F.col(f"_score_{a}")) for a in AGENTS])
+    return scored.withColumn("verdicts", given).drop(*[f"_score_{a}" for a in AGENTS])
 
 
 def score_all(enriched: DataFrame, cfg: ScoringConfig = ScoringConfig()) -> DataFrame:

@@ -7,8 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from risklake.config import DecisionConfig, ScoringConfig, TrainingConfig
-from risklake.operators import analytics, behavioral, decisions, quality, scoring, training
+from risklake.config import TrainingConfig
+from risklake.operators import analytics, behavioral, quality, training
 from risklake.operators.feature_store import USER_BEHAVIORAL_STATS, materialize, push
 from risklake.sources import lake
 
@@ -22,15 +22,6 @@ ROLLUP_CLUSTERS = {
 }
 
 
-def decided(
-    enriched: DataFrame,
-    scoring_cfg: ScoringConfig = ScoringConfig(),
-    decision_cfg: DecisionConfig = DecisionConfig(),
-) -> DataFrame:
-    """Enriched transactions with verdicts and decision, without any shuffle."""
-    return decisions.decide(scoring.with_verdicts(enriched, scoring_cfg), decision_cfg)
-
-
 def compute_features(
     spark: SparkSession, base: str, as_of: dt.datetime, batch_id: int, days: int = 30,
     min_rows: int = 100, files: int = 16,

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from risklake.config import AGENTS, LATENCY_BOUNDS_S, TrainingConfig
 from risklake.operators import analytics, decisions, quality, scoring, training
-from risklake.plans.jobs import decided
 from risklake.plans.queries_features import enriched_rows
 from risklake.plans.registry import register, rounded
 from risklake.plans.sql_parts import DECIDING, SCORING, with_parts
@@ -79,7 +78,7 @@ def latency_histogram(spark, sf_dir):
 
 
 def decided_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decided(enriched_rows(spark, sf_dir), SCORING, DECIDING)
+    return decisions.decide_enriched(enriched_rows(spark, sf_dir), SCORING, DECIDING)
 
 
 @register(

@@ -183,6 +183,16 @@ def test_explanations_and_training_records(spark):
     assert len({r["decision_id"] for r in again}) == 2
 
 
+def test_fused_decision_is_the_same(spark):
+    df = enriched(spark, [c[0] for a in AGENTS for c in CASES[a]]).withColumn("latency_ms", F.lit(7.25))
+    fused, stepwise = decisions.decide_enriched(df), decisions.decide(scoring.with_verdicts(df))
+    assert sorted(fused.columns) == sorted(stepwise.columns)
+    rows = [sorted((str(r.asDict(True)) for r in x.select(sorted(x.columns)).collect())) for x in (fused, stepwise)]
+    assert rows[0] == rows[1]
+    slim = fused.groupBy("action").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "reasoning" not in slim and "features_used" not in slim
+
+
 def test_threshold_must_fit_the_band():
     with pytest.raises(ValueError):
         DecisionConfig(review_from=0.8)
