@@ -39,15 +39,23 @@ def enrich(
     return with_defaults(get_online_features(refs, txns, stores, moment))
 
 
-def only_keys_of(store: DataFrame, batch: DataFrame, view: str) -> DataFrame:
-    """The part of a feature table a micro-batch can ask for.
+def only_keys_of(stores: dict[str, DataFrame], batch: DataFrame, max_keys: int = 500_000) -> dict[str, DataFrame]:
+    """The parts of the feature tables that a micro-batch can ask for.
 
-    The batch is bounded by its source's per-trigger limit, so its keys may be broadcast;
-    the feature table, which may be of any size, is then only filtered and never shuffled
-    whole.
+    The keys of a batch, if there are no more than ``max_keys``, are broadcast, so that a
+    feature table of any size is filtered where it lies and never shuffled whole. The keys
+    are counted to see; a larger batch, as of a first catch-up, gets the plain join.
     """
-    keys = list(VIEWS[view].keys)
-    return store.join(F.broadcast(batch.select(*keys).distinct()), keys, "left_semi")
+    needed = {}
+    for keys in dict.fromkeys(VIEWS[name].keys for name in stores):
+        distinct = batch.select(*keys).distinct()
+        few = distinct.limit(max_keys + 1).count() <= max_keys
+        for name in stores:
+            if VIEWS[name].keys == keys:
+                needed[name] = (
+                    stores[name].join(F.broadcast(distinct), list(keys), "left_semi") if few else stores[name]
+                )
+    return needed
 
 
 PROFILE = ("avg_txn_amount_30d", "amount_deviation_score", "hour_of_day_risk_score")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -156,18 +157,27 @@ def get_online_features(
         asked.setdefault(name, []).append(feature)
     moment = as_of if isinstance(as_of, Column) else F.lit(as_of or dt.datetime.now(dt.timezone.utc))
     out = entities.withColumn("_asked_us", micros(moment))
-    for name, features in asked.items():
-        view = VIEWS[name]
-        held = stores[name].select(
-            *view.keys,
-            F.struct(micros(F.col(view.ts_col)).alias("_us"), *features).alias("_held"),
-        )
-        fresh = _within_ttl(view, F.col("_asked_us"), F.col("_held._us"))
+    for keys in dict.fromkeys(VIEWS[name].keys for name in asked):
+        # Tables of one key are put together first, one row per key each, so that the
+        # entity rows are joined once per key and AQE can split a frequent one.
+        names = [n for n in asked if VIEWS[n].keys == keys]
+        tables = [
+            stores[n].select(
+                *keys, F.struct(micros(F.col(VIEWS[n].ts_col)).alias("_us"), *asked[n]).alias(f"_{n}")
+            )
+            for n in names
+        ]
+        together = reduce(lambda left, right: left.join(right, list(keys), "full"), tables)
+        values = {
+            f: F.when(_within_ttl(VIEWS[n], F.col("_asked_us"), F.col(f"_{n}._us")), F.col(f"_{n}.{f}"))
+            for n in names
+            for f in asked[n]
+        }
         out = (
-            out.drop(*features)
-            .join(held, list(view.keys), "left")
-            .withColumns({f: F.when(fresh, F.col(f"_held.{f}")) for f in features})
-            .drop("_held")
+            out.drop(*values)
+            .join(together, list(keys), "left")
+            .withColumns(values)
+            .drop(*[f"_{n}" for n in names])
         )
     return out.drop("_asked_us")
 

@@ -7,13 +7,15 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from risklake import schemas
 from risklake.config import AGENTS, LATENCY_BOUNDS_S, TrainingConfig
 from risklake.operators import analytics, decisions, quality, scoring, training
 from risklake.plans.queries_features import enriched_rows
 from risklake.plans.registry import register, rounded
 from risklake.plans.sql_parts import DECIDING, SCORING, with_parts
+from risklake.session import scratch_path
 from risklake.sources import events as ev
-from risklake.sources import lake
+from risklake.sources import lake, messages
 from risklake.streaming.windows import velocity_windows
 
 # --- scoring ---------------------------------------------------------------------------
@@ -392,6 +394,54 @@ def batch_history(spark, sf_dir):
     )
 
 
+@register(
+    "message_round_trip",
+    with_parts(
+        "SELECT transaction_id, amount, city, latitude, CAST(k AS STRING) AS k, epoch_us(event_time) AS at_us FROM txns",
+        "txns",
+    ),
+)
+def message_round_trip(spark, sf_dir):
+    """Transactions as keyed JSON messages and back."""
+    sent = ev.transaction_messages(spark.read.parquet(ev.events_path(sf_dir)))
+    received = quality.normalise(messages.decode_json(sent, schemas.TRANSACTION))
+    return received.select(
+        "transaction_id", "amount", "city", "latitude", F.col("metadata")["k"].alias("k"),
+        F.unix_micros("event_time").alias("at_us"),
+    )
+
+
+@register(
+    "compacted_table",
+    with_parts("SELECT user_id, count(*) AS rows, round(sum(amount), 2) AS amount FROM txns GROUP BY user_id", "txns"),
+)
+def compacted_table(spark, sf_dir):
+    """The table written, compacted and clustered by user into another path, and read there."""
+    path = scratch_path(spark, "table")
+    lake.overwrite_table(ev.transactions(spark, sf_dir).select("transaction_id", "user_id", "amount"), path)
+    lake.compact(spark, path, ["user_id"], f"{path}_clustered", files=4)
+    grouped = spark.read.parquet(f"{path}_clustered").groupBy("user_id")
+    return grouped.agg(F.count(F.lit(1)).alias("rows"), F.round(F.sum("amount"), 2).alias("amount"))
+
+
+@register(
+    "upserted_table",
+    with_parts(
+        """SELECT user_id, transaction_id, amount, event_id % 3 AS batch_id FROM (
+             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 3 DESC, event_time DESC) AS r FROM txns)
+           WHERE r = 1""",
+        "txns",
+    ),
+)
+def upserted_table(spark, sf_dir):
+    """Three batches upserted by user into a stored table, the middle one twice."""
+    path = scratch_path(spark, "keyed")
+    rows = ev.transactions(spark, sf_dir).select("user_id", "transaction_id", "amount", "event_time", "event_id")
+    for batch_id in (0, 1, 1, 2):
+        lake.upsert(rows.filter(F.col("event_id") % 3 == batch_id).drop("event_id"), path, batch_id)
+    return lake.read_current(spark, path, "user_id", ("batch_id", "event_time")).drop("event_time")
+
+
 # --- training --------------------------------------------------------------------------
 
 

@@ -13,6 +13,7 @@ from risklake.operators import behavioral, device, enrich, geo, quality, velocit
 from risklake.operators import feature_store as fs
 from risklake.plans.registry import register, rounded
 from risklake.plans.sql_parts import distance_sql, with_parts
+from risklake.session import scratch_path
 from risklake.sources import events as ev
 from risklake.sources import lake
 
@@ -471,3 +472,38 @@ def enrich_from_store(spark, sf_dir):
         ),
         2, "avg_txn_amount_30d",
     )
+
+
+@register(
+    "pushed_features",
+    with_parts(
+        f"""SELECT user_id, txn_count_24h, epoch_us(event_time) AS at_us FROM ({_latest_sql('true')})""", "velocity"
+    ),
+)
+def pushed_features(spark, sf_dir):
+    """Velocity values pushed to the stored online view, newer half first, then read."""
+    base, view = scratch_path(spark, "online"), fs.USER_TRANSACTION_STATS
+    history = _velocity_history(ev.transactions(spark, sf_dir))
+    newer = F.col("event_timestamp") > F.lit(_START)
+    fs.push(view, history.filter(newer), base, 0)
+    fs.push(view, history.filter(~newer), base, 1)
+    return fs.read_online(view, spark, base).select(
+        "user_id", "txn_count_24h", F.unix_micros("event_timestamp").alias("at_us")
+    )
+
+
+@register(
+    "exported_features",
+    with_parts(
+        """SELECT user_id, round(avg_txn_amount_30d, 6) AS avg_txn_amount_30d, txn_count_30d,
+                  round(country_risk, 6) AS country_risk FROM behavior""",
+        "behavior",
+    ),
+)
+def exported_features(spark, sf_dir):
+    """The behavioural profile exported for offline use, and read there."""
+    path = scratch_path(spark, "offline")
+    profile = behavioral.behavioral_features(ev.transactions(spark, sf_dir))
+    lake.export_offline_features(profile.withColumn("event_timestamp", F.lit(_AS_OF)), path)
+    out = spark.read.parquet(path).select("user_id", "avg_txn_amount_30d", "txn_count_30d", "country_risk")
+    return rounded(out, 6, "avg_txn_amount_30d", "country_risk")

@@ -41,6 +41,9 @@ def write_batch(
     Delta, where installed, keeps track of batches by itself.
     """
     rows = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
+    if partition_by:
+        # Otherwise each task writes a file into each partition.
+        rows = rows.hint("rebalance", *partition_by)
     writer = rows.write.format(fmt).partitionBy(*partition_by, "batch_id")
     if fmt == "delta":
         writer.mode("append").option("txnAppId", path).option("txnVersion", batch_id).save(path)
@@ -69,9 +72,10 @@ def write_silver(df: DataFrame, base: str, batch_id: int, fmt: str = "parquet")
 def backfill(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
     """Write a large history in one go: rows of a partition are gathered before writing,
     and AQE splits the partitions that are too large for one task."""
-    df.hint("rebalance", *partition_by).write.format(fmt).mode("overwrite").partitionBy(
-        *partition_by
-    ).save(path)
+    (
+        df.hint("rebalance", *partition_by).write.format(fmt).mode("overwrite")
+        .option("partitionOverwriteMode", "static").partitionBy(*partition_by).save(path)
+    )
 
 
 # --- keyed tables --------------------------------------------------------------------
