@@ -7,14 +7,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from risklake import schemas
 from risklake.config import DEFAULT_MERCHANT_RISK, MERCHANT_RISK
+from risklake.operators import scoring
 from risklake.operators.velocity import COLUMNS
 from risklake.plans.queries_decisions import decided_rows
+from risklake.plans.queries_features import enriched_rows
 from risklake.plans.registry import register, rounded
-from risklake.plans.sql_parts import with_parts
+from risklake.plans.sql_parts import DECIDING, SCORING, with_parts
 from risklake.session import ROCKSDB_PROVIDER, scratch_path
 from risklake.sources import events as ev
 from risklake.sources import lake, messages
-from risklake.streaming import counters, decision_sink, enricher, windows
+from risklake.streaming import collector, counters, decision_sink, enricher, windows
 
 _TO_THE_END = {"availableNow": True}
 
@@ -110,3 +112,41 @@ def stream_decision_sink(spark, sf_dir):
     return decision_sink.read_decisions(spark, base).select(
         "decision_id", "transaction_id", "final_risk_score", "action", "risk_bucket"
     )
+
+
+@register(
+    "stream_verdict_collection",
+    with_parts(
+        "SELECT transaction_id, final_risk_score, action, total_latency_ms FROM decisions "
+        "WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 7 <> 0",
+        "decisions",
+    ),
+)
+def stream_verdict_collection(spark, sf_dir):
+    """Verdicts as messages, every fifth delivered twice, one missing for every seventh
+    transaction; a stream gives out those that are complete."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    work = scratch_path(spark, "verdicts")
+    number = F.substring("transaction_id", 5, 20).cast("long")
+    verdicts = (
+        scoring.with_verdicts(enriched_rows(spark, sf_dir), SCORING)
+        .select("transaction_id", "event_time", F.inline_outer("verdicts"))
+        .withColumn("timestamp", F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
+        .filter(~((number % 7 == 0) & (F.col("agent_type") == "network")))
+    )
+    sent = messages.to_messages(verdicts, "transaction_id", schemas.VERDICT.names)
+    messages.publish(sent, f"{work}/topic", 0)
+    messages.publish(
+        messages.to_messages(verdicts.filter(number % 5 == 0), "transaction_id", schemas.VERDICT.names),
+        f"{work}/topic", 1,
+    )
+    stream = messages.read_verdicts_stream(spark, f"{work}/topic")
+    # The two deliveries of a verdict are at most the whole table apart.
+    decided = collector.stream_decide(stream, 1000, DECIDING, lateness="60 days", clock="event")
+    _finish(
+        decided.writeStream.format("parquet").option("checkpointLocation", f"{work}/checkpoint")
+        .trigger(**_TO_THE_END).start(f"{work}/out")
+    )
+    return spark.read.parquet(f"{work}/out").filter("complete").select(
+        "transaction_id", "final_risk_score", "action", "total_latency_ms"
+    )

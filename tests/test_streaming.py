@@ -212,6 +212,22 @@ def test_stream_decide_completes_or_times_out(spark, tmp_path):
     assert got == [("full", True, "decline", 0.9, 40.0), ("part", False, "decline", 0.8, 10.0)]
 
 
+def test_stream_decide_by_event_time(spark, tmp_path):
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    later = T0 + dt.timedelta(hours=1)
+    agents = ["velocity", "geolocation", "behavioral", "network"]
+    send(src, "a", [verdict("full", a, 0.5) for a in agents] + [verdict("part", "network", 0.8)])
+    send(src, "b", [verdict("new", "network", 0.1, later)])
+    send(src, "c", [verdict("new", "velocity", 0.1, later)])
+    stream = messages.read_verdicts_stream(spark, str(src), max_per_trigger=1)
+    finish(
+        collector.stream_decide(stream, timeout_ms=1000, clock="event").writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start(out)
+    )
+    got = rows_of(spark.read.parquet(out), "transaction_id", "complete", "final_risk_score")
+    assert got == [("full", True, 0.5), ("part", False, 0.8)]
+
+
 def test_decision_sink_keeps_the_last_and_ignores_verdicts(spark, tmp_path):
     src, base = tmp_path / "in", str(tmp_path / "lake")
 
