@@ -57,10 +57,11 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "dropped", "points", "size", "link_size")
+    __slots__ = ("tag", "parent", "dropped", "in_article", "points", "size", "link_size")
 
     def __init__(self, tag: str, parent: _Element | None, dropped: bool):
         self.tag, self.parent, self.dropped = tag, parent, dropped
+        self.in_article = tag in ("article", "main") or (parent is not None and parent.in_article)
         self.points = TAG_POINTS.get(tag, 0.0)
         self.size = self.link_size = 0
 
@@ -153,7 +154,7 @@ def blocks_of(html: str) -> list[tuple[str, int, _Element]]:
             else:
                 flush()
         parent = stack[-1]
-        dropped = parent.dropped or _is_dropped(tag, found[3] or "", any(e.tag in ("article", "main") for e in stack))
+        dropped = parent.dropped or _is_dropped(tag, found[3] or "", parent.in_article)
         if tag in RAW:
             stop = re.compile(rf"</{tag}\s*[^>]*>", re.IGNORECASE).search(html, at)
             at = stop.end() if stop else end
@@ -221,7 +222,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
 
     A null or empty page has an empty text, and so has one without text outside of what is
     dropped. Markup is read as far as it goes: unclosed elements end with the page, an unclosed
-    comment hides what follows. Columns called text and n_chars are replaced.
+    comment hides what follows, an unfinished tag is text. Columns called text and n_chars are replaced.
     """
     source = pages.drop(*(c for c in ("text", "n_chars") if c != html_col))
     kept = [c for c in source.columns if c != html_col]

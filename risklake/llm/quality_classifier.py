@@ -68,7 +68,7 @@ class Network:
         step, tables = CHUNK // 2, self.tables()
         size = np.diff(offsets)
         # Texts start at a multiple of a step, with WIDTH - 1 zero bytes behind them at least.
-        steps = np.maximum(1, -(-size // step))
+        steps = -(-(size + WIDTH - 1) // step)
         first = np.concatenate([[0], np.cumsum(steps)]).astype(np.int64)
         padded = np.zeros(first[-1] * step + WIDTH, np.uint8)
         shift = np.repeat(first[:-1] * step - offsets[:-1], size)
