@@ -67,16 +67,17 @@ class Network:
         """The probability of label 1 for each text of a block."""
         step, tables = CHUNK // 2, self.tables()
         size = np.diff(offsets)
-        # Texts start at a multiple of a step, with WIDTH - 1 zero bytes behind them at least.
+        # Texts start at a multiple of a step and have WIDTH - 1 zero bytes behind them at least.
+        # A response is of the bytes that end at its place, so none reads from another text.
         steps = -(-(size + WIDTH - 1) // step)
         first = np.concatenate([[0], np.cumsum(steps)]).astype(np.int64)
-        padded = np.zeros(first[-1] * step + WIDTH, np.uint8)
-        shift = np.repeat(first[:-1] * step - offsets[:-1], size)
+        padded = np.zeros(first[-1] * step + WIDTH - 1, np.uint8)
+        shift = np.repeat(first[:-1] * step - offsets[:-1] + WIDTH - 1, size)
         padded[np.arange(len(data)) + shift] = data
         pooled = np.empty((first[-1], FILTERS), np.float32)
         for at in range(0, len(pooled), TILE // step):
             n = min(TILE // step, len(pooled) - at)
-            span = padded[at * step : (at + n) * step + WIDTH]
+            span = padded[at * step : (at + n) * step + WIDTH - 1]
             response = tables[0][span[: n * step]]
             for k in range(1, WIDTH):
                 response += tables[k][span[k : k + n * step]]
