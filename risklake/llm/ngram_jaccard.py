@@ -41,6 +41,8 @@ SKETCH_SHARED = 21
 SKETCH_WHOLE = SKETCH * PERCENT // 100
 #: Members of a block, and nodes looked up in it at a time, have about so many tokens.
 BLOCK_TOKENS = 100_000
+#: Up to so many ids of 8 bytes are broadcast.
+BROADCAST_IDS = 2_000_000
 #: Columns of the incidence matrix held at once when a block is opened.
 OPEN_COLUMNS = 4096
 
@@ -120,7 +122,11 @@ def _candidates(known: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, n, tokens) of the nodes that can have a partner by their sketches."""
     enough = F.when(F.col("n") <= SKETCH_WHOLE, _need()).otherwise(SKETCH_SHARED)
     likely = _with_shared_tokens(nodes, "sketch").where(F.size("shared") >= enough).select(F.col("node").alias("id"))
-    return _whole_sets(known.join(likely, "id"))
+    # Few documents come this far. Their ids go to the texts while these are read, if they fit;
+    # otherwise texts and ids are joined by a shuffle.
+    likely = cut_lineage(likely)
+    few = F.broadcast(likely) if likely.count() <= BROADCAST_IDS else likely
+    return _whole_sets(known.join(few, "id"))
 
 
 def _open(role, node, component, n, tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
