@@ -21,6 +21,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from risklake.session import cut_lineage
+
 WINDOW = 10
 GRAM = 5
 #: Up to so many rows of 40 bytes are broadcast.
@@ -102,7 +104,7 @@ def hit_windows(docs: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFrame
     own = _sized(own.distinct().withColumn("found", F.lit(True)))
 
     hashed = docs.select("id", "key", word_hashes(F.col("text")).alias("w"))
-    looked_up = (
+    looked_up = cut_lineage(
         hashed.select("id", "key", _let(F.col("w"), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), prints(w, short).alias("p"))).alias("x"))
         .select("id", "key", "x.n_words", F.explode_outer("x.p").alias("p"))
         .select("id", "key", "n_words", "p.kind", "p.f")
