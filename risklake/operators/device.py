@@ -52,7 +52,8 @@ def device_features(
 
 def with_ip_reputation(df: DataFrame, ip_reputation: DataFrame) -> DataFrame:
     present = [c for c in REPUTATION if c in ip_reputation.columns]
-    latest = ip_reputation.groupBy("ip_address").agg(*[F.max(c).alias(c) for c in present])
+    one = ip_reputation.groupBy("ip_address").agg(F.max(F.struct(*present)).alias("_row"))
+    latest = one.select("ip_address", *[F.col(f"_row.{c}").alias(c) for c in present])
     return df.drop(*present).join(latest, "ip_address", "left")
 
 
