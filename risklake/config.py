@@ -108,21 +108,6 @@ class VelocityConfig:
     long_s: int = 86_400
 
 
-@dataclass(frozen=True)
-class SkewConfig:
-    """When a key's history is too long for one window task.
-
-    A key with at least ``min_rows`` rows is handled in time slices of ``slice_s``
-    seconds. At most ``max_keys`` keys are listed, so the list always fits the driver and
-    a broadcast; a key outside the list has fewer than ``max(min_rows, N / max_keys)`` of
-    N rows.
-    """
-
-    min_rows: int = 200_000
-    max_keys: int = 100_000
-    slice_s: int = 60
-
-
 @dataclass(frozen=True)
 class TrainingConfig:
     trees: int = 400

@@ -1,110 +1,48 @@
-"""History look-ups along the time line of a key, safe for very long histories.
+"""History look-ups along the time line of a key, linear in the rows for a key of any length.
 
-Most keys (users, devices) have few rows, and a window partitioned by key is the best
-plan for them. One key may hold a large share of all rows though, and its window would
-be a single endless task. ``by_weight`` separates such keys, and the ``sliced_*``
-functions answer the same questions for them in parallel:
+One key (a user, a device) may hold a large share of all rows, and a window partitioned by it
+would be a single endless task. The ``sliced_*`` functions handle every key alike:
 
 * rows are first reduced to one row per (key, instant), which partial aggregation does
   before the shuffle, so copies of one instant never meet in one task;
-* instants are grouped by (key, time slice) and scanned inside the slice;
-* each slice's summary is carried to the later slices by a window over slices, of which
-  a key has as many as the data has minutes, however many rows there are.
+* instants are grouped by (key, minute) and scanned inside the minute;
+* each minute's summary is carried to the later minutes by a window over minutes, of which
+  a key has as many as the data has, however many rows there are.
 
-Results are keyed by (key, instant) and joined back on both, which spreads a heavy key.
+Results are keyed by (key, instant) and joined back on both, which spreads a frequent key.
+Rows without a key get one of their own (``own_key``), so they have no history.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from risklake.config import SkewConfig
 from risklake.functions.scalars import MICROS
 
 NOW = Window.currentRow
 START = Window.unboundedPreceding
+SLICE_US = 60 * MICROS
+# Sums of money are exact, so they do not depend on the order of adding. With six decimals
+# Spark keeps the scale through sums and differences of this type.
+MONEY = "decimal(38,6)"
 
 
-def find_heavy(keys_df: DataFrame, keys: Sequence[str], skew: SkewConfig) -> DataFrame | None:
-    """The keys with at least ``min_rows`` rows, at most ``max_keys`` of them; None if none.
-
-    Runs one count over the key columns, so that data without heavy keys, the usual case,
-    gets the plain one-shuffle plan. The list only steers which plan a key takes: its
-    length limit bounds the broadcast and cannot change a result.
-    """
-    listed = (
-        keys_df.select(*keys)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= skew.min_rows)
-        .orderBy(F.col("_n").desc(), *keys)
-        .limit(skew.max_keys)
-        .select(*keys)
+def own_key(column: str) -> Column:
+    """The value as a key; for a row without one, a key that no other transaction has."""
+    return F.coalesce(
+        F.concat(F.lit("k:"), F.col(column)), F.concat(F.lit("t:"), F.col("transaction_id"))
     )
-    rows = listed.collect()
-    return keys_df.sparkSession.createDataFrame(rows, listed.schema) if rows else None
-
-
-def split_heavy(
-    df: DataFrame, keys: Sequence[str], heavy: DataFrame
-) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of heavy keys); NULL keys count as ordinary."""
-    listed = F.broadcast(heavy)
-    light = df.join(listed, list(keys), "left_anti").select(*df.columns)
-    return light, df.join(listed, list(keys), "left_semi").select(*df.columns)
-
-
-def by_weight(
-    df: DataFrame,
-    keys: Sequence[str],
-    ordinary: Callable[[DataFrame], DataFrame],
-    heavy: Callable[[DataFrame], DataFrame],
-    skew: SkewConfig,
-) -> DataFrame:
-    """Run one plan for ordinary keys and another, equal in result, for heavy ones."""
-    listed = find_heavy(df, keys, skew)
-    if listed is None:
-        return ordinary(df)
-    light_rows, heavy_rows = split_heavy(df, keys, listed)
-    light = ordinary(light_rows)
-    return light.unionByName(heavy(heavy_rows).select(*light.columns))
-
-
-# --- windows for ordinary keys -------------------------------------------------------
-
 
-def timeline(keys: Sequence[str], us: str = "_us") -> WindowSpec:
-    return Window.partitionBy(*keys).orderBy(us)
 
-
-def before(keys: Sequence[str], us: str = "_us") -> WindowSpec:
-    """All rows of the key at an earlier instant."""
-    return timeline(keys, us).rangeBetween(START, -1)
-
-
-def until(keys: Sequence[str], us: str = "_us") -> WindowSpec:
-    """All rows of the key up to and at this instant."""
-    return timeline(keys, us).rangeBetween(START, NOW)
-
-
-def trailing(keys: Sequence[str], seconds: int, us: str = "_us") -> WindowSpec:
-    """Rows of the key in the ``seconds`` before this instant, this instant excluded."""
-    return timeline(keys, us).rangeBetween(-seconds * MICROS, -1)
-
-
-# --- sliced scans for heavy keys -----------------------------------------------------
-
-
-def slice_start(us: Column, skew: SkewConfig) -> Column:
-    width = skew.slice_s * MICROS
-    return us - F.pmod(us, F.lit(width))
+def slice_start(us: Column) -> Column:
+    return us - F.pmod(us, F.lit(SLICE_US))
 
 
 def sliced_sums(
-    entries: DataFrame, keys: Sequence[str], measures: Sequence[str], skew: SkewConfig
+    entries: DataFrame, keys: Sequence[str], measures: Sequence[str]
 ) -> DataFrame:
     """Per (key, instant) that asks: sum of each measure over earlier instants.
 
@@ -113,7 +51,7 @@ def sliced_sums(
     instants = (
         entries.groupBy(*keys, "_us")
         .agg(F.max("_asks").alias("_asks"), *[F.sum(m).alias(m) for m in measures])
-        .withColumn("_slice", slice_start(F.col("_us"), skew))
+        .withColumn("_slice", slice_start(F.col("_us")))
     )
     inside = Window.partitionBy(*keys, "_slice").orderBy("_us").rowsBetween(START, -1)
     across = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(START, -1)
@@ -136,7 +74,7 @@ def sliced_sums(
 
 
 def sliced_last(
-    entries: DataFrame, keys: Sequence[str], value: str, skew: SkewConfig, inclusive: bool
+    entries: DataFrame, keys: Sequence[str], value: str, inclusive: bool
 ) -> DataFrame:
     """Per (key, instant): greatest ``value`` struct of earlier instants.
 
@@ -146,7 +84,7 @@ def sliced_last(
     instants = (
         entries.groupBy(*keys, "_us")
         .agg(F.max(value).alias(value))
-        .withColumn("_slice", slice_start(F.col("_us"), skew))
+        .withColumn("_slice", slice_start(F.col("_us")))
     )
     inside = (
         Window.partitionBy(*keys, "_slice")
@@ -170,7 +108,6 @@ def sliced_trailing(
     keys: Sequence[str],
     measures: Sequence[str],
     windows: dict[str, int],
-    skew: SkewConfig,
 ) -> DataFrame:
     """Per (key, instant): sums over trailing windows, as ``<measure>_<window>``.
 
@@ -180,12 +117,17 @@ def sliced_trailing(
     names = [f"{m}_{w}" for w in windows for m in measures]
     instants = rows.groupBy(*keys, "_us").agg(*[F.sum(m).alias(m) for m in measures])
 
+    def signed(m: str, by: int) -> Column:
+        # No product: it would change the type of a decimal.
+        zero = F.lit(0).cast(instants.schema[m].dataType)
+        return {1: F.col(m), -1: -F.col(m), 0: zero}[by]
+
     def step(shift_us: int, sign: Callable[[str], int]) -> Column:
         return F.struct(
             (F.col("_us") + F.lit(shift_us)).alias("_us"),
             F.lit(shift_us == 0).alias("_asks"),
             *[
-                (F.col(m) * sign(w)).alias(f"{m}_{w}")
+                signed(m, sign(w)).alias(f"{m}_{w}")
                 for w in windows
                 for m in measures
             ],
@@ -195,4 +137,4 @@ def sliced_trailing(
     for name, seconds in windows.items():
         steps.append(step(seconds * MICROS, lambda w, name=name: -1 if w == name else 0))
     entries = instants.select(*keys, F.inline(F.array(*steps)))
-    return sliced_sums(entries, keys, names, skew)
+    return sliced_sums(entries, keys, names)

@@ -15,33 +15,22 @@ from risklake.operators.quality import only_verdicts
 _FIELDS = ("agent_type", "risk_score", "reasoning", "latency_ms")
 
 
-def _agent_order(agent: Column) -> Column:
-    return F.array_position(F.array(*[F.lit(a) for a in AGENTS]), agent)
-
-
-def collect_verdicts(
-    verdicts: DataFrame, expected: int = len(AGENTS), arrival: str | None = None
-) -> DataFrame:
+def collect_verdicts(verdicts: DataFrame, arrival: str, expected: int = len(AGENTS)) -> DataFrame:
     """One row per transaction that has verdicts of ``expected`` different agents.
 
-    Copies are reduced to one verdict per (transaction, agent) first, the earliest by
-    ``arrival`` if given, so a collected list never exceeds the number of agents.
+    Of an agent that spoke several times the verdict that arrived first counts; at one
+    instant a hash of the verdict decides. One shuffle: copies merge before it, and a
+    transaction never holds more than one verdict per agent.
     """
-    order = [arrival] if arrival else []
     body = F.struct(*_FIELDS)
-    single = (
-        only_verdicts(verdicts)
-        .groupBy("transaction_id", "agent_type")
-        .agg(F.min_by(body, F.struct(*order, "risk_score", "latency_ms", "reasoning")).alias("_v"))
-    )
-    grouped = single.groupBy("transaction_id").agg(
-        F.array_sort(
-            F.collect_list(F.struct(_agent_order(F.col("agent_type")).alias("_at"), F.col("_v").alias("v")))
-        ).alias("_list")
-    )
-    return grouped.filter(F.size("_list") >= expected).select(
-        "transaction_id", F.transform("_list", lambda x: x["v"]).alias("verdicts")
-    )
+    first = F.struct(arrival, F.xxhash64(*_FIELDS))
+    by_agent = [
+        F.min_by(body, F.when(F.col("agent_type") == agent, first)).alias(agent) for agent in AGENTS
+    ]
+    grouped = only_verdicts(verdicts).groupBy("transaction_id").agg(*by_agent)
+    return grouped.select(
+        "transaction_id", F.array_compact(F.array(*AGENTS)).alias("verdicts")
+    ).filter(F.size("verdicts") >= expected)
 
 
 def _weight(agent: Column, cfg: DecisionConfig) -> Column:

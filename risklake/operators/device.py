@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from risklake.config import SkewConfig
 from risklake.functions import timeline as tl
 from risklake.functions.scalars import micros
 
@@ -18,7 +17,6 @@ def device_features(
     txns: DataFrame,
     fraud_labels: DataFrame,
     ip_reputation: DataFrame | None = None,
-    skew: SkewConfig = SkewConfig(),
 ) -> DataFrame:
     """Device history at each transaction's instant.
 
@@ -29,24 +27,8 @@ def device_features(
     labelled as fraud, both before the instant.
     """
     # Rows without a device get a key of their own, so that they never meet in one task.
-    rows = txns.withColumns(
-        {
-            "_us": micros(F.col("event_time")),
-            "_device": F.coalesce(
-                F.concat(F.lit("d:"), F.col("device_fingerprint")),
-                F.concat(F.lit("t:"), F.col("transaction_id")),
-            ),
-        }
-    )
-    links = _fraud_links(rows, fraud_labels)
-    listed = tl.find_heavy(rows, DEVICE, skew)
-    if listed is None:
-        known = _ordinary(rows, links)
-    else:
-        light_rows, heavy_rows = tl.split_heavy(rows, DEVICE, listed)
-        light_links, heavy_links = tl.split_heavy(links, DEVICE, listed)
-        known = _ordinary(light_rows, light_links).unionByName(_heavy(heavy_rows, heavy_links, skew))
-    known = known.drop("_us", "_device")
+    rows = txns.withColumns({"_us": micros(F.col("event_time")), "_device": tl.own_key("device_fingerprint")})
+    known = _history(rows, _fraud_links(rows, fraud_labels)).drop("_us", "_device")
     return known if ip_reputation is None else with_ip_reputation(known, ip_reputation)
 
 
@@ -54,7 +36,9 @@ def with_ip_reputation(df: DataFrame, ip_reputation: DataFrame) -> DataFrame:
     present = [c for c in REPUTATION if c in ip_reputation.columns]
     one = ip_reputation.groupBy("ip_address").agg(F.max(F.struct(*present)).alias("_row"))
     latest = one.select("ip_address", *[F.col(f"_row.{c}").alias(c) for c in present])
-    return df.drop(*present).join(latest, "ip_address", "left")
+    keyed = latest.withColumn("_ip", F.concat(F.lit("k:"), F.col("ip_address"))).drop("ip_address")
+    rows = df.drop(*present).withColumn("_ip", tl.own_key("ip_address"))
+    return rows.join(keyed, "_ip", "left").drop("_ip")
 
 
 def _fraud_links(rows: DataFrame, fraud_labels: DataFrame) -> DataFrame:
@@ -85,23 +69,7 @@ def _columns(seen: Column) -> dict[str, Column]:
     }
 
 
-def _ordinary(rows: DataFrame, links: DataFrame) -> DataFrame:
-    # Rows and links share one time line per device, so the rows move once.
-    marks = links.select("_device", "user_id", F.col("_link_us").alias("_us"), F.lit(True).alias("_mark"))
-    line = rows.withColumn("_row", F.lit(True)).unionByName(marks, allowMissingColumns=True)
-    looked_up = line.withColumns(
-        {
-            "_tainted": F.count("_mark").over(tl.before(DEVICE)),
-            "_earlier": F.count("_row").over(tl.before(DEVICE)),
-            "_own": F.max(F.when(F.col("_mark"), F.col("_us"))).over(
-                Window.partitionBy("_device", "user_id")
-            ),
-        }
-    ).filter("_row")
-    return looked_up.withColumns(_columns(F.col("_earlier") > 0)).select(*rows.columns, *COLUMNS)
-
-
-def _heavy(rows: DataFrame, links: DataFrame, skew: SkewConfig) -> DataFrame:
+def _history(rows: DataFrame, links: DataFrame) -> DataFrame:
     def entries(df: DataFrame, us: str, tainted: int, earlier: int, asks: bool) -> DataFrame:
         return df.select(
             "_device", F.col(us).alias("_us"),
@@ -111,7 +79,7 @@ def _heavy(rows: DataFrame, links: DataFrame, skew: SkewConfig) -> DataFrame:
         )
 
     line = entries(rows, "_us", 0, 1, True).unionByName(entries(links, "_link_us", 1, 0, False))
-    by_instant = tl.sliced_sums(line, DEVICE, ("_tainted", "_earlier"), skew)
+    by_instant = tl.sliced_sums(line, DEVICE, ("_tainted", "_earlier"))
     looked_up = rows.join(by_instant, ["_device", "_us"], "left").join(
         links.withColumnRenamed("_link_us", "_own"), ["_device", "user_id"], "left"
     )

@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from risklake.config import DEFAULT_MERCHANT_RISK, MERCHANT_RISK, SkewConfig, VelocityConfig
-from risklake.functions import timeline as tl
-from risklake.functions.scalars import micros
+from risklake.config import DEFAULT_MERCHANT_RISK, MERCHANT_RISK, VelocityConfig
 from risklake.operators import device, geo, velocity
 from risklake.operators.feature_store import ENRICHMENT_REFS, VIEWS, get_online_features
 from risklake.schemas import FEATURES
@@ -39,23 +37,13 @@ def enrich(
     return with_defaults(get_online_features(refs, txns, stores, moment))
 
 
-def only_keys_of(stores: dict[str, DataFrame], batch: DataFrame, max_keys: int = 500_000) -> dict[str, DataFrame]:
-    """The parts of the feature tables that a micro-batch can ask for.
-
-    The keys of a batch, if there are no more than ``max_keys``, are broadcast, so that a
-    feature table of any size is filtered where it lies and never shuffled whole. The keys
-    are counted to see; a larger batch, as of a first catch-up, gets the plain join.
-    """
-    needed = {}
-    for keys in dict.fromkeys(VIEWS[name].keys for name in stores):
-        distinct = batch.select(*keys).distinct()
-        few = distinct.limit(max_keys + 1).count() <= max_keys
-        for name in stores:
-            if VIEWS[name].keys == keys:
-                needed[name] = (
-                    stores[name].join(F.broadcast(distinct), list(keys), "left_semi") if few else stores[name]
-                )
-    return needed
+def only_keys_of(stores: dict[str, DataFrame], batch: DataFrame) -> dict[str, DataFrame]:
+    """The parts of the feature tables that a micro-batch can ask for; Spark's own size
+    statistics decide how the two are joined."""
+    return {
+        name: table.join(batch.select(*VIEWS[name].keys).distinct(), list(VIEWS[name].keys), "left_semi")
+        for name, table in stores.items()
+    }
 
 
 PROFILE = ("avg_txn_amount_30d", "amount_deviation_score", "hour_of_day_risk_score")
@@ -65,38 +53,24 @@ def user_history_features(
     txns: DataFrame,
     behavioral: DataFrame,
     cfg: VelocityConfig = VelocityConfig(),
-    skew: SkewConfig = SkewConfig(),
 ) -> DataFrame:
     """``transaction_id`` and all features that depend on the user.
 
-    Velocity, location and profile share one distribution of the needed columns by user.
+    Only the needed columns move, by (user, instant), which no busy user can skew.
     """
-    rows = txns.select(
-        "transaction_id", "user_id", micros(F.col("event_time")).alias("_us"), "amount",
-        "merchant_id", "latitude", "longitude", "country_code", "city",
+    rows = velocity.on_timeline(txns).select(
+        "transaction_id", "_user", "_us", "amount", "merchant_id", "latitude", "longitude", "country_code", "city",
     )
-    profile = behavioral.select("user_id", *PROFILE)
+    keys = [*velocity.USER, "_us"]
+    profile = behavioral.select(F.concat(F.lit("k:"), F.col("user_id")).alias("_user"), *PROFILE)
+    known = geo.attach_geo(rows.join(velocity.velocity_at(rows, cfg), keys, "left"))
+    return known.join(profile, "_user", "left").select("transaction_id", *velocity.COLUMNS, *geo.COLUMNS, *PROFILE)
 
-    def ordinary(df: DataFrame) -> DataFrame:
-        return geo.ordinary_geo(velocity.ordinary_velocity(df, cfg)).join(profile, "user_id", "left")
 
-    def heavy(df: DataFrame) -> DataFrame:
-        known = geo.heavy_geo(velocity.heavy_velocity(df, cfg, skew), skew)
-        # Profiles of heavy users only: as few as the list of heavy users is long.
-        few = profile.join(F.broadcast(df.select("user_id").distinct()), "user_id", "left_semi")
-        return known.join(F.broadcast(few), "user_id", "left")
-
-    return tl.by_weight(rows, velocity.USER, ordinary, heavy, skew).select(
-        "transaction_id", *velocity.COLUMNS, *geo.COLUMNS, *PROFILE
-    )
-
-
-def device_history_features(
-    txns: DataFrame, fraud_labels: DataFrame, skew: SkewConfig = SkewConfig()
-) -> DataFrame:
+def device_history_features(txns: DataFrame, fraud_labels: DataFrame) -> DataFrame:
     """``transaction_id`` and the features that depend on the device."""
     rows = txns.select("transaction_id", "user_id", "device_fingerprint", "event_time")
-    return device.device_features(rows, fraud_labels, skew=skew).select(
+    return device.device_features(rows, fraud_labels).select(
         "transaction_id", *device.COLUMNS
     )
 
@@ -107,7 +81,6 @@ def enrich_history(
     fraud_labels: DataFrame,
     ip_reputation: DataFrame | None = None,
     cfg: VelocityConfig = VelocityConfig(),
-    skew: SkewConfig = SkewConfig(),
 ) -> DataFrame:
     """All 14 features for a whole history of transactions, each as of its own instant.
 
@@ -117,8 +90,8 @@ def enrich_history(
     The two histories are computed from the few columns they need; the full rows are
     shuffled once, by transaction id, which no key can skew.
     """
-    by_user = user_history_features(txns, behavioral, cfg, skew)
-    by_device = device_history_features(txns, fraud_labels, skew)
+    by_user = user_history_features(txns, behavioral, cfg)
+    by_device = device_history_features(txns, fraud_labels)
     known = txns.join(by_user, "transaction_id", "left").join(by_device, "transaction_id", "left")
     if ip_reputation is not None:
         known = device.with_ip_reputation(known, ip_reputation)

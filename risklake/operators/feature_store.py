@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from risklake.config import SkewConfig
 from risklake.functions import timeline as tl
 from risklake.functions.scalars import MICROS, micros
 from risklake.sources import lake
@@ -188,12 +187,12 @@ def point_in_time_join(
     history: DataFrame,
     ts_col: str = "event_time",
     features: Sequence[str] | None = None,
-    skew: SkewConfig = SkewConfig(),
 ) -> DataFrame:
     """To each row of ``left`` the view's newest values at or before its time.
 
     Values older than the view's time to live are NULL, so is ``<ts_col of view>``. The
-    two sides are merged on one time line per key: no range join, linear in the rows.
+    two sides are merged on one time line per key: no range join, linear in the rows. A row
+    without a key has no values.
     """
     features = list(features or view.columns)
     payload = [view.ts_col, *features]
@@ -202,26 +201,12 @@ def point_in_time_join(
         *view.keys, micros(F.col(view.ts_col)).alias("_us"), _dated(view, payload).alias("_held")
     )
     keys = list(view.keys)
-    listed = tl.find_heavy(rows.select(*keys).unionByName(held.select(*keys)), keys, skew)
-    if listed is None:
-        found = _last_on_line(rows, held, keys)
-    else:
-        light_rows, heavy_rows = tl.split_heavy(rows, keys, listed)
-        light_held, heavy_held = tl.split_heavy(held, keys, listed)
-        asking = heavy_rows.select(*keys, "_us").unionByName(heavy_held, allowMissingColumns=True)
-        by_instant = tl.sliced_last(asking, keys, "_held", skew, inclusive=True)
-        found = _last_on_line(light_rows, light_held, keys).unionByName(
-            heavy_rows.join(by_instant, [*keys, "_us"], "left")
-        )
-
+    both = rows.select(*keys, "_us").unionByName(held, allowMissingColumns=True).dropna(subset=keys)
+    by_instant = tl.sliced_last(both, keys, "_held", inclusive=True)
+    found = rows.join(by_instant, [*keys, "_us"], "left")
     fresh = _within_ttl(view, F.col("_us"), F.col("_held._us"))
     return (
         found
         .withColumns({c: F.when(fresh, F.col(f"_held.{c}")) for c in payload})
         .drop("_us", "_held")
     )
-
-
-def _last_on_line(rows: DataFrame, held: DataFrame, keys: Sequence[str]) -> DataFrame:
-    line = rows.withColumn("_row", F.lit(True)).unionByName(held, allowMissingColumns=True)
-    return line.withColumn("_held", F.max("_held").over(tl.until(keys))).filter("_row").drop("_row")

@@ -2,29 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from risklake.config import SkewConfig
 from risklake.functions import timeline as tl
-from risklake.functions.scalars import MICROS, haversine_km, micros
+from risklake.functions.scalars import MICROS, haversine_km
+from risklake.operators.velocity import USER, on_timeline
 
-USER = ("user_id",)
 COLUMNS = (
     "last_txn_latitude", "last_txn_longitude", "last_country_code",
     "distance_from_last_txn_km", "speed_kmh", "is_new_country", "is_new_city",
 )
 
 
-def geo_features(txns: DataFrame, skew: SkewConfig = SkewConfig()) -> DataFrame:
+def geo_features(txns: DataFrame) -> DataFrame:
     """Distance and speed since the user's previous instant; first visits to places.
 
-    A place is new if the user has earlier rows but none there.
+    A place is new if the user has earlier rows but none there. Rows without a user have no
+    history.
     """
-    rows = txns.withColumn("_us", micros(F.col("event_time")))
-    return tl.by_weight(
-        rows, USER, ordinary_geo, lambda df: heavy_geo(df, skew), skew
-    ).drop("_us")
+    return attach_geo(on_timeline(txns)).select(*txns.columns, *COLUMNS)
 
 
 def _sight() -> Column:
@@ -39,46 +36,33 @@ def _columns() -> dict[str, Column]:
     )
     hours = (F.col("_us") - F.col("_prev._us")) / F.lit(3600.0 * MICROS)
 
-    def first_visit(place: str, first: str) -> Column:
-        return known & F.col(place).isNotNull() & (F.col("_us") == F.col(first))
-
     return {
         "last_txn_latitude": F.col("_prev.latitude"),
         "last_txn_longitude": F.col("_prev.longitude"),
         "last_country_code": F.col("_prev.country_code"),
         "distance_from_last_txn_km": distance,
         "speed_kmh": distance / hours,
-        "is_new_country": F.coalesce(first_visit("country_code", "_country_us"), F.lit(False)),
-        "is_new_city": F.coalesce(first_visit("city", "_city_us"), F.lit(False)),
+        "is_new_country": known & F.col("_first_country_code").isNotNull(),
+        "is_new_city": known & F.col("_first_city").isNotNull(),
     }
 
 
-def ordinary_geo(df: DataFrame) -> DataFrame:
-    # The three windows all fit a distribution by user, so the rows move once.
-    looked_up = df.withColumns(
-        {
-            "_prev": F.max(_sight()).over(tl.before(USER)),
-            "_country_us": F.min("_us").over(Window.partitionBy("user_id", "country_code")),
-            "_city_us": F.min("_us").over(Window.partitionBy("user_id", "city")),
-        }
-    )
-    return looked_up.withColumns(_columns()).select(*df.columns, *COLUMNS)
-
-
-def heavy_geo(df: DataFrame, skew: SkewConfig) -> DataFrame:
-    previous = tl.sliced_last(
-        df.select("user_id", "_us", _sight().alias("_prev")), USER, "_prev", skew, inclusive=False
-    )
+def attach_geo(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``_user`` and ``_us``) and the features."""
+    previous = tl.sliced_last(rows.select(*USER, "_us", _sight().alias("_prev")), USER, "_prev", inclusive=False)
 
-    def first_seen(place: str, name: str) -> DataFrame:
-        return df.groupBy("user_id", place).agg(F.min("_us").alias(name))
+    def first_visits(place: str) -> DataFrame:
+        # Joined on the instant too, so that a busy user's rows at one place spread.
+        first = rows.where(F.col(place).isNotNull()).groupBy(*USER, place).agg(F.min("_us").alias("_us"))
+        return first.withColumn(f"_first_{place}", F.lit(True))
 
-    looked_up = (
-        df.join(previous, ["user_id", "_us"], "left")
-        .join(first_seen("country_code", "_country_us"), ["user_id", "country_code"], "left")
-        .join(first_seen("city", "_city_us"), ["user_id", "city"], "left")
+    return (
+        rows.join(previous, [*USER, "_us"], "left")
+        .join(first_visits("country_code"), [*USER, "country_code", "_us"], "left")
+        .join(first_visits("city"), [*USER, "city", "_us"], "left")
+        .withColumns(_columns())
+        .select(*rows.columns, *COLUMNS)
     )
-    return looked_up.withColumns(_columns()).select(*df.columns, *COLUMNS)
 
 
 def impossible_travel(geo: DataFrame, max_speed_kmh: float) -> DataFrame:

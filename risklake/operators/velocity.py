@@ -5,91 +5,71 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from risklake.config import SkewConfig, VelocityConfig
+from risklake.config import VelocityConfig
 from risklake.functions import timeline as tl
 from risklake.functions.scalars import MICROS, micros
 
-USER = ("user_id",)
+USER = ("_user",)
 COLUMNS = (
     "txn_count_1h", "amount_sum_1h", "txn_count_24h", "amount_sum_24h", "unique_merchants_1h",
 )
 
 
-def velocity_features(
-    txns: DataFrame,
-    cfg: VelocityConfig = VelocityConfig(),
-    skew: SkewConfig = SkewConfig(),
-) -> DataFrame:
+def velocity_features(txns: DataFrame, cfg: VelocityConfig = VelocityConfig()) -> DataFrame:
     """Count, amount and distinct merchants of the user's trailing 1 h / 24 h.
 
     The row itself and others at the same instant are not counted, as a look-up that
-    precedes the update would not.
+    precedes the update would not. Amounts are summed exactly, to six decimals; one that is
+    no such number adds nothing. Rows without a user have no history.
     """
-    rows = txns.withColumn("_us", micros(F.col("event_time")))
-    return tl.by_weight(
-        rows,
-        USER,
-        lambda df: ordinary_velocity(df, cfg),
-        lambda df: heavy_velocity(df, cfg, skew),
-        skew,
-    ).drop("_us")
-
-
-def ordinary_velocity(df: DataFrame, cfg: VelocityConfig) -> DataFrame:
-    short, long = tl.trailing(USER, cfg.short_s), tl.trailing(USER, cfg.long_s)
-    return df.withColumns(
-        {
-            "txn_count_1h": F.count(F.lit(1)).over(short),
-            "amount_sum_1h": F.coalesce(F.sum("amount").over(short), F.lit(0.0)),
-            "txn_count_24h": F.count(F.lit(1)).over(long),
-            "amount_sum_24h": F.coalesce(F.sum("amount").over(long), F.lit(0.0)),
-            "unique_merchants_1h": F.size(F.collect_set("merchant_id").over(short)).cast("long"),
-        }
-    )
+    rows = on_timeline(txns)
+    return rows.join(velocity_at(rows, cfg), [*USER, "_us"], "left").select(*txns.columns, *COLUMNS)
 
 
-def heavy_velocity(df: DataFrame, cfg: VelocityConfig, skew: SkewConfig) -> DataFrame:
-    totals = tl.sliced_trailing(
-        df.select("user_id", "_us", F.lit(1).cast("long").alias("n"), F.col("amount").alias("amt")),
-        USER,
-        ("n", "amt"),
-        {"1h": cfg.short_s, "24h": cfg.long_s},
-        skew,
+def on_timeline(txns: DataFrame) -> DataFrame:
+    return txns.withColumns({"_us": micros(F.col("event_time")), "_user": tl.own_key("user_id")})
+
+
+def _entries(rows: DataFrame, count: str, amount: str) -> DataFrame:
+    return rows.select(
+        *USER, "_us", F.lit(1).cast("long").alias(count), F.col("amount").try_cast(tl.MONEY).alias(amount)
     )
-    merchants = _merchants_in_sight(df, cfg.short_s, skew)
 
-    def amount(window: str):
-        return F.when(F.col(f"n_{window}") == 0, 0.0).otherwise(F.col(f"amt_{window}"))
 
-    features = totals.join(merchants, ["user_id", "_us"], "left").select(
-        "user_id",
+def velocity_at(rows: DataFrame, cfg: VelocityConfig) -> DataFrame:
+    """The features per (``_user``, ``_us``) of ``rows``."""
+    totals = tl.sliced_trailing(
+        _entries(rows, "n", "amt"), USER, ("n", "amt"), {"1h": cfg.short_s, "24h": cfg.long_s}
+    )
+    merchants = _merchants_in_sight(rows, cfg.short_s)
+    return totals.join(merchants, [*USER, "_us"], "left").select(
+        *USER,
         "_us",
         F.col("n_1h").alias("txn_count_1h"),
-        amount("1h").alias("amount_sum_1h"),
+        F.col("amt_1h").cast("double").alias("amount_sum_1h"),
         F.col("n_24h").alias("txn_count_24h"),
-        amount("24h").alias("amount_sum_24h"),
+        F.col("amt_24h").cast("double").alias("amount_sum_24h"),
         F.col("merchants").alias("unique_merchants_1h"),
     )
-    return df.join(features, ["user_id", "_us"], "left").select(*df.columns, *COLUMNS)
 
 
-def _merchants_in_sight(df: DataFrame, seconds: int, skew: SkewConfig) -> DataFrame:
+def _merchants_in_sight(df: DataFrame, seconds: int) -> DataFrame:
     """Distinct merchants of the trailing window, per (user, instant).
 
     A merchant is in sight from just after a purchase until ``seconds`` after it, and
     purchases of one slice are never further apart than that, so each (user, merchant,
     slice) is one stretch of sight. A stretch ends early where the next one begins.
     """
-    stretch_key = ("user_id", "merchant_id")
+    stretch_key = (*USER, "merchant_id")
     stretches = (
         df.filter(F.col("merchant_id").isNotNull())
-        .groupBy(*stretch_key, tl.slice_start(F.col("_us"), skew).alias("_slice"))
+        .groupBy(*stretch_key, tl.slice_start(F.col("_us")).alias("_slice"))
         .agg(F.min("_us").alias("_first"), F.max("_us").alias("_last"))
     )
     following = F.lead("_first").over(Window.partitionBy(*stretch_key).orderBy("_slice"))
     ends = F.least(F.col("_last") + F.lit(seconds * MICROS), following)
-    marks = stretches.select("user_id", "_first", ends.alias("_end")).select(
-        "user_id",
+    marks = stretches.select(*USER, "_first", ends.alias("_end")).select(
+        *USER,
         F.inline(
             F.array(
                 F.struct(F.col("_first").alias("_us"), F.lit(1).cast("long").alias("merchants")),
@@ -97,44 +77,43 @@ def _merchants_in_sight(df: DataFrame, seconds: int, skew: SkewConfig) -> DataFr
             )
         ),
     )
-    asking = df.select("user_id", "_us", F.lit(0).cast("long").alias("merchants"))
+    asking = df.select(*USER, "_us", F.lit(0).cast("long").alias("merchants"))
     entries = marks.withColumn("_asks", F.lit(False)).unionByName(
         asking.withColumn("_asks", F.lit(True))
     )
-    return tl.sliced_sums(entries, USER, ("merchants",), skew)
+    return tl.sliced_sums(entries, USER, ("merchants",))
 
 
-def idle_reset_counters(
-    txns: DataFrame,
-    cfg: VelocityConfig = VelocityConfig(),
-    skew: SkewConfig = SkewConfig(),
-) -> DataFrame:
+def idle_reset_counters(txns: DataFrame, cfg: VelocityConfig = VelocityConfig()) -> DataFrame:
     """Counters that start again after an idle gap longer than their time to live.
 
     This is what counting with an expiry renewed by each event means. Columns
     ``count_<w>`` and ``amount_<w>`` hold the value found just before the row's instant.
+    A counter is the running total now minus the one when the busy spell began; amounts are
+    decimals, so that the difference is exact however long the history.
     """
-    rows = txns.withColumn("_us", micros(F.col("event_time")))
+    rows = on_timeline(txns)
     windows = {"1h": cfg.short_s, "24h": cfg.long_s}
-    return tl.by_weight(
-        rows,
-        USER,
-        lambda df: _ordinary_idle(df, windows),
-        lambda df: _heavy_idle(df, windows, skew),
-        skew,
-    ).drop("_us")
-
-
-def _counter_columns(windows: dict[str, int]) -> dict:
-    """Counter = running total now minus running total when the busy spell began."""
-    columns = {}
+    keys = [*USER, "_us"]
+    totals = tl.sliced_sums(_entries(rows, "_n", "_amt").withColumn("_asks", F.lit(True)), USER, ("_n", "_amt"))
+    previous = tl.sliced_last(
+        rows.select(*keys, F.struct("_us").alias("_seen")), USER, "_seen", inclusive=False
+    )
+    running = totals.join(previous, keys).select(*keys, "_n", "_amt", F.col("_seen._us").alias("_prev_us"))
+    spells = running
     for w, seconds in windows.items():
-        alive = F.col("_prev_us").isNotNull() & (F.col("_us") - F.col("_prev_us") <= seconds * MICROS)
-        columns[f"count_{w}"] = F.when(alive, F.col("_n") - F.col(f"_spell_{w}._n")).otherwise(
-            F.lit(0).cast("long")
+        opened = tl.sliced_last(
+            running.select(*keys, _spell_opening(seconds).alias(f"_spell_{w}")), USER, f"_spell_{w}", inclusive=True
         )
-        columns[f"amount_{w}"] = F.when(alive, F.col("_amt") - F.col(f"_spell_{w}._amt")).otherwise(0.0)
-    return columns
+        spells = spells.join(opened, keys)
+    counters = {}
+    for w, seconds in windows.items():
+        alive = F.col("_prev_us").isNotNull() & (F.col("_us") - F.col("_prev_us") <= seconds * MICROS)
+        amount = (F.col("_amt") - F.col(f"_spell_{w}._amt")).cast("double")
+        counters[f"count_{w}"] = F.when(alive, F.col("_n") - F.col(f"_spell_{w}._n")).otherwise(F.lit(0).cast("long"))
+        counters[f"amount_{w}"] = F.when(alive, amount).otherwise(0.0)
+    values = spells.select(*keys, *[c.alias(n) for n, c in counters.items()])
+    return rows.join(values, keys, "left").select(*txns.columns, *counters)
 
 
 def _spell_opening(seconds: int):
@@ -142,77 +121,20 @@ def _spell_opening(seconds: int):
     return F.when(opens, F.struct("_us", "_n", "_amt"))
 
 
-def _ordinary_idle(df: DataFrame, windows: dict[str, int]) -> DataFrame:
-    earlier, so_far = tl.before(USER), tl.until(USER)
-    running = df.withColumns(
-        {
-            "_prev_us": F.max("_us").over(earlier),
-            "_n": F.count(F.lit(1)).over(earlier),
-            "_amt": F.coalesce(F.sum("amount").over(earlier), F.lit(0.0)),
-        }
-    )
-    spells = running.withColumns(
-        {f"_spell_{w}": F.max(_spell_opening(s)).over(so_far) for w, s in windows.items()}
-    )
-    counters = _counter_columns(windows)
-    return spells.withColumns(counters).select(*df.columns, *counters)
-
-
-def _heavy_idle(df: DataFrame, windows: dict[str, int], skew: SkewConfig) -> DataFrame:
-    narrow = df.select("user_id", "_us", F.lit(1).cast("long").alias("_n"), F.col("amount").alias("_amt"))
-    totals = tl.sliced_sums(narrow.withColumn("_asks", F.lit(True)), USER, ("_n", "_amt"), skew)
-    previous = tl.sliced_last(
-        df.select("user_id", "_us", F.struct("_us").alias("_seen")), USER, "_seen", skew, inclusive=False
-    )
-    running = totals.join(previous, ["user_id", "_us"]).select(
-        "user_id", "_us", "_n", "_amt", F.col("_seen._us").alias("_prev_us")
-    )
-    for w, seconds in windows.items():
-        opened = tl.sliced_last(
-            running.select("user_id", "_us", _spell_opening(seconds).alias(f"_spell_{w}")),
-            USER, f"_spell_{w}", skew, inclusive=True,
-        )
-        running = running.join(opened, ["user_id", "_us"])
-    counters = _counter_columns(windows)
-    values = running.select("user_id", "_us", *[c.alias(n) for n, c in counters.items()])
-    return df.join(values, ["user_id", "_us"], "left").select(*df.columns, *counters)
-
-
-def same_merchant_1h(
-    txns: DataFrame, cfg: VelocityConfig = VelocityConfig(), skew: SkewConfig = SkewConfig()
-) -> DataFrame:
+def same_merchant_1h(txns: DataFrame, cfg: VelocityConfig = VelocityConfig()) -> DataFrame:
     """``same_merchant_count_1h``: the user's earlier purchases at this merchant within 1 h."""
-    # Rows without a merchant get a key of their own, so that they never meet in one task.
-    keyed = txns.withColumn(
-        "_merchant",
-        F.coalesce(
-            F.concat(F.lit("m:"), F.col("merchant_id")), F.concat(F.lit("t:"), F.col("transaction_id"))
-        ),
-    )
-    return _trailing_count(
-        keyed, ("user_id", "_merchant"), cfg.short_s, "same_merchant_count_1h", skew
-    ).drop("_merchant")
+    rows = on_timeline(txns).withColumn("_merchant", tl.own_key("merchant_id"))
+    counted = _trailing_count(rows, (*USER, "_merchant"), cfg.short_s, "same_merchant_count_1h")
+    return counted.select(*txns.columns, "same_merchant_count_1h")
 
 
-def burst_rate(txns: DataFrame, skew: SkewConfig = SkewConfig()) -> DataFrame:
+def burst_rate(txns: DataFrame) -> DataFrame:
     """``burst_per_minute``: the user's transactions per minute over the trailing 5 minutes."""
-    counted = _trailing_count(txns, USER, 300, "_burst", skew)
-    return counted.withColumn("burst_per_minute", F.col("_burst") / 5.0).drop("_burst")
-
-
-def _trailing_count(
-    txns: DataFrame, keys: tuple[str, ...], seconds: int, name: str, skew: SkewConfig
-) -> DataFrame:
-    def heavy(df: DataFrame) -> DataFrame:
-        counts = tl.sliced_trailing(
-            df.select(*keys, "_us", F.lit(1).cast("long").alias("n")), keys, ("n",), {"w": seconds}, skew
-        ).withColumnRenamed("n_w", name)
-        return df.join(counts, [*keys, "_us"], "left").select(*df.columns, name)
-
-    return tl.by_weight(
-        txns.withColumn("_us", micros(F.col("event_time"))),
-        keys,
-        lambda df: df.withColumn(name, F.count(F.lit(1)).over(tl.trailing(keys, seconds))),
-        heavy,
-        skew,
-    ).drop("_us")
+    counted = _trailing_count(on_timeline(txns), USER, 300, "_burst")
+    return counted.select(*txns.columns, (F.col("_burst") / 5.0).alias("burst_per_minute"))
+
+
+def _trailing_count(rows: DataFrame, keys: tuple[str, ...], seconds: int, name: str) -> DataFrame:
+    ones = rows.select(*keys, "_us", F.lit(1).cast("long").alias("n"))
+    counts = tl.sliced_trailing(ones, keys, ("n",), {"w": seconds}).withColumnRenamed("n_w", name)
+    return rows.join(counts, [*keys, "_us"], "left")

@@ -50,12 +50,16 @@ def compute_features(
     return True
 
 
+def recent_decisions(spark: SparkSession, base: str, as_of: dt.date, days: int) -> DataFrame:
+    """Current decisions of the last ``days`` days. A decision keeps its date in all versions (its
+    id follows from the transaction), so older partitions are left out before versions are compared."""
+    versions = lake.read_versions(spark, lake.layer(base, "gold_decisions"))
+    return lake.current(lake.since(versions, "decision_date", as_of, days), "decision_id", ("batch_id", "event_time"))
+
+
 def compute_analytics(spark: SparkSession, base: str, as_of: dt.date, days: int = 7) -> list[str]:
     """Daily roll-ups of the last ``days`` days; returns the paths written."""
-    gold = lake.read_current(
-        spark, lake.layer(base, "gold_decisions"), "decision_id", ("batch_id", "event_time")
-    )
-    made = lake.since(gold, "decision_date", as_of, days)
+    made = recent_decisions(spark, base, as_of, days)
     enriched = lake.load_since(spark, lake.layer(base, "silver_enriched"), "date_partition", as_of, days)
     rollups = {
         "fraud_by_country": analytics.fraud_by_country(made, enriched),

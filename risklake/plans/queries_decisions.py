@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from risklake import schemas
 from risklake.config import AGENTS, LATENCY_BOUNDS_S, TrainingConfig
 from risklake.operators import analytics, decisions, quality, scoring, training
+from risklake.plans import jobs
 from risklake.plans.queries_features import enriched_rows
 from risklake.plans.registry import register, rounded
 from risklake.plans.sql_parts import DECIDING, SCORING, with_parts
@@ -105,16 +106,41 @@ def decision_rows(spark, sf_dir):
                "decisions"),
 )
 def collected_decisions(spark, sf_dir):
-    """Verdicts as separate rows: every seventh transaction lacks one, some come twice."""
+    """Verdicts as separate rows: every seventh transaction lacks one; some come three times,
+    the later ones with another score."""
     verdicts = scoring.score_all(enriched_rows(spark, sf_dir), SCORING)
     number = F.substring("transaction_id", 5, 20).cast("long")
     arrived = verdicts.filter(~((number % 7 == 0) & (F.col("agent_type") == "network")))
     copies = F.when((number % 5 == 0) & (F.col("agent_type") == "velocity"), 3).otherwise(1)
-    delivered = arrived.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
-    out = decisions.decide(decisions.collect_verdicts(delivered), DECIDING)
+    delivered = arrived.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+    said = F.when(F.col("_copy") == 1, F.col("risk_score")).otherwise(0.0)
+    out = decisions.decide(decisions.collect_verdicts(delivered.withColumn("risk_score", said), "_copy"), DECIDING)
     return out.select("transaction_id", "final_risk_score", "action", "total_latency_ms")
 
 
+@register(
+    "recent_decisions",
+    with_parts(
+        """SELECT decision_id, CASE WHEN CAST(substr(transaction_id, 5) AS BIGINT) % 3 = 0 THEN CAST(0 AS DOUBLE)
+                  ELSE final_risk_score END AS final_risk_score, CAST(CAST(event_time AS DATE) AS STRING) AS decision_date
+           FROM decisions WHERE CAST(event_time AS DATE) >= DATE '2024-01-13'""",
+        "decisions",
+    ),
+)
+def recent_decisions(spark, sf_dir):
+    """Gold decisions of many days in two versions, read the way the daily job does."""
+    base = scratch_path(spark, "gold")
+    made = decisions.with_decision_columns(decided_rows(spark, sf_dir)).select(
+        "decision_id", "transaction_id", "final_risk_score", "event_time", "decision_date"
+    )
+    gold = lake.layer(base, "gold_decisions")
+    lake.upsert(made.withColumn("final_risk_score", F.lit(0.0)), gold, 0, partition_by=["decision_date"])
+    number = F.substring("transaction_id", 5, 20).cast("long")
+    lake.upsert(made.filter(number % 3 != 0), gold, 1, partition_by=["decision_date"])
+    current = jobs.recent_decisions(spark, base, dt.date(2024, 1, 20), 7)
+    return current.select("decision_id", "final_risk_score", F.col("decision_date").cast("string").alias("decision_date"))
+
+
 @register(
     "needs_explanation",
     with_parts(

@@ -133,7 +133,7 @@ def test_score_all_equals_single_scorers_and_has_no_shuffle_or_python(spark):
 def verdict_rows(spark, scores, extra=()):
     """scores: {transaction: {agent: score}}"""
     rows = [(t, a, s, f"r {a}", 10.0) for t, by in scores.items() for a, s in by.items()] + list(extra)
-    return spark.createDataFrame(rows, "transaction_id string, agent_type string, risk_score double, reasoning string, latency_ms double")
+    return spark.createDataFrame(rows, "transaction_id string, agent_type string, risk_score double, reasoning string, latency_ms double").withColumn("at", F.lit(0))
 
 
 def all_four(score):
@@ -143,7 +143,7 @@ def all_four(score):
 def test_decision_bands(spark):
     scores = {"a": all_four(0.1), "b": all_four(0.55), "c": all_four(0.9), "d": all_four(1.0), "e": all_four(0.75),
               "f": all_four(0.4), "g": {"velocity": 1.0, "geolocation": 0.0, "behavioral": 0.5, "network": 0.2}}
-    out = decisions.decide(decisions.collect_verdicts(verdict_rows(spark, scores)))
+    out = decisions.decide(decisions.collect_verdicts(verdict_rows(spark, scores), "at"))
     got = {r["transaction_id"]: r for r in out.collect()}
     assert {t: (r["action"], r["risk_level"], r["final_risk_score"]) for t, r in got.items()} == {
         "a": ("approve", "low", 0.1), "b": ("review", "medium", 0.55), "c": ("decline", "critical", 0.9),
@@ -161,14 +161,22 @@ def test_decision_bands(spark):
 def test_incomplete_duplicate_and_unknown_verdicts(spark):
     scores = {"full": all_four(0.2), "three": {a: 0.9 for a in AGENTS[:3]}}
     copies = [("three", "velocity", 0.9, "r velocity", 10.0)] * 5 + [("three", "supervisor", 0.9, "s", 1.0)]
-    collected = decisions.collect_verdicts(verdict_rows(spark, scores, copies + copies))
+    collected = decisions.collect_verdicts(verdict_rows(spark, scores, copies + copies), "at")
     assert [r["transaction_id"] for r in collected.collect()] == ["full"]
-    lone = decisions.decide(decisions.collect_verdicts(verdict_rows(spark, {"x": {"network": 0.8}}), expected=1)).first()
+    lone = decisions.decide(decisions.collect_verdicts(verdict_rows(spark, {"x": {"network": 0.8}}), "at", expected=1)).first()
     assert (lone["final_risk_score"], lone["action"]) == (0.8, "decline")
 
 
+def test_the_verdict_that_arrived_first_counts_and_one_shuffle_is_enough(spark):
+    rows = verdict_rows(spark, {"a": {"network": 0.9}}).unionByName(
+        verdict_rows(spark, {"a": {"network": 0.1}}).withColumn("at", F.lit(1)))
+    collected = decisions.collect_verdicts(rows, "at", expected=1)
+    assert collected.first()["verdicts"][0]["risk_score"] == 0.9
+    assert collected._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_explanations_and_training_records(spark):
-    collected = decisions.collect_verdicts(verdict_rows(spark, {"b": all_four(0.55), "c": all_four(0.9)}))
+    collected = decisions.collect_verdicts(verdict_rows(spark, {"b": all_four(0.55), "c": all_four(0.9)}), "at")
     request = decisions.explanation_requests(collected).collect()
     assert len(request) == 1 and '"weighted_score":0.55' in request[0]["request"]
     assert '"transaction":{"transaction_id":"b"}' in request[0]["request"]

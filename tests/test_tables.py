@@ -218,3 +218,16 @@ def test_analytics_job(spark, stored):
     assert [p.rsplit("/", 1)[1] for p in paths] == list(jobs.ROLLUP_CLUSTERS)
     by_country = spark.read.parquet(f"{paths[0]}_clustered")
     assert by_country.agg(F.sum("total_decisions")).first()[0] == read_decisions(spark, stored).count() == 1000
+
+
+def test_daily_job_reads_recent_dates_only(spark, tmp_path):
+    """The date filter reaches the scan of the decision table."""
+    rows = [(f"d{i}", 0.5, dt.datetime(2024, 1, i), dt.date(2024, 1, i)) for i in range(1, 20)]
+    df = spark.createDataFrame(rows, "decision_id string, final_risk_score double, event_time timestamp, decision_date date")
+    base = str(tmp_path)
+    for batch in (0, 1):
+        lake.upsert(df.withColumn("final_risk_score", F.lit(float(batch))), lake.layer(base, "gold_decisions"), batch, partition_by=["decision_date"])
+    made = jobs.recent_decisions(spark, base, dt.date(2024, 1, 19), 3)
+    scan = next(x for x in made._jdf.queryExecution().toString().splitlines() if "FileScan" in x)
+    assert "decision_date" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert sorted((r["decision_id"], r["final_risk_score"]) for r in made.collect()) == [(f"d{i}", 1.0) for i in range(16, 20)]

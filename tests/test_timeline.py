@@ -1,22 +1,20 @@
-"""Ordinary and heavy plans agree with each other and with brute force."""
+"""Histories against brute force, among them one of very many rows."""
 
 from __future__ import annotations
 
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from risklake.config import SkewConfig, VelocityConfig
+from risklake.config import VelocityConfig
 from risklake.functions.scalars import haversine_km
 from risklake.operators import behavioral, device, enrich, geo, velocity
 from risklake.operators import feature_store as fs
 from risklake.sources import events as ev
 
-ALL_HEAVY = SkewConfig(min_rows=1)
-MIXED = SkewConfig(min_rows=40)
-PLAIN = SkewConfig()
 T0 = dt.datetime(2024, 5, 1)
 SCHEMA = (
     "transaction_id string, user_id string, merchant_id string, amount double, event_time timestamp, "
@@ -49,9 +47,8 @@ def keyed(df, *cols):
     return out
 
 
-@pytest.mark.parametrize("skew", [PLAIN, MIXED, ALL_HEAVY])
-def test_velocity_against_brute_force(dense, skew):
-    got = keyed(velocity.velocity_features(dense, skew=skew), *velocity.COLUMNS)
+def test_velocity_against_brute_force(dense):
+    got = keyed(velocity.velocity_features(dense), *velocity.COLUMNS)
     rows = dense.collect()
     for r in rows:
         past = [p for p in rows if p["user_id"] == r["user_id"] and p["event_time"] < r["event_time"]]
@@ -64,9 +61,8 @@ def test_velocity_against_brute_force(dense, skew):
         assert got[r["transaction_id"]] == want
 
 
-@pytest.mark.parametrize("skew", [PLAIN, MIXED, ALL_HEAVY])
-def test_idle_reset_against_brute_force(dense, skew):
-    got = keyed(velocity.idle_reset_counters(dense, skew=skew), "count_1h", "amount_1h", "count_24h", "amount_24h")
+def test_idle_reset_against_brute_force(dense):
+    got = keyed(velocity.idle_reset_counters(dense), "count_1h", "amount_1h", "count_24h", "amount_24h")
     rows = dense.collect()
     for user in {r["user_id"] for r in rows}:
         mine = sorted((r for r in rows if r["user_id"] == user), key=lambda r: r["event_time"])
@@ -84,9 +80,8 @@ def test_idle_reset_against_brute_force(dense, skew):
             assert got[r["transaction_id"]] == tuple(want), r
 
 
-@pytest.mark.parametrize("skew", [PLAIN, MIXED, ALL_HEAVY])
-def test_geo_against_brute_force(dense, skew):
-    got = keyed(geo.geo_features(dense, skew=skew), "last_txn_latitude", "last_country_code", "is_new_country", "is_new_city")
+def test_geo_against_brute_force(dense):
+    got = keyed(geo.geo_features(dense), "last_txn_latitude", "last_country_code", "is_new_country", "is_new_city")
     rows = dense.collect()
     for r in rows:
         past = [p for p in rows if p["user_id"] == r["user_id"] and p["event_time"] < r["event_time"]]
@@ -96,14 +91,13 @@ def test_geo_against_brute_force(dense, skew):
         assert got[r["transaction_id"]] == want
 
 
-@pytest.mark.parametrize("skew", [PLAIN, MIXED, ALL_HEAVY])
-def test_device_against_brute_force(spark, dense, skew):
+def test_device_against_brute_force(spark, dense):
     labels = spark.createDataFrame(
         [("hot", T0 + dt.timedelta(hours=20)), ("u2", T0 + dt.timedelta(hours=1)), ("u4", T0 + dt.timedelta(hours=40)),
          ("u4", T0 + dt.timedelta(hours=30)), ("elsewhere", T0)],
         "user_id string, fraud_time timestamp",
     )
-    got = keyed(device.device_features(dense, labels, skew=skew), *device.COLUMNS)
+    got = keyed(device.device_features(dense, labels), *device.COLUMNS)
     rows = dense.collect()
     first_label = {}
     for r in labels.collect():
@@ -115,14 +109,13 @@ def test_device_against_brute_force(spark, dense, skew):
         assert got[r["transaction_id"]] == (bool(past), len(linked)), r
 
 
-@pytest.mark.parametrize("skew", [PLAIN, MIXED, ALL_HEAVY])
-def test_point_in_time_join_against_brute_force(spark, dense, skew):
+def test_point_in_time_join_against_brute_force(spark, dense):
     left = dense.filter("transaction_id < 't120'")
     history = dense.filter("transaction_id >= 't120'").select(
         "user_id", F.date_trunc("day", "event_time").alias("event_timestamp"), "country_code"
     ).groupBy("user_id", "event_timestamp").agg(F.max("country_code").alias("last_country_code"))
     got = keyed(
-        fs.point_in_time_join(left, fs.GEO_STATS, history, features=["last_country_code"], skew=skew),
+        fs.point_in_time_join(left, fs.GEO_STATS, history, features=["last_country_code"]),
         "last_country_code", "event_timestamp",
     )
     held = history.collect()
@@ -147,22 +140,61 @@ def test_expired_features_are_null(spark):
     assert [r["txn_count_1h"] for r in online.orderBy("user_id", "event_time").collect()] == [3, 3, 3, None, None]
 
 
-def test_whole_enrichment_is_the_same_with_heavy_keys(dense, spark):
+def test_enrichment_equals_its_parts(dense, spark):
     labels = spark.createDataFrame([("hot", T0)], "user_id string, fraud_time timestamp")
     rows = dense.withColumn("merchant_category_code", F.lit("5411"))
-    profile = behavioral.behavioral_features(rows)
-
-    def run(skew):
-        out = enrich.enrich_history(rows, profile, labels, skew=skew)
-        return keyed(out, *[f.name for f in enrich.FEATURES.fields])
-
-    assert run(PLAIN) == run(MIXED)
-
-
-@pytest.mark.parametrize("skew", [PLAIN, ALL_HEAVY])
-def test_extra_signals(dense, skew):
-    same = keyed(velocity.same_merchant_1h(dense, VelocityConfig(short_s=86_400), skew), "same_merchant_count_1h")
-    burst = keyed(velocity.burst_rate(dense, skew), "burst_per_minute")
+    whole = enrich.enrich_history(rows, behavioral.behavioral_features(rows), labels)
+    for part, names in (
+        (velocity.velocity_features(rows), velocity.COLUMNS),
+        (geo.geo_features(rows), ("is_new_country", "is_new_city")),
+        (device.device_features(rows, labels), device.COLUMNS),
+    ):
+        assert keyed(whole, *names) == keyed(part, *names)
+
+
+def test_rows_without_a_user_have_no_history(spark):
+    rows = [(f"t{i}", None, "m", 5.0, T0 + dt.timedelta(minutes=i), 1.0, 1.0, "US", "A", None) for i in range(3)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert set(keyed(velocity.velocity_features(df), *velocity.COLUMNS).values()) == {(0, 0.0, 0, 0.0, 0)}
+    assert set(keyed(velocity.idle_reset_counters(df), "count_1h", "amount_24h").values()) == {(0, 0.0)}
+    assert set(keyed(geo.geo_features(df), "last_txn_latitude", "is_new_country").values()) == {(None, False)}
+
+
+def test_sums_are_exact_beside_large_amounts(spark):
+    amounts = [1e12, 0.01, 0.01]
+    rows = [(f"t{i}", "u", "m", a, T0 + dt.timedelta(hours=2 * min(i, 1), minutes=i), 1.0, 1.0, "US", "A", None) for i, a in enumerate(amounts)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert keyed_exact(velocity.idle_reset_counters(df), "amount_1h")["t2"] == 0.01
+    assert keyed_exact(velocity.velocity_features(df), "amount_sum_1h")["t2"] == 0.01
+
+
+def keyed_exact(df, col):
+    return {r["transaction_id"]: r[col] for r in df.collect()}
+
+
+def test_a_user_with_very_many_rows_in_one_day(spark):
+    """Linear: a sliding frame would take hours here. Compared with running totals."""
+    n = 200_000
+    step = 86_400_000_000 // n
+    df = spark.range(n).select(
+        F.concat(F.lit("t"), "id").alias("transaction_id"), F.lit("u").alias("user_id"),
+        F.concat(F.lit("m"), F.col("id") % 9000).alias("merchant_id"), ((F.col("id") % 1000) / 100.0).alias("amount"),
+        F.timestamp_micros(F.lit(1_714_521_600_000_000) + F.col("id") * step).alias("event_time"), "id",
+    )
+    hour = 3_600_000_000 // step
+    out = velocity.velocity_features(df).select("id", *velocity.COLUMNS).toPandas().sort_values("id")
+    cents = np.concatenate([[0], np.cumsum(np.arange(n) % 1000)])
+    at = np.arange(n)
+    low = np.maximum(at - hour, 0)
+    assert (out["txn_count_1h"].to_numpy() == at - low).all()
+    assert (out["amount_sum_1h"].to_numpy() == (cents[at] - cents[low]) / 100).all()
+    assert (out["amount_sum_24h"].to_numpy() == cents[at] / 100).all()
+    assert (out["unique_merchants_1h"].to_numpy() == np.minimum(at - low, 9000)).all()
+
+
+def test_extra_signals(dense):
+    same = keyed(velocity.same_merchant_1h(dense, VelocityConfig(short_s=86_400)), "same_merchant_count_1h")
+    burst = keyed(velocity.burst_rate(dense), "burst_per_minute")
     rows = dense.collect()
     for r in rows:
         past = [p for p in rows if p["user_id"] == r["user_id"] and p["event_time"] < r["event_time"]]
@@ -189,12 +221,12 @@ def test_impossible_travel(spark):
     assert {r["transaction_id"]: r["impossible_travel"] for r in out.collect()} == {"a": False, "b": True, "c": False}
 
 
-def test_plain_plan_moves_the_rows_once(txns):
-    """Velocity, location and profile of ordinary users share one distribution by user."""
-    plan = velocity.ordinary_velocity(txns.withColumn("_us", F.unix_micros("event_time")), VelocityConfig())
-    plan = geo.ordinary_geo(plan)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+def test_building_runs_no_job_and_no_python(txns):
+    tracker = txns.sparkSession.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    plan = geo.geo_features(velocity.velocity_features(txns))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+    assert len(tracker.getJobIdsForGroup(None)) == before
 
 
 def test_reduced_scan(txns):
