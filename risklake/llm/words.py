@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 #: White space that separates words: 0x20 and 0x09 to 0x0D.
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 #: Texts are worked on in blocks of about so many bytes; a longer text is a block of its own.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 1_000_000
 
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 
@@ -29,7 +29,6 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=8)
 def _powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base modulo 2**64, and of its inverse."""
     base = int(_BASE[seed])
@@ -42,8 +41,14 @@ def _powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     return for_base[0], for_base[1]
 
 
+@lru_cache(maxsize=2)
+def _usual_powers(seed: int) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(seed, BLOCK_BYTES)
+
+
 def powers(seed: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(seed, 1 << max(16, int(size).bit_length()))
+    """At least ``size + 1`` of them. A worker keeps those for a usual block, not for a longer text."""
+    return _usual_powers(seed) if size <= BLOCK_BYTES else _powers(seed, size)
 
 
 @lru_cache(maxsize=4)
