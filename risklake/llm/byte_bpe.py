@@ -66,21 +66,19 @@ class PerfectHash:
         return self.values[slot] if slot >= 0 and self.keys[slot] == key else None
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as file:
+        pairs = [line.split() for line in file if line.strip()]
+    return {base64.b64decode(a): int(b) for a, b in pairs}
+
+
 class Vocabulary:
-    """Ranks of byte strings, as a perfect hash and as an inverse table for decoding."""
+    """Ranks of byte strings, and a perfect hash of them."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as file:
-            pairs = [line.split() for line in file if line.strip()]
-        self.ranks = {base64.b64decode(a): int(b) for a, b in pairs}
+        self.ranks = read_ranks(path)
         self.pairs = {tuple(key): rank for key, rank in self.ranks.items() if len(key) == 2}
         self.whole = PerfectHash(list(self.ranks), list(self.ranks.values()))
-        top = max(self.ranks.values(), default=-1) + 1
-        parts = [b""] * top
-        for key, rank in self.ranks.items():
-            parts[rank] = key
-        self.bytes = np.frombuffer(b"".join(parts), np.uint8)
-        self.ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -125,6 +123,18 @@ class Vocabulary:
             at = stop
         return out
 
+
+class Pieces:
+    """Byte strings by rank, all a worker needs to decode."""
+
+    def __init__(self, path: str):
+        ranks = read_ranks(path)
+        parts = [b""] * (max(ranks.values(), default=-1) + 1)
+        for key, rank in ranks.items():
+            parts[rank] = key
+        self.bytes = np.frombuffer(b"".join(parts), np.uint8)
+        self.ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+
     def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all ids, and the place behind each id's."""
         first, size = self.ends[ids], self.ends[ids + 1] - self.ends[ids]
@@ -138,6 +148,11 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@lru_cache(maxsize=2)
+def _pieces(path: str) -> Pieces:
+    return Pieces(path)
+
+
 @lru_cache(maxsize=2)
 def _memory(path: str) -> Memory:
     known = vocabulary(path)
@@ -186,7 +201,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids", bytes_col: str =
     kept = source.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(path)
+        known = _pieces(path)
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)

@@ -89,9 +89,12 @@ class Pretokens(Words):
 
 class Memory:
     """Values by pre-token. Those of ``fixed`` stay; others are worked out when first met, and
-    forgotten all at once when there are ``limit`` of them, so that a worker's memory is bounded."""
+    forgotten all at once when there are ``limit`` of them, so that a worker's memory is bounded.
+    A pre-token of over ``LONG`` bytes, which hardly comes again, is worked out each time."""
 
-    def __init__(self, work: Callable[[list[bytes]], Iterable], fixed: dict | None = None, limit: int = 400_000):
+    LONG = 64
+
+    def __init__(self, work: Callable[[list[bytes]], Iterable], fixed: dict | None = None, limit: int = 200_000):
         self.work, self.limit = work, limit
         self.fixed = fixed or {}
         self.met: dict = {}
@@ -104,5 +107,7 @@ class Memory:
         missing = [i for i, value in enumerate(out) if value is None]
         new = [pieces[i] for i in missing]
         for i, piece, value in zip(missing, new, self.work(new)):
-            out[i] = met[piece] = value
+            out[i] = value
+            if len(piece) <= self.LONG:
+                met[piece] = value
         return out
