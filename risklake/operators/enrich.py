@@ -82,7 +82,8 @@ def enrich_history(
     ip_reputation: DataFrame | None = None,
     cfg: VelocityConfig = VelocityConfig(),
 ) -> DataFrame:
-    """All 14 features for a whole history of transactions, each as of its own instant.
+    """All 14 features for a whole history of transactions: velocity, location and device as
+    of each row's instant; profile and address scores as given, the same on every row.
 
     ``txns`` must have unique ids (``lake.first_per_key`` makes them so): a repeated
     delivery is no second purchase. ``behavioral`` is the per-user profile in force.
