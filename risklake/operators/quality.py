@@ -70,10 +70,15 @@ def only_verdicts(df: DataFrame) -> DataFrame:
     return df.filter(F.col("agent_type").isin(*AGENTS))
 
 
+def daily_volume(df: DataFrame, minimum: int = 100) -> DataFrame:
+    """Per ``date_partition``: are there at least ``minimum`` rows?"""
+    return df.groupBy("date_partition").agg((F.count(F.lit(1)) >= minimum).alias("enough"))
+
+
 def has_min_rows(df: DataFrame, date: dt.date, minimum: int = 100) -> bool:
-    """Is there enough data for a day? Stops reading once ``minimum`` rows are seen."""
-    day = df.filter(F.col("date_partition") == F.lit(date)).select(F.lit(1))
-    return day.limit(minimum).count() >= minimum
+    """Is there enough data for a day? Reads that day's partition only."""
+    day = df.filter(F.col("date_partition") == F.lit(date))
+    return not daily_volume(day, minimum).filter("enough").isEmpty()
 
 
 def validate_training(df: DataFrame, cfg: TrainingConfig = TrainingConfig()) -> DataFrame:

@@ -14,7 +14,7 @@ from risklake.plans import jobs
 from risklake.plans.queries_features import enriched_rows
 from risklake.plans.registry import register, rounded
 from risklake.plans.sql_parts import DECIDING, SCORING, with_parts
-from risklake.session import scratch_path
+from risklake.session import cut_lineage, scratch_path
 from risklake.sources import events as ev
 from risklake.sources import lake, messages
 from risklake.streaming.windows import velocity_windows
@@ -334,6 +334,50 @@ def approx_distinct_windows(spark, sf_dir):
     return _windows(spark, sf_dir, exact=False)
 
 
+@register(
+    "approx_distinct_error",
+    with_parts(
+        """SELECT DISTINCT user_id, epoch_us(date_trunc('hour', event_time)) AS start_us,
+                  true AS merchants_ok, true AS countries_ok FROM txns""",
+        "txns",
+    ),
+)
+def approx_distinct_error(spark, sf_dir):
+    """Per window: are the sketched distinct counts within three standard errors of 5 % (or 1) of the exact ones?"""
+    txns = ev.transactions(spark, sf_dir)
+    keys, counts = ["user_id", "window_start"], ["unique_merchants", "unique_countries"]
+    exact = velocity_windows(txns, exact=True).select(*keys, *[F.col(c).alias(f"exact_{c}") for c in counts])
+    both = velocity_windows(txns).select(*keys, *counts).join(exact, keys, "full")
+
+    def close(name: str):
+        off = F.abs(F.col(name) - F.col(f"exact_{name}")) <= F.greatest(F.lit(1.0), 0.15 * F.col(f"exact_{name}"))
+        return F.coalesce(off, F.lit(False))
+
+    return both.select(
+        "user_id", F.unix_micros("window_start").alias("start_us"),
+        close("unique_merchants").alias("merchants_ok"), close("unique_countries").alias("countries_ok"),
+    )
+
+
+@register(
+    "approx_p95_error",
+    with_parts("SELECT DISTINCT CAST(CAST(event_time AS DATE) AS STRING) AS decision_date, true AS p95_ok FROM txns", "txns"),
+)
+def approx_p95_error(spark, sf_dir):
+    """Per day: is the rank of the sketched percentile within its stated error of n / 10,000 (or 1)?"""
+    made = cut_lineage(
+        decided_rows(spark, sf_dir).select("event_time", "action", "final_risk_score", "total_latency_ms")
+    )
+    sketched = analytics.daily_kpis(made).select("decision_date", F.col("p95_latency_ms").alias("p95"))
+    days = made.withColumn("decision_date", F.to_date("event_time")).join(sketched, "decision_date", "left")
+    latency, n = F.col("total_latency_ms"), F.count("total_latency_ms")
+    slack = n / 10_000 + 1
+    ok = (F.count_if(latency < F.col("p95")) <= 0.95 * n + slack) & (F.count_if(latency <= F.col("p95")) >= 0.95 * n - slack)
+    return days.groupBy("decision_date").agg(ok.alias("p95_ok")).withColumn(
+        "decision_date", F.col("decision_date").cast("string")
+    )
+
+
 # --- tables ----------------------------------------------------------------------------
 
 
@@ -548,3 +592,45 @@ def model_scores(spark, sf_dir):
     model = training.train(learn.persist(), _MODEL_FEATURES, cfg)
     learn.unpersist()
     return training.predict(rest, model, _MODEL_FEATURES).select("record_id", "label", "fraud_probability")
+
+
+_SHARE = "CAST('0x' || substr(md5(transaction_id || '|42'), 1, 8) AS BIGINT) % 100"
+
+
+@register("training_split", with_parts(f"SELECT transaction_id AS record_id, {_SHARE} < 80 AS in_train FROM txns", "txns"))
+def training_split(spark, sf_dir):
+    """Which records are learnt from."""
+    learn, rest = training.split(_training_table(spark, sf_dir))
+    return learn.select("record_id", F.lit(True).alias("in_train")).unionByName(
+        rest.select("record_id", F.lit(False).alias("in_train"))
+    )
+
+
+@register(
+    "trained_model",
+    with_parts(
+        f"""SELECT transaction_id AS record_id, CAST(hour(event_time) < 6 AS INT) AS label,
+                   CASE WHEN k % 50 = 7 THEN CAST(0 AS DOUBLE) ELSE amount END AS amount,
+                   true AS in_range, true AS called_right, true AS good, true AS promoted
+            FROM txns WHERE {_SHARE} >= 80""",
+        "txns",
+    ),
+)
+def trained_model(spark, sf_dir):
+    """A label that follows from one feature: trained, judged, promoted, loaded, and used on the other records."""
+    names = ["amount", "hour_of_day", "network_risk"]
+    records = _training_table(spark, sf_dir).withColumn("label", (F.hour("created_at") < 6).cast("int"))
+    # Trees read their input many times; the features are stored once.
+    rows = cut_lineage(training.expand_features(records, names))
+    cfg = TrainingConfig(trees=3, depth=2)
+    learn, rest = training.split(rows, cfg)
+    model = training.train(learn, names, cfg)
+    metrics = training.evaluate(model, rest, names)
+    path = scratch_path(spark, "model")
+    promoted = training.promote(model, metrics, path, cfg)
+    p = F.col("fraud_probability")
+    return training.predict(rest, path, names).select(
+        "record_id", "label", "amount", p.between(0.0, 1.0).alias("in_range"),
+        ((p >= 0.5) == (F.col("label") == 1)).alias("called_right"),
+        F.lit(metrics["roc_auc"] >= 0.9).alias("good"), F.lit(promoted).alias("promoted"),
+    )

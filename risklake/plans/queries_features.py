@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from risklake.config import MERCHANT_RISK, VelocityConfig
-from risklake.functions.scalars import haversine_km
+from risklake.functions.scalars import category_hash, haversine_km
 from risklake.operators import behavioral, device, enrich, geo, quality, velocity
 from risklake.operators import feature_store as fs
 from risklake.plans.registry import register, rounded
@@ -19,17 +19,21 @@ from risklake.sources import lake
 
 # --- gates ---------------------------------------------------------------------------
 
-_RAW = """
+RAW = """
     SELECT CASE WHEN k = 40 THEN NULL ELSE transaction_id END AS transaction_id,
            CASE WHEN k = 50 THEN NULL ELSE user_id END AS user_id, event_id,
            CASE WHEN k % 20 = 0 THEN NULL WHEN k % 20 = 1 THEN 'abc' WHEN k % 20 = 2 THEN '-1'
                 WHEN k % 20 = 3 THEN '0' ELSE CAST(amount AS STRING) END AS amount,
            CASE WHEN k = 60 THEN NULL WHEN k = 61 THEN 'nope' ELSE CAST(event_time AS STRING) END AS "timestamp"
     FROM txns"""
-_GATED = f"""
-    FROM (SELECT *, TRY_CAST("timestamp" AS TIMESTAMP) AS seen, TRY_CAST(amount AS DOUBLE) AS paid FROM ({_RAW}))"""
-_PASSES = "transaction_id IS NOT NULL AND user_id IS NOT NULL AND coalesce(paid > 0, false) AND seen IS NOT NULL"
+GATED = f"""
+    FROM (SELECT *, TRY_CAST("timestamp" AS TIMESTAMP) AS seen, TRY_CAST(amount AS DOUBLE) AS paid FROM ({RAW}))"""
+PASSES = "transaction_id IS NOT NULL AND user_id IS NOT NULL AND coalesce(paid > 0, false) AND seen IS NOT NULL"
 
+REASONS = """concat_ws(', ', CASE WHEN transaction_id IS NULL THEN 'transaction_id missing' END,
+              CASE WHEN user_id IS NULL THEN 'user_id missing' END,
+              CASE WHEN NOT coalesce(paid > 0, false) THEN 'amount not positive' END,
+              CASE WHEN seen IS NULL THEN 'timestamp missing' END)"""
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions as text, some of them damaged."""
@@ -45,7 +49,7 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("dq_good", with_parts(f"SELECT event_id, transaction_id, user_id, paid AS amount {_GATED} WHERE {_PASSES}", "txns"))
+@register("dq_good", with_parts(f"SELECT event_id, transaction_id, user_id, paid AS amount {GATED} WHERE {PASSES}", "txns"))
 def dq_good(spark, sf_dir):
     good, _ = quality.split_valid(quality.normalise(raw_rows(spark, sf_dir)))
     return good.select("event_id", "transaction_id", "user_id", "amount")
@@ -54,12 +58,7 @@ def dq_good(spark, sf_dir):
 @register(
     "dq_bad",
     with_parts(
-        f"""SELECT event_id, concat_ws(', ',
-              CASE WHEN transaction_id IS NULL THEN 'transaction_id missing' END,
-              CASE WHEN user_id IS NULL THEN 'user_id missing' END,
-              CASE WHEN NOT coalesce(paid > 0, false) THEN 'amount not positive' END,
-              CASE WHEN seen IS NULL THEN 'timestamp missing' END) AS reasons
-            {_GATED} WHERE NOT ({_PASSES})""",
+        f"SELECT event_id, {REASONS} AS reasons {GATED} WHERE NOT ({PASSES})",
         "txns",
     ),
 )
@@ -98,9 +97,7 @@ def contract_check(spark, sf_dir):
 def silver_volume_gate(spark, sf_dir):
     """The daily volume gate for every day of the table at once."""
     rows = lake.with_date_partition(ev.transactions(spark, sf_dir))
-    return rows.groupBy("date_partition").agg((F.count(F.lit(1)) >= 100).alias("enough")).select(
-        F.col("date_partition").cast("string").alias("day"), "enough"
-    )
+    return quality.daily_volume(rows).select(F.col("date_partition").cast("string").alias("day"), "enough")
 
 
 # --- reference joins and scalars -------------------------------------------------------
@@ -259,6 +256,38 @@ def user_amount_stats(spark, sf_dir):
     return rounded(out, 6, "avg_txn_amount_30d", "stddev_txn_amount_30d")
 
 
+# The 32-bit Murmur3 hash, seed 42, of the table's category codes.
+_CATEGORY_HASHES = (
+    ("5411", 1366658706), ("5732", 1125261409), ("5812", -388231877), ("5912", 1670560257),
+    ("7995", 2106764947), ("6051", -45289912), ("4829", 628799438), ("6211", -1191601706),
+    ("5999", 1133079546), ("5541", -31164867),
+)
+_HASHES = "(VALUES " + ", ".join(f"('{c}', CAST({h} AS FLOAT))" for c, h in _CATEGORY_HASHES) + ") AS m(code, h)"
+
+
+@register(
+    "category_hash",
+    with_parts(
+        f"""SELECT transaction_id, coalesce(h, CAST(42 AS FLOAT)) AS hashed
+            FROM txns LEFT JOIN {_HASHES} ON m.code = CASE WHEN k <> 5 THEN merchant_category_code END""",
+        "txns",
+    ),
+)
+def category_hashes(spark, sf_dir):
+    """The numeric stand-in of every row's category; some rows have none."""
+    code = F.when(F.col("k") != 5, F.col("merchant_category_code"))
+    return ev.transactions(spark, sf_dir).select("transaction_id", category_hash(code).alias("hashed"))
+
+
+@register(
+    "most_common_mcc",
+    with_parts(f"SELECT user_id, h AS most_common_mcc FROM top_mcc JOIN {_HASHES} ON m.code = top_mcc", "top_mcc"),
+)
+def most_common_mcc(spark, sf_dir):
+    out = behavioral.behavioral_features(ev.transactions(spark, sf_dir))
+    return out.select("user_id", "most_common_mcc")
+
+
 @register("top_mcc", with_parts("SELECT user_id, top_mcc, mcc_freq FROM top_mcc", "top_mcc"))
 def top_mcc(spark, sf_dir):
     return behavioral.top_category(ev.transactions(spark, sf_dir))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,7 +13,7 @@ from risklake.config import DEFAULT_MERCHANT_RISK, MERCHANT_RISK
 from risklake.operators import scoring
 from risklake.operators.velocity import COLUMNS
 from risklake.plans.queries_decisions import decided_rows
-from risklake.plans.queries_features import enriched_rows
+from risklake.plans.queries_features import GATED, PASSES, REASONS, enriched_rows, raw_rows
 from risklake.plans.registry import register, rounded
 from risklake.plans.sql_parts import DECIDING, SCORING, with_parts
 from risklake.session import ROCKSDB_PROVIDER, scratch_path
@@ -90,6 +93,35 @@ def stream_enricher(spark, sf_dir):
     return silver.select("transaction_id", "amount", "mcc_risk_score", "txn_count_1h", "is_new_city")
 
 
+@register(
+    "stream_layers",
+    with_parts(
+        f"""SELECT 'bronze' AS layer, transaction_id, user_id, paid AS amount, '' AS reasons {GATED} WHERE {PASSES}
+            UNION ALL SELECT 'published', transaction_id, user_id, paid, '' {GATED} WHERE {PASSES}
+            UNION ALL SELECT 'quarantine', transaction_id, user_id, paid, {REASONS} {GATED} WHERE NOT ({PASSES})""",
+        "txns",
+    ),
+)
+def stream_layers(spark, sf_dir):
+    """Messages, some damaged, through the enrichment job: what it stored and published."""
+    base = scratch_path(spark, "layers")
+    sent = messages.to_messages(raw_rows(spark, sf_dir), "transaction_id", schemas.TRANSACTION.names)
+    messages.publish(sent, f"{base}/topic", 0)
+    cfg = enricher.EnricherConfig(base=base, trigger=_TO_THE_END)
+    _finish(enricher.start_enricher(messages.read_transactions_stream(spark, f"{base}/topic"), cfg))
+    out = spark.read.schema(messages.MESSAGE).option("recursiveFileLookup", "true").json(cfg.out_topic)
+    found = {
+        "bronze": spark.read.parquet(lake.layer(base, "bronze_transactions")).withColumn("reasons", F.lit("")),
+        "published": messages.decode_json(out, schemas.ENRICHED_TRANSACTION).withColumn("reasons", F.lit("")),
+        "quarantine": spark.read.parquet(lake.layer(base, "quarantine")).withColumn("reasons", F.array_join("reasons", ", ")),
+    }
+    tables = [
+        df.select(F.lit(name).alias("layer"), "transaction_id", "user_id", F.col("amount").cast("double").alias("amount"), "reasons")
+        for name, df in found.items()
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
 @register(
     "stream_decision_sink",
     with_parts(
