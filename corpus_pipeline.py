@@ -19,11 +19,13 @@ from risklake.session import prepare, scratch_path
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
+    prepare(spark)
     return quality_rules.quality(docs).where("kept").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each similarity class the document with the smallest id stays."""
+    prepare(spark)
     classes = ngram_jaccard.similarity_classes(docs)
     later = classes.where("component_id < doc_id").select("doc_id").distinct()
     return docs.join(later, "doc_id", "left_anti").select(*docs.columns)
@@ -31,6 +33,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that an earlier document holds are cut out; a text without any stays as it is."""
+    prepare(spark)
     cut = substring_dedup.remove_repeats(docs)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     return cut.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
@@ -38,6 +41,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark passage go."""
+    prepare(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     bad = decontaminate.contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
@@ -46,6 +50,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, with the digests of the ids and of what they decode to."""
+    prepare(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = byte_bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
     return digest_ids(byte_bpe.decode(encoded, path), "ids")

@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -80,10 +80,10 @@ class Vocabulary:
         self.pairs = {tuple(key): rank for key, rank in self.ranks.items() if len(key) == 2}
         self.whole = PerfectHash(list(self.ranks), list(self.ranks.values()))
 
-    def encode_piece(self, piece: bytes) -> list[int]:
-        """Ids of one pre-token."""
+    def encode_piece(self, piece: bytes) -> bytes:
+        """Ids of one pre-token, packed as 32-bit integers: remembered ids stay small."""
         found = self.whole.get(piece)
-        return [found] if found is not None else self.merge(piece)
+        return array("i", [found] if found is not None else self.merge(piece)).tobytes()
 
     def merge(self, piece: bytes) -> list[int]:
         """Merges the pair of lowest rank, the leftmost of equals, until none is left.
@@ -182,8 +182,8 @@ def encode(docs: DataFrame, path: str, pattern: str = PATTERN, text_col: str = "
                 cut = Pretokens(*utf8(block.column(text_col)))
                 pieces, which = cut.distinct()
                 found = memory.values(pieces)
-                size = np.fromiter(map(len, found), np.int64, len(found))
-                known = np.fromiter(chain.from_iterable(found), np.int32, int(size.sum()))
+                size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+                known = np.frombuffer(b"".join(found), np.int32)
                 first, size = (np.cumsum(size) - size)[which], size[which]
                 ends = np.concatenate([[0], np.cumsum(size)])
                 at = np.repeat(first - ends[:-1], size) + np.arange(ends[-1])
