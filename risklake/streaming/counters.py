@@ -1,14 +1,17 @@
 """Trailing 1 h / 24 h counters per user, kept as a stream goes by.
 
-A user's past is kept per minute. Full minutes inside a window are read as totals, only
-the two minutes at its ends are read in detail, so a call costs the number of minutes a
-window spans and not the number of a busy user's transactions.
+A user's past is kept per minute. Full minutes inside a window are added up once for all
+instants of a minute. Of the two minutes at its ends the older is sorted once and cut by
+bisection, the newer is a running total, so a micro-batch costs its rows times the merchants
+of a minute, plus its minutes times those of a window, and not the square of a busy user's rows.
 """
 
 from __future__ import annotations
 
 import sys
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -53,6 +56,9 @@ class TrailingCounters(StatefulProcessor):
         new = pd.concat(list(rows), ignore_index=True).sort_values(["us", "transaction_id"])
         totals = {k[0]: (v[0], v[1], set(v[2])) for k, v in self.totals.iterator()}
         loaded: dict[int, tuple[list, list, list]] = {}
+        latest: dict[int, int] = {}
+        tails: dict[int, tuple[list, list, dict]] = {}
+        between: dict[int, tuple] = {}
 
         def detail(minute: int) -> tuple[list, list, list]:
             if minute not in loaded:
@@ -60,21 +66,49 @@ class TrailingCounters(StatefulProcessor):
                 if minute in totals and self.details.containsKey((minute,)):
                     held = self.details.getValue((minute,))
                 loaded[minute] = tuple(list(c) for c in held) if held else ([], [], [])
+                latest[minute] = max(loaded[minute][0], default=-1)
             return loaded[minute]
 
+        def tail(minute: int) -> tuple[list, list, dict]:
+            """A minute's instants in order, the amounts summed from each on, each merchant's last place."""
+            if minute not in tails:
+                us, amounts, merchants = detail(minute)
+                order = sorted(range(len(us)), key=us.__getitem__)
+                sums = list(accumulate((amounts[i] for i in reversed(order)), initial=0.0))[::-1]
+                last = {merchants[i]: place for place, i in enumerate(order) if merchants[i] is not None}
+                tails[minute] = ([us[i] for i in order], sums, last)
+            return tails[minute]
+
+        def full_minutes(width: int, first: int, own: int, want_merchants: bool):
+            """Totals between two minutes; instants come in order, so those of one minute share them."""
+            if between.get(width, (None,))[0] != (first, own):
+                inside = [totals[m] for m in totals if first < m < own]
+                seen = set().union(*(t[2] for t in inside)) if want_merchants else set()
+                between[width] = ((first, own), sum(t[0] for t in inside), sum(t[1] for t in inside), seen)
+            return between[width][1:]
+
         def window(us: int, width: int, want_merchants: bool):
-            first, own = (us - width) // MINUTE, us // MINUTE
-            inside = [m for m in totals if first < m < own]
-            n = sum(totals[m][0] for m in inside)
-            amount = sum(totals[m][1] for m in inside)
-            seen = set().union(*(totals[m][2] for m in inside)) if want_merchants else set()
-            for m in {first, own}:
-                for u, a, merchant in zip(*detail(m)):
-                    if us - width <= u < us + self.include_self:
+            start, end = us - width, us + self.include_self
+            first, own = start // MINUTE, us // MINUTE
+            n, amount, seen = full_minutes(width, first, own, want_merchants)
+            more = set()
+            if first < own:
+                instants, sums, last = tail(first)
+                at = bisect_left(instants, start)
+                n, amount = n + len(instants) - at, amount + sums[at]
+                more.update(merchant for merchant, place in last.items() if place >= at)
+            held = detail(own)
+            if first < own and latest[own] < end:  # the minute so far, as a whole
+                count, sum_, merchants = totals.get(own, (0, 0.0, ()))
+                n, amount = n + count, amount + sum_
+                more.update(merchants)
+            else:
+                for u, a, merchant in zip(*held):
+                    if start <= u < end:
                         n, amount = n + 1, amount + a
                         if merchant is not None:
-                            seen.add(merchant)
-            return n, amount, len(seen)
+                            more.add(merchant)
+            return n, amount, len(seen) + len(more - seen)
 
         def record(us: int, rows: pd.DataFrame) -> None:
             minute = us // MINUTE
@@ -85,8 +119,11 @@ class TrailingCounters(StatefulProcessor):
                 held[1].append(float(row.amount))
                 held[2].append(merchant)
                 n, amount = n + 1, amount + float(row.amount)
-                seen = seen | {merchant} if merchant is not None else seen
+                if merchant is not None:
+                    seen.add(merchant)
             totals[minute] = (n, amount, seen)
+            latest[minute] = max(latest[minute], us)
+            tails.pop(minute, None)
             changed.add(minute)
 
         results, changed = [], set()

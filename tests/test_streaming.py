@@ -5,10 +5,16 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import time
+from types import SimpleNamespace
 
+import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from risklake import schemas
+from risklake.config import VelocityConfig
 from risklake.operators import decisions, scoring
 from risklake.operators.feature_store import USER_TRANSACTION_STATS, read_online
 from risklake.operators.velocity import COLUMNS, velocity_features
@@ -126,6 +132,43 @@ def test_stream_velocity_equals_batch(spark, tmp_path, txns):
     assert got == want
 
 
+@pytest.mark.parametrize("include_self", [False, True])
+def test_counters_of_a_busy_user_equal_brute_force(include_self):
+    """Several micro-batches with ties, late rows and missing merchants, straight through the processor."""
+
+    class Held(dict):
+        containsKey, getValue, updateValue = dict.__contains__, dict.__getitem__, dict.__setitem__
+        removeKey, iterator = dict.__delitem__, dict.items
+
+    rng = np.random.default_rng(0)
+    cfg = VelocityConfig(short_s=600, long_s=3600)
+    job = counters.TrailingCounters(cfg, 600, include_self)
+    job.totals, job.details = Held(), Held()
+    job.handle = SimpleNamespace(listTimers=list, registerTimer=lambda _: None)
+    seen, start = [], 1_700_000_000_000_000
+    for batch in range(4):
+        late = rng.integers(0, 500, 300) * 1_000_000
+        us = start + batch * 900_000_000 + rng.integers(0, 900, 300) * 1_000_000 - late
+        new = pd.DataFrame({
+            "transaction_id": [f"{batch}-{i:03}" for i in range(300)], "us": us,
+            "amount": rng.integers(1, 100, 300) / 4, "merchant_id": rng.choice(["a", "b", "c", None], 300),
+        })
+        got = pd.concat(job.handleInputRows(("u",), iter([new]), None)).set_index("transaction_id")
+        # What has been recorded when an instant is looked at: earlier batches, and this one up to it.
+        for row in new.itertuples():
+            known = pd.concat([*seen, new[new.us < row.us + include_self]])
+            inside = known[(known.us < row.us + include_self) & (known.us >= row.us - 600_000_000)]
+            long = known[(known.us < row.us + include_self) & (known.us >= row.us - 3_600_000_000)]
+            one = got.loc[row.transaction_id]
+            assert (one.txn_count_1h, one.amount_sum_1h, one.unique_merchants_1h) == (len(inside), inside.amount.sum(), inside.merchant_id.nunique())
+            assert (one.txn_count_24h, one.amount_sum_24h) == (len(long), long.amount.sum())
+        seen.append(new)
+    many = pd.DataFrame({"transaction_id": [f"m{i:06}" for i in range(20_000)], "us": start + 4_000_000_000 + np.arange(20_000) * 10_000, "amount": 1.0, "merchant_id": "a"})
+    begun = time.time()
+    assert len(pd.concat(job.handleInputRows(("u",), iter([many]), None))) == 20_000
+    assert time.time() - begun < 20
+
+
 def test_windows_stream_equals_batch_and_drops_late_rows(spark, tmp_path):
     src, out, cp = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
     batches = [
@@ -178,8 +221,6 @@ def verdict(t, agent, score, at=T0):
 
 
 def test_stream_decide_completes_or_times_out(spark, tmp_path):
-    import time
-
     src, out = tmp_path / "in", str(tmp_path / "out")
     agents = ["velocity", "geolocation", "behavioral", "network"]
     send(src, "a", [verdict("full", a, 0.9) for a in agents[:2]] + [verdict("full", "velocity", 0.1),
