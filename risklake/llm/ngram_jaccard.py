@@ -45,6 +45,8 @@ BLOCK_TOKENS = 100_000
 BROADCAST_IDS = 2_000_000
 #: Columns of the incidence matrix held at once when a block is opened.
 OPEN_COLUMNS = 4096
+#: Nodes looked up, and members, that are compared at once when a block is opened.
+OPEN_ROWS = 1024
 
 
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
@@ -130,8 +132,8 @@ def _candidates(known: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def _open(role, node, component, n, tokens: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (positions of a looked-up node and of a member) in one block; one for each node
-    and component of members."""
+    """Links (positions of a looked-up node and of a member) in one block, enough to join all
+    components that any link of a looked-up node and a member joins; fewer than there are rows."""
     ends = tokens.offsets.to_numpy() - tokens.offsets[0].as_py()
     flat = tokens.flatten().to_numpy()
     of = np.repeat(np.arange(len(role)), np.diff(ends))
@@ -141,37 +143,59 @@ def _open(role, node, component, n, tokens: pa.ListArray) -> tuple[np.ndarray, n
     bound = np.bincount(of[inside], minlength=len(role))
     members = np.flatnonzero(role == 0)
     asked = np.flatnonzero((role == 1) & (bound * 100 >= n * PERCENT))
-    if not len(members) or not len(asked):
-        return members[:0], members[:0]
-    # Only tokens on both sides count; the incidence matrices are built some columns at a time.
-    row = np.full(len(role), -1)
-    row[asked], row[members] = np.arange(len(asked)), np.arange(len(members))
+    # What is held at once is bounded by rows as by tokens: short texts make many rows of a block.
+    slices = lambda rows: [rows[at : at + OPEN_ROWS] for at in range(0, len(rows), OPEN_ROWS)]
     of, place = of[inside], place[inside]
-    is_member = role[of] == 0
-    used = np.zeros(len(union), bool)
-    used[place[~is_member & (row[of] >= 0)]] = True
+    _, label = np.unique(component, return_inverse=True)
+    links = []
+    for some in slices(asked):
+        for others in slices(members):
+            if (label[some] == label[others[0]]).all() and (label[others] == label[others[0]]).all():
+                continue
+            linked = _linked(some, others, n, of, place, len(union)) & (label[some][:, None] != label[others][None, :])
+            for i in np.flatnonzero(linked.any(axis=1)):
+                reached = others[linked[i]]
+                joined, one = np.unique(label[reached], return_index=True)
+                new = joined != label[some[i]]
+                if new.any():
+                    links += [(some[i], j) for j in reached[one[new]]]
+                    label[np.isin(label, joined)] = label[some[i]]
+    pairs = np.array(links, np.int64).reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _linked(asked, members, n, of, place, width: int) -> np.ndarray:
+    """Which of the rows ``asked`` and ``members`` are similar enough; ``of`` and ``place`` are the
+    rows and the columns (below ``width``) of their tokens."""
+    sides, used = [], np.ones(width, bool)
+    for rows in (asked, members):
+        row = np.full(len(n), -1)
+        row[rows] = np.arange(len(rows))
+        mine = row[of] >= 0
+        sides.append((row[of[mine]], place[mine], len(rows)))
+        held = np.zeros(width, bool)
+        held[place[mine]] = True
+        used &= held
+    # Only tokens on both sides count; the incidence matrices are built some columns at a time.
     column = np.cumsum(used) - 1
-    keep = used[place] & (row[of] >= 0)
-    of, column, is_member = of[keep], column[place[keep]], is_member[keep]
-    order = np.argsort(column, kind="stable")
-    of, column, is_member = of[order], column[order], is_member[order]
+    sorted_sides = []
+    for row, at, size in sides:
+        row, at = row[used[at]], column[at[used[at]]]
+        order = np.argsort(at, kind="stable")
+        sorted_sides.append((row[order], at[order], size))
     overlap = np.zeros((len(asked), len(members)), np.float32)
-    width = int(used.sum())
-    for left in range(0, width, OPEN_COLUMNS):
-        a, b = np.searchsorted(column, [left, left + OPEN_COLUMNS])
-        size = min(OPEN_COLUMNS, width - left)
-        sides = []
-        for side, rows in ((~is_member[a:b], len(asked)), (is_member[a:b], len(members))):
-            matrix = np.zeros((rows, size), np.float32)
-            matrix[row[of[a:b][side]], column[a:b][side] - left] = 1
-            sides.append(matrix)
-        overlap += sides[0] @ sides[1].T
+    total = int(used.sum())
+    for left in range(0, total, OPEN_COLUMNS):
+        matrices = []
+        for row, at, size in sorted_sides:
+            a, b = np.searchsorted(at, [left, left + OPEN_COLUMNS])
+            matrix = np.zeros((size, min(OPEN_COLUMNS, total - left)), np.float32)
+            matrix[row[a:b], at[a:b] - left] = 1
+            matrices.append(matrix)
+        overlap += matrices[0] @ matrices[1].T
     overlap = overlap.astype(np.int64)
     union_size = n[asked][:, None] + n[members][None, :] - overlap
-    linked = (overlap * 100 >= union_size * PERCENT) & (component[asked][:, None] != component[members][None, :])
-    i, j = np.nonzero(linked & (node[asked][:, None] != node[members][None, :]))
-    _, one = np.unique(np.stack([i, component[members][j]]), axis=1, return_index=True)
-    return asked[i[one]], members[j[one]]
+    return overlap * 100 >= union_size * PERCENT
 
 
 def _look_up(members: DataFrame, asked: DataFrame, sets: DataFrame) -> DataFrame:
@@ -226,24 +250,23 @@ def _links(known: DataFrame, nodes: DataFrame) -> DataFrame:
     placed = cut_lineage(
         grouped.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     )
-    # A node is looked up in its group unless it is in the component of that group's leader,
-    # and in other groups that hold one of its rare shingles and a node it could be as large as.
+    # A node is looked up in groups that hold one of its rare shingles and a node it could be as
+    # large as; in its own group, only if it isn't in the component of that group's leader.
     head_of = placed.select(F.col("node").alias("grp"), F.col("component").alias("head"))
-    inner = placed.join(head_of, "grp").where("component != head").select("grp", "node", "component", "n")
-    where = placed.select("node", "grp", "component")
+    where = placed.join(head_of, "grp").select("node", "grp", "component", "head")
     held = (
         rare.join(where, "node").groupBy("token", "grp")
         .agg(F.min("n").alias("least"), F.max("reach").alias("most"), F.min("component").alias("c0"), F.max("component").alias("c1"))
     )
-    outer = (
+    asked = (
         rare.join(where.withColumnRenamed("grp", "own"), "node")
         .join(
             held.where(F.col("token").isNotNull()), "token"
         )
-        .where("own != grp AND least <= reach AND n <= most AND (c0 != c1 OR c0 != component)")
+        .where("(own != grp OR component != head) AND least <= reach AND n <= most AND (c0 != c1 OR c0 != component)")
         .select("grp", "node", "component", "n").distinct()
     )
-    second = _look_up(placed.select("grp", "node", "component", "n"), inner.unionByName(outer), sets)
+    second = _look_up(placed.select("grp", "node", "component", "n"), asked, sets)
     return first.unionByName(second)
 
 

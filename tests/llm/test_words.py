@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -121,6 +122,66 @@ def test_blocks_of_a_group_are_all_opened(docs, monkeypatch):
     assert sorted(ngram_jaccard.similarity_classes(docs).collect(), key=repr) == want
 
 
+def opened(sets, component, roles):
+    """``_open`` on sets that are members, looked up or both; the links as pairs of sets."""
+    rows = [(r, i) for i, both in enumerate(roles) for r in both]
+    role, node = (np.array(x) for x in zip(*rows))
+    tokens = ngram_jaccard._lists([np.array(sorted(sets[i]), np.uint64) for i in node])
+    a, b = ngram_jaccard._open(role, node, np.array(component)[node], np.array([len(sets[i]) for i in node]), tokens)
+    assert (role[a] == 1).all() and (role[b] == 0).all()
+    return list(zip(node[a].tolist(), node[b].tolist()))
+
+
+@pytest.mark.parametrize("rows", [1, 7, 1024])
+def test_slices_of_a_block_join_what_its_links_join(monkeypatch, rows):
+    monkeypatch.setattr(ngram_jaccard, "OPEN_ROWS", rows)
+    monkeypatch.setattr(ngram_jaccard, "OPEN_COLUMNS", 16)
+    rng = np.random.default_rng(rows)
+    bases = [set(rng.choice(200, 20, replace=False).tolist()) for _ in range(6)]
+    sets = [bases[i % 6] - {rng.integers(200)} | {int(rng.integers(200)) for _ in range(i % 4)} for i in range(90)]
+    component = [i if i % 5 else i % 6 for i in range(90)]
+    roles = [[0], [1], [0, 1]] * 30
+
+    def classes(links):
+        least = component[:]
+        for _ in sets:
+            for i, j in links:
+                low = min(least[i], least[j])
+                least = [low if x in (least[i], least[j]) else x for x in least]
+        return least
+
+    similar = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
+    asked, members = ([i for i in range(90) if r in roles[i]] for r in (1, 0))
+    every = [(i, j) for i in asked for j in members if i != j and similar(sets[i], sets[j])]
+    got = opened(sets, component, roles)
+    assert set(got) <= set(every) and 10 < len(got) < len(set(component)) < len(every)
+    assert classes(got) == classes(every)
+
+
+@pytest.mark.parametrize("near", [False, True])
+def test_a_block_of_many_short_texts_fits(near):
+    # 3,000 texts of 8 shingles, 7 of them shared, don't link; of 10 with 9 shared, all do.
+    n = 3000
+    shared = range(9 if near else 7)
+    sets = [{*shared, 100 + i} for i in range(n)]
+    tracemalloc.start()
+    got = opened(sets, range(n), [[0, 1]] * n)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == (n - 1 if near else 0)
+    assert peak < 120e6
+
+
+def test_a_template_s_texts_are_not_compared_with_each_other(spark, monkeypatch):
+    asked = []
+    look_up = ngram_jaccard._look_up
+    monkeypatch.setattr(ngram_jaccard, "_look_up", lambda m, q, s: asked.append(q.count()) or look_up(m, q, s))
+    texts = [" ".join([*(f"t{k}" for k in range(11)), f"end{i}"]) for i in range(40)]
+    got = ngram_jaccard.similarity_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(r.n_shingles == 8 and r.component_id == r.doc_id for r in got) and len(got) == 40
+    assert asked == [40, 0]
+
+
 def test_quality_counts(docs, rows):
     got = {(r.doc_id, r.text): r for r in quality_rules.quality(docs).collect()}
     for i, text, *_ in rows:
