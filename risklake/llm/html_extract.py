@@ -52,7 +52,8 @@ SHARES = (1.0, 0.5, 1 / 3, 0.25, 0.2)
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|</?[a-zA-Z][^>]*>", re.DOTALL
 )
-_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
+#: One attribute: its name and its value, quoted or bare. Quoted text without a name is passed over.
+_ATTRIBUTE = re.compile(r"\"[^\"]*\"|'[^']*'|([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -79,7 +80,10 @@ def _is_dropped(tag: str, attributes: str, inside_article: bool) -> bool:
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
             return True
         if name in ("class", "id"):
-            names.update(x.lower() for x in _NAME.findall(value))
+            # A part called hidden hides nothing (overflow-hidden), only the class of that name does.
+            names.update({x.lower() for x in _NAME.findall(value)} - {"hidden"})
+        if name == "class" and "hidden" in value.lower().split():
+            names.add("hidden")
     if names & {"comment", "comments", "disqus", "replies"}:
         return True
     return tag != "article" and bool(names & DROPPED_NAMES) and not names & KEPT_NAMES

@@ -92,6 +92,21 @@ def test_main_text(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+@pytest.mark.parametrize(
+    "attributes, dropped",
+    [
+        ('style="overflow:hidden"', False), ('title="A hidden gem"', False), ("title='role=menu class=ad'", False),
+        ("data-class=ad", False), ('class="overflow-hidden"', False), ('id="hidden-falls"', False), ("title=hidden", False),
+        ("title = hidden lang=en", False), ('"hidden"', False), ("alt=it's title='x' lang=o'", False),
+        ("hidden", True), ("HIDDEN=''", True), ("title=x hidden", True), ('title="a"hidden', True), ('class="wide Hidden"', True),
+        ("class=ad", True), ("role = 'menu'", True), ('aria-hidden="true"', True), ('aria-hidden="false"', False),
+    ],
+)
+def test_only_real_attributes_hide(attributes, dropped):
+    page = f"<body><div {attributes}><p>Some text, with commas, in it.</p></div></body>"
+    assert html_extract.main_text(page) == ("" if dropped else "Some text, with commas, in it.")
+
+
 def test_articles_of_the_pages_come_out_whole(spark):
     import html
     import re
