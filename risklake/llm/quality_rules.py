@@ -3,8 +3,10 @@
 References are learned from all documents with a language: the histogram of character classes,
 and of the language's ``COMMON`` most common words against all others. A text is held against
 every language by the Jensen-Shannon distance of either histogram and judged by the nearest; its
-own language label isn't looked at. Texts shorter than ``MIN_CHARS`` or ``MIN_WORDS`` are too
-short for that histogram and are not judged by it.
+own language label isn't looked at. The more words, the nearer prose comes to its language, so the
+limit for words falls with their number; it is below the distance of a text without any common
+word. Texts shorter than ``MIN_CHARS`` or ``MIN_WORDS`` are too short for that histogram and are
+not judged by it.
 """
 
 from __future__ import annotations
@@ -26,9 +28,10 @@ SYMBOLS = b"#*$%&|<>"
 COMMON = 100
 MIN_CHARS = 200
 MIN_WORDS = 40
-#: A text is rejected beyond these distances (0 to 1) from the nearest language.
+#: A text is rejected beyond these distances (0 to 1) from the nearest language; that of words is
+#: for numbers of words, in between it is on the line.
 MAX_CLASS_DISTANCE = 0.28
-MAX_WORD_DISTANCE = 0.52
+MAX_WORD_DISTANCE = ((40, 120, 400), (0.465, 0.46, 0.36))
 #: A task sends on so many words of each language at most.
 TASK_WORDS = 4_096
 COUNTED_WORDS = 200_000
@@ -214,7 +217,7 @@ def _judge(block: pa.RecordBatch, text_col: str, kept: list[str], tables: list)
         counts = np.bincount(row * bins + place, minlength=block.num_rows * bins).reshape(-1, bins)
         p = counts[long_words] / n_words[long_words][:, None]
         word_distance[long_words] = np.fmin(word_distance[long_words], _distance(p, often))
-    odd = (class_distance > MAX_CLASS_DISTANCE) | (word_distance > MAX_WORD_DISTANCE)
+    odd = (class_distance > MAX_CLASS_DISTANCE) | (word_distance > np.interp(n_words, *MAX_WORD_DISTANCE))
     # fmin and the comparisons leave NaN, too short to tell, on the side of keeping.
     return pa.record_batch({n: block.column(n) for n in kept} | {
         "n_words": pa.array(n_words.astype(np.int64)),

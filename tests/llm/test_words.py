@@ -209,6 +209,22 @@ def test_quality_keeps_prose_and_rejects_noise(spark):
     assert not judged[(judged.doc_id >= 10**6) & (judged.word_chars > 400)].kept.any()
 
 
+def test_quality_rejects_texts_without_a_common_word(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(11)
+    gibberish = lambda n: " ".join("".join(map(chr, rng.integers(97, 123, rng.integers(5, 11)))) for _ in range(n))
+    odd = spark.createDataFrame([(-n, gibberish(n), None) for n in (45, 60, 100, 150, 200, 500, 3000)], docs.schema)
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    judged = quality_rules.quality(docs.unionByName(odd)).join(labels, "doc_id", "left")
+    of_words = np.interp([40, 3000], *quality_rules.MAX_WORD_DISTANCE)
+    seen = judged.where("doc_id < 0 OR quality = 1").select("doc_id", "n_words", "base_failed", "kept", "word_distance", "class_distance").collect()
+    strange = [r for r in seen if r.doc_id < 0]
+    assert len(strange) == 7 and all(not r.base_failed and r.class_distance < quality_rules.MAX_CLASS_DISTANCE for r in strange)
+    assert not any(r.kept for r in strange) and min(r.word_distance for r in strange) > of_words.max()
+    good = [r for r in seen if r.doc_id >= 0 and not r.base_failed and r.class_distance is not None]
+    assert all(r.kept for r in good if r.class_distance <= quality_rules.MAX_CLASS_DISTANCE)
+
+
 def test_contamination(spark, docs, rows):
     passage = words(2, 70)
     items = [("i1", " ".join(passage[10:40])), ("i2", "W1 " + passage[3]), ("i3", None), ("i4", "..."), (None, " ".join(passage[30:42])), ("i1", " ".join(passage[10:40]))]
