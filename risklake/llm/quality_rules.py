@@ -32,8 +32,7 @@ MIN_WORDS = 40
 #: for numbers of words, in between it is on the line.
 MAX_CLASS_DISTANCE = 0.28
 MAX_WORD_DISTANCE = ((40, 120, 400), (0.465, 0.46, 0.36))
-#: A task sends on so many words of each language at most.
-TASK_WORDS = 4_096
+#: A task sends its counts on, and begins anew, when it holds so many different words.
 COUNTED_WORDS = 200_000
 CLASSES = 8
 
@@ -79,7 +78,19 @@ def _span_hashes(words: Words) -> np.ndarray:
 
 def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, kind, name, n) over all documents: *class* counts, *word* counts of the common
-    words, and *all* words."""
+    words, and *all* words. Counts are exact; a word of over 64 bytes is never a common one."""
+
+    def rows_of(rows: list[tuple]) -> pa.RecordBatch:
+        cols = list(zip(*rows)) or [(), (), (), ()]
+        return pa.record_batch({
+            "lang": pa.array(cols[0], pa.string()), "kind": pa.array(cols[1], pa.string()),
+            "name": pa.array(cols[2], pa.string()), "n": pa.array(cols[3], pa.int64()),
+        })
+
+    def word_rows(words_of: dict[str, dict[bytes, int]]) -> pa.RecordBatch:
+        return rows_of([(lang, "word", w.decode(), n) for lang, held in words_of.items() for w, n in held.items()])
+
+    limit = COUNTED_WORDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes: dict[str, np.ndarray] = {}
@@ -105,17 +116,13 @@ def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
                     for a, b, n in zip(starts[at].tolist(), ends[at].tolist(), often.tolist()):
                         if b - a <= 64:
                             held[raw[a:b]] = held.get(raw[a:b], 0) + n
-                    if len(held) > COUNTED_WORDS:
-                        words_of[lang] = dict(Counter(held).most_common(COUNTED_WORDS // 2))
+                    if sum(map(len, words_of.values())) > limit:
+                        yield word_rows(words_of)
+                        words_of.clear()
         rows = [(lang, "class", str(k), int(n)) for lang, c in classes.items() for k, n in enumerate(c)]
         rows += [(lang, "all", "", n) for lang, n in totals.items()]
-        for lang, held in words_of.items():
-            rows += [(lang, "word", w.decode(), n) for w, n in Counter(held).most_common(TASK_WORDS)]
-        cols = list(zip(*rows)) or [(), (), (), ()]
-        yield pa.record_batch({
-            "lang": pa.array(cols[0], pa.string()), "kind": pa.array(cols[1], pa.string()),
-            "name": pa.array(cols[2], pa.string()), "n": pa.array(cols[3], pa.int64()),
-        })
+        yield rows_of(rows)
+        yield word_rows(words_of)
 
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counted = (
@@ -123,8 +130,9 @@ def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
         .mapInArrow(run, "lang string, kind string, name string, n long")
         .groupBy("lang", "kind", "name").agg(F.sum("n").alias("n"))
     )
+    # Other kinds have fewer names. Each partition of counts sends on its first by rank only.
     rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "name"))
-    return counted.withColumn("rank", rank).where((F.col("kind") != "word") | (F.col("rank") <= COMMON)).drop("rank")
+    return counted.withColumn("rank", rank).where(F.col("rank") <= max(COMMON, CLASSES)).drop("rank")
 
 
 def _distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:

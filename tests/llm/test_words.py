@@ -209,6 +209,23 @@ def test_quality_keeps_prose_and_rejects_noise(spark):
     assert not judged[(judged.doc_id >= 10**6) & (judged.word_chars > 400)].kept.any()
 
 
+@pytest.mark.parametrize("counted", [50, 200_000])
+def test_reference_words_are_counted_whole(spark, monkeypatch, counted):
+    # "late" is rarer than 5,000 words of its own task, but common in all tasks together.
+    monkeypatch.setattr(quality_rules, "COUNTED_WORDS", counted)
+    monkeypatch.setattr(quality_rules, "COMMON", 8)
+    texts = [" ".join(f"p{part}x{k} p{part}x{k}" for k in range(5000)) + " late" for part in range(6)]
+    rows = [(t, lang) for t in texts for lang in ("en", "de")]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 12), "text string, lang string")
+    found = quality_rules.references(docs)
+    assert found._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2
+    got = {(r.lang, r.kind, r.name): r.n for r in found.collect()}
+    for lang in ("en", "de"):
+        assert got[lang, "all", ""] == 6 * 10_001 and got[lang, "word", "late"] == 6
+        assert sum(k[:2] == (lang, "word") for k in got) == quality_rules.COMMON
+        assert sum(k[:2] == (lang, "class") for k in got) == quality_rules.CLASSES
+
+
 def test_quality_rejects_texts_without_a_common_word(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
     rng = np.random.default_rng(11)
