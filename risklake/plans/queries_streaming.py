@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from risklake import schemas
-from risklake.config import DEFAULT_MERCHANT_RISK, MERCHANT_RISK
+from risklake.config import AGENTS, DEFAULT_MERCHANT_RISK, MERCHANT_RISK
 from risklake.operators import scoring
 from risklake.operators.velocity import COLUMNS
 from risklake.plans.queries_decisions import decided_rows
@@ -157,8 +157,16 @@ def stream_decision_sink(spark, sf_dir):
 def stream_verdict_collection(spark, sf_dir):
     """Verdicts as messages, every fifth delivered twice, one missing for every seventh
     transaction; a stream gives out those that are complete."""
+    return _decided_stream(spark, sf_dir, "verdicts").filter("complete").select(
+        "transaction_id", "final_risk_score", "action", "total_latency_ms"
+    )
+
+
+def _decided_stream(spark, sf_dir, folder: str, closing: bool = False):
+    """What ``stream_decide`` gives out. With ``closing``, a last verdict far behind all others
+    lets the time of every open set run out; its own set stays open."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    work = scratch_path(spark, "verdicts")
+    work = scratch_path(spark, folder)
     number = F.substring("transaction_id", 5, 20).cast("long")
     verdicts = (
         scoring.with_verdicts(enriched_rows(spark, sf_dir), SCORING)
@@ -168,15 +176,47 @@ def stream_verdict_collection(spark, sf_dir):
     )
     copies = F.sequence(F.lit(1), F.when(number % 5 == 0, 2).otherwise(1))
     delivered = verdicts.withColumn("_copy", F.explode(copies))
-    sent = messages.to_messages(delivered, "transaction_id", schemas.VERDICT.names)
-    messages.publish(sent, f"{work}/topic", 0)
-    stream = messages.read_verdicts_stream(spark, f"{work}/topic")
+    batches = [delivered]
+    if closing:
+        last = {"transaction_id": "closing", "agent_type": AGENTS[0], "risk_score": 0.0, "latency_ms": 0.0,
+                "event_time": "2100-01-01T00:00:00Z", "timestamp": "2100-01-01T00:00:00.000000Z"}
+        of = {f.name: f.dataType for f in delivered.schema}
+        batches.append(spark.range(1).select(*(F.lit(last.get(c)).cast(t).alias(c) for c, t in of.items())))
     # The two deliveries of a verdict are at most the whole table apart.
-    decided = collector.stream_decide(stream, 1000, DECIDING, lateness="60 days", clock="event")
-    _finish(
-        decided.writeStream.format("parquet").option("checkpointLocation", f"{work}/checkpoint")
-        .trigger(**_TO_THE_END).start(f"{work}/out")
-    )
-    return spark.read.parquet(f"{work}/out").filter("complete").select(
-        "transaction_id", "final_risk_score", "action", "total_latency_ms"
+    for k, batch in enumerate(batches):
+        messages.publish(messages.to_messages(batch, "transaction_id", schemas.VERDICT.names), f"{work}/topic", k)
+        stream = messages.read_verdicts_stream(spark, f"{work}/topic")
+        decided = collector.stream_decide(stream, 1000, DECIDING, lateness="60 days", clock="event")
+        _finish(
+            decided.writeStream.format("parquet").option("checkpointLocation", f"{work}/checkpoint")
+            .trigger(**_TO_THE_END).start(f"{work}/out")
+        )
+    return spark.read.parquet(f"{work}/out")
+
+
+_HEARD = [a for a in AGENTS if a != "network"]
+_TIMED_OUT = " + ".join(f"{a} * CAST({DECIDING.weights[a]} AS DOUBLE)" for a in _HEARD)
+_HEARD_WEIGHTS = " + ".join(f"CAST({DECIDING.weights[a]} AS DOUBLE)" for a in _HEARD)
+
+
+@register(
+    "stream_verdict_timeouts",
+    with_parts(
+        f"""SELECT transaction_id, false AS complete, n_verdicts, final_risk_score,
+                  CASE WHEN final_risk_score >= {DECIDING.decline_at} THEN 'decline'
+                       WHEN final_risk_score >= {DECIDING.review_from} THEN 'review' ELSE 'approve' END AS action,
+                  total_latency_ms
+           FROM (SELECT transaction_id, round(least((CAST(0 AS DOUBLE) + {_TIMED_OUT}) / (CAST(0 AS DOUBLE) + {_HEARD_WEIGHTS}),
+                        CAST(1 AS DOUBLE)), 4) AS final_risk_score
+                 FROM scores WHERE CAST(substr(transaction_id, 5) AS BIGINT) % 7 = 0)
+           JOIN (SELECT transaction_id, count(*) AS n_verdicts, sum(latency_ms) AS total_latency_ms FROM verdicts
+                 WHERE agent_type <> 'network' GROUP BY transaction_id) USING (transaction_id)""",
+        "scores", "verdicts",
+    ),
+)
+def stream_verdict_timeouts(spark, sf_dir):
+    """The same messages; the sets that stay incomplete, given out when their time has run out."""
+    return _decided_stream(spark, sf_dir, "timeouts", closing=True).filter("NOT complete").select(
+        "transaction_id", "complete", F.size("verdicts").cast("long").alias("n_verdicts"),
+        "final_risk_score", "action", "total_latency_ms",
     )

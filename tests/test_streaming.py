@@ -269,6 +269,16 @@ def test_stream_decide_by_event_time(spark, tmp_path):
     assert got == [("full", True, 0.5), ("part", False, 0.8)]
 
 
+def test_timed_out_sets_are_a_registered_query(spark, txns):
+    from risklake.plans import catalog
+    from tests.conftest import SF_DIR
+
+    rows = catalog.queries()["stream_verdict_timeouts"](spark, SF_DIR).collect()
+    want = {r.transaction_id for r in txns.select("transaction_id").collect() if int(r.transaction_id[4:]) % 7 == 0}
+    assert {r.transaction_id for r in rows} == want and len(rows) == len(want) > 0
+    assert all(not r.complete and r.n_verdicts == 3 for r in rows)
+
+
 def test_decision_sink_keeps_the_last_and_ignores_verdicts(spark, tmp_path):
     src, base = tmp_path / "in", str(tmp_path / "lake")
 
