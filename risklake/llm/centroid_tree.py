@@ -145,8 +145,17 @@ def _seeds(kept: DataFrame, id_col: str, vector_col: str, clusters: int, seed: i
     return scaled(column, dimensions)
 
 
-def _tally(kept: DataFrame, vector_col: str, points: np.ndarray, dimensions: int) -> list:
-    """Per centroid the number of its vectors, the sums of their components and of their distances."""
+@dataclass(frozen=True)
+class Tally:
+    """A cluster's number of vectors, sum of their distances, and sums of their components."""
+
+    n: int
+    inertia: int
+    total: list[int]
+
+
+def _tally(kept: DataFrame, vector_col: str, points: np.ndarray, dimensions: int) -> dict[int, Tally]:
+    """The tallies of all clusters that aren't empty."""
     shared = kept.sparkSession.sparkContext.broadcast((points, build_tree(points)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,10 +181,13 @@ def _tally(kept: DataFrame, vector_col: str, points: np.ndarray, dimensions: int
         })
 
     parts = kept.select(vector_col).mapInArrow(run, "cluster int, n bigint, total array<decimal(38,0)>, inertia decimal(38,0)")
-    sums = [F.sum(F.col("total")[i]).alias(f"s{i}") for i in range(dimensions)]
-    rows = parts.groupBy("cluster").agg(F.sum("n").alias("n"), F.sum("inertia").alias("inertia"), *sums).collect()
+    flat = parts.select("cluster", "n", "inertia", F.posexplode("total").alias("place", "x"))
+    rows = flat.groupBy("cluster", "place").agg(F.sum("n").alias("n"), F.sum("inertia").alias("inertia"), F.sum("x").alias("x")).collect()
     shared.unpersist()
-    return rows
+    found: dict[int, Tally] = {}
+    for r in rows:
+        found.setdefault(r["cluster"], Tally(r["n"], int(r["inertia"]), [0] * dimensions)).total[r["place"]] = int(r["x"])
+    return found
 
 
 def fit(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", clusters: int = CLUSTERS, rounds: int = ROUNDS, seed: int = SEED, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -184,8 +196,8 @@ def fit(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding
     points = _seeds(kept, id_col, vector_col, clusters, seed, dimensions)
     for _ in range(rounds if len(points) else 0):
         moved = points.copy()
-        for r in _tally(kept, vector_col, points, dimensions):
-            moved[r["cluster"]] = [int(r[f"s{i}"]) // r["n"] for i in range(dimensions)]
+        for number, tally in _tally(kept, vector_col, points, dimensions).items():
+            moved[number] = [x // tally.n for x in tally.total]
         if (moved == points).all():
             break
         points = moved
@@ -206,8 +218,9 @@ def assign(vectors: DataFrame, points: np.ndarray, vector_col: str = "embedding"
     kept = source.columns
     largest = np.iinfo(np.int64).max
     inertia = np.zeros(len(points), object)
-    for r in _tally(source, vector_col, points, dimensions) if len(points) else []:
-        inertia[r["cluster"]] = int(r["inertia"])
+    if len(points):
+        for number, tally in _tally(source, vector_col, points, dimensions).items():
+            inertia[number] = tally.inertia
     known = (points, build_tree(points) if len(points) else [], [min(x, largest) for x in inertia.tolist()], min(sum(inertia.tolist()), largest))
     shared = vectors.sparkSession.sparkContext.broadcast(known)
 
