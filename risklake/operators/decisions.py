@@ -12,18 +12,24 @@ from risklake.functions.scalars import fixed, risk_bucket, stable_id
 from risklake.operators import scoring
 from risklake.operators.quality import only_verdicts
 
-_FIELDS = ("agent_type", "risk_score", "reasoning", "latency_ms")
+FIELDS = ("agent_type", "risk_score", "reasoning", "latency_ms")
+
+
+def verdict_print() -> Column:
+    """A hash of a verdict's content."""
+    return F.xxhash64(*FIELDS)
 
 
 def collect_verdicts(verdicts: DataFrame, arrival: str, expected: int = len(AGENTS)) -> DataFrame:
     """One row per transaction that has verdicts of ``expected`` different agents.
 
     Of an agent that spoke several times the verdict that arrived first counts; at one
-    instant a hash of the verdict decides. One shuffle: copies merge before it, and a
+    instant the riskier one, then a hash of the verdict decides. One shuffle: copies merge before it, and a
     transaction never holds more than one verdict per agent.
     """
-    body = F.struct(*_FIELDS)
-    first = F.struct(arrival, F.xxhash64(*_FIELDS))
+    body = F.struct(*FIELDS)
+    riskier = F.coalesce(-F.col("risk_score"), F.lit(float("inf")))
+    first = F.struct(arrival, riskier, verdict_print())
     by_agent = [
         F.min_by(body, F.when(F.col("agent_type") == agent, first)).alias(agent) for agent in AGENTS
     ]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from risklake.config import AGENTS, ScoringConfig
-from risklake.functions.scalars import fixed, risk_level
+from risklake.functions.scalars import fixed, risk_level, stable_id
 
 Rule = tuple[Column, float, Column]  # condition, points, message
 
@@ -235,3 +235,13 @@ def score_all(enriched: DataFrame, cfg: ScoringConfig = ScoringConfig()) -> Data
     # The list is never empty, so "outer" changes no row; it keeps the optimizer from
     # filtering on the size of the list, that is on all the rules, which is slow to plan.
     return with_verdicts(enriched, cfg).select("transaction_id", F.inline_outer("verdicts"))
+
+
+def verdict_rows(enriched: DataFrame, cfg: ScoringConfig = ScoringConfig()) -> DataFrame:
+    """``score_all`` with what a verdict needs on its way: ``verdict_id``, the same on every attempt, and the
+    transaction's ``event_time``, also as the text ``timestamp``."""
+    given = with_verdicts(enriched, cfg).select("transaction_id", "event_time", F.inline_outer("verdicts"))
+    return given.withColumns({
+        "verdict_id": stable_id(F.lit("verdict"), F.col("transaction_id"), F.col("agent_type")),
+        "timestamp": F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"),
+    })

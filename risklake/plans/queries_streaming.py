@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import time
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,7 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from risklake import schemas
 from risklake.config import AGENTS, DEFAULT_MERCHANT_RISK, MERCHANT_RISK
-from risklake.operators import scoring
+from risklake.operators import behavioral, device, geo, scoring, velocity
+from risklake.operators import feature_store as fs
 from risklake.operators.velocity import COLUMNS
 from risklake.plans.queries_decisions import decided_rows
 from risklake.plans.queries_features import GATED, PASSES, REASONS, enriched_rows, raw_rows
@@ -19,9 +22,10 @@ from risklake.plans.sql_parts import DECIDING, SCORING, with_parts
 from risklake.session import ROCKSDB_PROVIDER, scratch_path
 from risklake.sources import events as ev
 from risklake.sources import lake, messages
-from risklake.streaming import collector, counters, decision_sink, enricher, windows
+from risklake.streaming import collector, counters, decision_sink, enricher, scorer, windows
 
 _TO_THE_END = {"availableNow": True}
+_ONE_BATCH = {"once": True}
 
 
 def _finish(query: StreamingQuery) -> None:
@@ -220,3 +224,133 @@ def stream_verdict_timeouts(spark, sf_dir):
         "transaction_id", "complete", F.size("verdicts").cast("long").alias("n_verdicts"),
         "final_risk_score", "action", "total_latency_ms",
     )
+
+
+_NUMBER = "CAST(substr(transaction_id, 5) AS BIGINT)"
+
+
+@register(
+    "stream_verdict_once",
+    with_parts(
+        f"""SELECT 'decided' AS kind, transaction_id, final_risk_score AS score, 4 AS n_verdicts FROM decisions WHERE {_NUMBER} % 7 <> 0
+            UNION ALL
+            SELECT 'timed out', transaction_id, round(least((CAST(0 AS DOUBLE) + {_TIMED_OUT}) / (CAST(0 AS DOUBLE) + {_HEARD_WEIGHTS}),
+                   CAST(1 AS DOUBLE)), 4), 3 FROM scores WHERE {_NUMBER} % 7 = 0
+            UNION ALL
+            SELECT 'late', transaction_id, CAST(0.125 AS DOUBLE), 1 FROM txns WHERE {_NUMBER} % 14 = 0""",
+        "decisions", "scores", "txns",
+    ),
+)
+def stream_verdict_once(spark, sf_dir):
+    """By the wall clock: every seventh transaction lacks a verdict and times out; for half of these it comes
+    after all, and is told apart. Repeated and conflicting verdicts change nothing."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    base = scratch_path(spark, "once")
+    number = F.substring("transaction_id", 5, 20).cast("long")
+    verdicts = scoring.verdict_rows(enriched_rows(spark, sf_dir), SCORING)
+    missing = (number % 7 == 0) & (F.col("agent_type") == "network")
+    heard = verdicts.filter(~missing)
+    later = F.date_format(F.col("event_time") + F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    conflicting = heard.filter((number % 3 == 0) & (F.col("agent_type") == "velocity")).withColumns(
+        {"risk_score": F.lit(0.0), "timestamp": later}
+    )
+    stragglers = verdicts.filter(missing & (number % 14 == 0)).withColumn("risk_score", F.lit(0.125))
+    repeats = heard.filter(number % 5 == 0)
+    for k, rows in enumerate([heard.unionByName(conflicting), repeats, stragglers.unionByName(repeats)]):
+        if k == 1:
+            time.sleep(1.5)  # longer than the collector waits
+        messages.publish(messages.to_messages(rows, "transaction_id", schemas.VERDICT.names), f"{base}/topic", k)
+        stream = messages.read_verdicts_stream(spark, f"{base}/topic")
+        _finish(collector.start_collector(stream, base, 1000, DECIDING, trigger=_ONE_BATCH))
+    sent = spark.read.schema(messages.MESSAGE).option("recursiveFileLookup", "true").json(lake.layer(base, "messages_decisions"))
+    decided = messages.decode_json(sent, schemas.DECISION)
+    # A decision tells the scores it rests on.
+    heard_of = F.size(F.split(F.substring_index("reasoning", " | ", 1), ", "))
+    late = spark.read.parquet(lake.layer(base, "late_verdicts"))
+    return decided.select(
+        F.when(heard_of == len(AGENTS), "decided").otherwise("timed out").alias("kind"), "transaction_id",
+        F.col("final_risk_score").alias("score"), heard_of.alias("n_verdicts"),
+    ).unionByName(late.select(F.lit("late").alias("kind"), "transaction_id", F.col("risk_score").alias("score"), F.lit(1).alias("n_verdicts")))
+
+
+_STORED = dt.datetime(2024, 1, 30, 12, 0, 0)
+_STORED_SQL = "TIMESTAMP '2024-01-30 12:00:00'"
+
+
+def _newest_sql(key: str, source: str) -> str:
+    return f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY event_time DESC) AS r
+               FROM {source} WHERE event_time <= {_STORED_SQL}) WHERE r = 1"""
+
+
+def _held(column: str, table: str, days: int, zero: str = "0", single: bool = False) -> str:
+    value = f"CAST(CAST({table}.{column} AS FLOAT) AS DOUBLE)" if single else f"{table}.{column}"
+    return f"coalesce(CASE WHEN t.event_time - {table}.event_time <= INTERVAL {days} DAY THEN {value} END, {zero}) AS {column}"
+
+
+_FROM_STORE = {
+    "geo_held": (_newest_sql("user_id", "(SELECT user_id, event_time, geo.* FROM geo JOIN txns USING (transaction_id))"), ("geo", "txns")),
+    "device_held": (
+        _newest_sql("device_fingerprint", "(SELECT device_fingerprint, event_time, ip_fraud_score, device.* FROM device "
+                    "JOIN txns USING (transaction_id) JOIN addresses USING (ip_address))"),
+        ("device", "txns", "addresses"),
+    ),
+    "velocity_held": (_newest_sql("user_id", "velocity"), ("velocity",)),
+    "behavior_held": (f"SELECT *, {_STORED_SQL} AS event_time FROM behavior", ("behavior",)),
+    "enriched": (
+        "SELECT t.* EXCLUDE (latency_ms), CAST(0 AS DOUBLE) AS latency_ms, " + ", ".join([
+            _held("txn_count_1h", "v", 1), _held("txn_count_24h", "v", 1), _held("amount_sum_1h", "v", 1, single=True),
+            _held("amount_sum_24h", "v", 1, single=True), _held("unique_merchants_1h", "v", 1),
+            _held("avg_txn_amount_30d", "b", 30, single=True), _held("amount_deviation_score", "b", 30, single=True),
+            _held("hour_of_day_risk_score", "b", 30, single=True), _held("distance_from_last_txn_km", "g", 7, single=True),
+            _held("is_new_country", "g", 7, "false"), _held("is_new_city", "g", 7, "false"),
+            _held("ip_fraud_score", "d", 7, single=True), _held("device_seen_before", "d", 7, "false"),
+            _held("linked_fraud_accounts", "d", 7),
+        ]) + """ FROM txns t LEFT JOIN velocity_held v ON v.user_id = t.user_id LEFT JOIN behavior_held b ON b.user_id = t.user_id
+        LEFT JOIN geo_held g ON g.user_id = t.user_id LEFT JOIN device_held d ON d.device_fingerprint = t.device_fingerprint""",
+        ("txns", "geo_held", "device_held", "velocity_held", "behavior_held"),
+    ),
+}
+
+
+def _fill_store(spark, sf_dir, online: str) -> None:
+    """All four views as of a moment, pushed to the stored online tables."""
+    txns = ev.transactions(spark, sf_dir)
+    dated = lambda df: df.withColumnRenamed("event_time", "event_timestamp").filter(F.col("event_timestamp") <= F.lit(_STORED))
+    profile = behavioral.behavioral_features(txns).withColumn("event_timestamp", F.lit(_STORED))
+    by_device = device.device_features(txns, ev.fraud_labels(txns), ev.ip_reputation(txns))
+    fs.push(fs.USER_TRANSACTION_STATS, dated(velocity.velocity_features(txns)), online, 0)
+    fs.push(fs.USER_BEHAVIORAL_STATS, profile, online, 0)
+    fs.push(fs.GEO_STATS, dated(geo.geo_features(txns)), online, 0)
+    fs.push(fs.DEVICE_NETWORK_STATS, dated(by_device), online, 0)
+
+
+@register(
+    "stream_chain",
+    with_parts(
+        """SELECT decision_id, transaction_id, final_risk_score, action, CAST(CAST(event_time AS DATE) AS STRING) AS decision_date
+           FROM decisions""",
+        "decisions", instead=_FROM_STORE,
+    ),
+)
+def stream_chain(spark, sf_dir):
+    """Four streams joined by message folders: transactions, some delivered twice at once and some again later, are
+    enriched from a filled store, scored, decided and kept in gold."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    base = scratch_path(spark, "chain")
+    _fill_store(spark, sf_dir, lake.layer(base, "online"))
+    sent = ev.transaction_messages(spark.read.parquet(ev.events_path(sf_dir)))
+    number = F.substring("key", 5, 20).cast("long")
+    copies = F.sequence(F.lit(1), F.when(number % 5 == 0, 2).otherwise(1))
+    deliveries = [sent.withColumn("_copy", F.explode(copies)).drop("_copy"), sent.filter(number % 7 == 0)]
+    cfg = enricher.EnricherConfig(base=base, trigger=_TO_THE_END)
+    for k, rows in enumerate(deliveries):
+        messages.publish(rows, f"{base}/topic", k)
+        _finish(enricher.start_enricher(messages.read_transactions_stream(spark, f"{base}/topic"), cfg))
+    _finish(scorer.start_scorer(scorer.read_enriched_stream(spark, cfg.out_topic), base, SCORING, _TO_THE_END))
+    heard = messages.read_verdicts_stream(spark, lake.layer(base, "messages_verdicts"))
+    _finish(collector.start_collector(heard, base, cfg=DECIDING, trigger=_ONE_BATCH))
+    decided = messages.read_decisions_stream(spark, lake.layer(base, "messages_decisions"))
+    _finish(decision_sink.start_decision_sink(decided, base, _TO_THE_END))
+    return decision_sink.read_decisions(spark, base).select(
+        "decision_id", "transaction_id", "final_risk_score", "action", F.col("decision_date").cast("string").alias("decision_date")
+    )

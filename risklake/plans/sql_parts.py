@@ -206,17 +206,19 @@ NEEDS: dict[str, tuple[str, ...]] = {
 }
 
 
-def with_parts(body: str, *parts: str) -> str:
-    """``body`` preceded by the WITH clause of the parts it needs, in order."""
+def with_parts(body: str, *parts: str, instead: dict[str, tuple[str, tuple[str, ...]]] | None = None) -> str:
+    """``body`` preceded by the WITH clause of the parts it needs, in order. ``instead`` replaces
+    parts, or adds some: name -> (SQL, parts that it needs)."""
+    known = {p: (sql, NEEDS[p]) for p, sql in PARTS.items()} | (instead or {})
     ordered: list[str] = []
 
     def visit(part: str) -> None:
-        for need in NEEDS[part]:
+        for need in known[part][1]:
             visit(need)
         if part not in ordered:
             ordered.append(part)
 
     for part in parts:
         visit(part)
-    clauses = ", ".join(f"{p} AS MATERIALIZED ({PARTS[p]})" for p in ordered)
+    clauses = ", ".join(f"{p} AS MATERIALIZED ({known[p][0]})" for p in ordered)
     return f"WITH {clauses} {body}"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +70,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     several times compute it once, and alike, even if an executor is lost in between."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def data_batches_only(spark: SparkSession) -> Iterator[None]:
+    """A stream started inside runs no micro-batch without data; state that has run out is removed by the next
+    one with data. The stream keeps the setting, the session gets its own back."""
+    name = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)

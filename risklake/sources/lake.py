@@ -20,7 +20,10 @@ LAYERS = {
     "gold_analytics": "gold/analytics",
     "quarantine": "quarantine",
     "online": "online",
+    "late_verdicts": "late_verdicts",
     "messages_enriched": "messages/enriched",
+    "messages_verdicts": "messages/verdicts",
+    "messages_decisions": "messages/decisions",
     "checkpoints": "checkpoints",
 }
 

@@ -20,7 +20,7 @@ from risklake.operators.feature_store import USER_TRANSACTION_STATS, read_online
 from risklake.operators.velocity import COLUMNS, velocity_features
 from risklake.sources import events as ev
 from risklake.sources import lake, messages
-from risklake.streaming import collector, counters, decision_sink, enricher, windows
+from risklake.streaming import collector, counters, decision_sink, enricher, scorer, windows
 
 ONCE = {"availableNow": True}
 T0 = dt.datetime(2024, 3, 1, 12, 0, 0)
@@ -253,6 +253,127 @@ def test_stream_decide_completes_or_times_out(spark, tmp_path):
     assert got == [("full", True, "decline", 0.9, 40.0), ("part", False, "decline", 0.8, 10.0)]
 
 
+class StubHandle:
+    """State and timers of one key."""
+
+    def __init__(self):
+        self.value, self.timers = None, set()
+        self.held = SimpleNamespace(get=lambda: self.value, update=self._update, clear=lambda: self._update(None))
+        self.listTimers = lambda: sorted(self.timers)
+        self.registerTimer, self.deleteTimer = self.timers.add, self.timers.discard
+
+    def _update(self, value):
+        self.value = value
+
+
+@pytest.mark.parametrize("clock", ["processing", "event"])
+def test_every_transaction_is_given_out_once(clock):
+    """Random deliveries over many micro-batches, through the processor and by plain rules."""
+    agents = ["velocity", "geolocation", "behavioral", "network"]
+    rng = np.random.default_rng(7 if clock == "event" else 8)
+    for _ in range(150):
+        handle = StubHandle()
+        job = collector.VerdictCollector(4, 1000, clock, 50_000)
+        job.handle, job.held = handle, handle.held
+        now, out, heard, opened, closed, took, told = 100_000, [], {}, None, False, set(), set()
+        want = []
+        for _ in range(rng.integers(1, 8)):
+            now += int(rng.integers(1, 900))
+            values = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: now, getCurrentWatermarkInMs=lambda: now)
+            rows = [
+                SimpleNamespace(agent_type=agents[rng.integers(4)], risk_score=0.0, reasoning="r", latency_ms=1.0,
+                                arrival=(now + int(rng.integers(-5, 5))) * 1000, print=int(rng.integers(3)))
+                for _ in range(rng.integers(1, 4))
+            ]
+            for r in rows:
+                r.risk_score = 1 - r.print / 4  # the riskier of one instant counts
+            for r in rows:
+                if closed:
+                    if (r.agent_type, r.print) not in took | told:
+                        told.add((r.agent_type, r.print))
+                        want.append(("late", [(r.agent_type, r.print)]))
+                else:
+                    heard[r.agent_type] = min(heard.get(r.agent_type, (r.arrival, r.print)), (r.arrival, r.print))
+            if not closed:
+                if opened is None:
+                    opened = now if clock == "processing" else min(v[0] for v in heard.values()) // 1000
+                if len(heard) == 4:
+                    want.append((True, sorted((a, v[1]) for a, v in heard.items())))
+                    closed, took = True, {(a, v[1]) for a, v in heard.items()}
+            # The print tells which verdict of an agent was taken.
+            of = {(r.agent_type, r.print): r for r in rows}
+            for r in rows:
+                r.reasoning = str(r.print)
+            got = list(job.handleInputRows(("t",), iter(rows), values))
+            for due in [t for t in handle.listTimers() if t <= now]:
+                got += list(job.handleExpiredTimer(("t",), values, SimpleNamespace(getExpiryTimeInMs=lambda due=due: due)))
+                handle.timers.discard(due)
+            if not closed and opened + 1000 <= now:
+                want.append((False, sorted((a, v[1]) for a, v in heard.items())))
+                closed, took = True, {(a, v[1]) for a, v in heard.items()}
+            assert of
+            out += [("late" if g.late else g.complete, sorted((v.agent_type, int(v.reasoning)) for v in g.verdicts)) for g in got]
+        assert out == want
+        assert sum(kind != "late" for kind, _ in out) <= 1
+        # Nothing is remembered for ever.
+        for _ in range(3):
+            for due in handle.listTimers():
+                values = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: due, getCurrentWatermarkInMs=lambda: due)
+                list(job.handleExpiredTimer(("t",), values, SimpleNamespace(getExpiryTimeInMs=lambda: due)))
+                handle.timers.discard(due)
+        assert handle.value is None and not handle.timers
+
+
+def test_stragglers_and_conflicts_over_restarts(spark, tmp_path):
+    """Three verdicts time out, then the fourth comes: it is told apart, and the decision stands."""
+    src, base = tmp_path / "in", str(tmp_path / "lake")
+    agents = ["velocity", "geolocation", "behavioral", "network"]
+    send(src, "a", [verdict("slow", a, 0.9) for a in agents[:3]] + [verdict("two", a, 0.5) for a in agents]
+         + [verdict("two", "network", 0.0, T0 + dt.timedelta(seconds=1)), verdict("two", "velocity", 1.0, T0 - dt.timedelta(seconds=1))])
+
+    def run():
+        stream = messages.read_verdicts_stream(spark, str(src))
+        finish(collector.start_collector(stream, base, timeout_ms=500, trigger={"once": True}))
+
+    run()
+    time.sleep(1)
+    send(src, "b", [verdict("two", "geolocation", 0.5), verdict("slow", "velocity", 0.9)])
+    run()
+    send(src, "c", [verdict("slow", "network", 0.1), verdict("two", "geolocation", 0.5)])
+    run()
+    sent = spark.read.schema(messages.MESSAGE).option("recursiveFileLookup", "true").json(lake.layer(base, "messages_decisions"))
+    got = rows_of(messages.decode_json(sent, schemas.DECISION), "transaction_id", "final_risk_score", "timestamp")
+    assert got == [("slow", 0.9, "2024-03-01T12:00:00.000000Z"), ("two", 0.6, "2024-03-01T11:59:59.000000Z")]
+    late = spark.read.parquet(lake.layer(base, "late_verdicts"))
+    assert rows_of(late, "transaction_id", "agent_type", "risk_score") == [("slow", "network", 0.1)]
+
+
+def test_enricher_takes_a_message_once_and_never_a_damaged_one_for_a_sound_one(spark, tmp_path):
+    src, base = tmp_path / "in", str(tmp_path / "lake")
+    send(src, "a", [txn(1), txn(1), txn(2, amount="abc"), txn(2, amount="abc"), txn(3, user=None), txn(4)])
+    cfg = enricher.EnricherConfig(base=base, trigger=ONCE)
+    finish(enricher.start_enricher(messages.read_transactions_stream(spark, str(src)), cfg))
+    # Again after a restart; a corrected one; one that is about a time long past.
+    send(src, "b", [txn(1), txn(2), txn(3, user=None), txn(5, minutes=-100_000)])
+    finish(enricher.start_enricher(messages.read_transactions_stream(spark, str(src)), cfg))
+    silver = spark.read.parquet(lake.layer(base, "silver_enriched"))
+    assert rows_of(silver, "transaction_id") == [("t1",), ("t2",), ("t4",), ("t5",)]
+    bad = spark.read.parquet(lake.layer(base, "quarantine"))
+    assert rows_of(bad, "transaction_id") == [("t2",), ("t3",)]
+    assert spark.read.parquet(lake.layer(base, "bronze_transactions")).count() == 4
+
+
+def test_scorer_sends_four_verdicts_with_ids_and_times(spark, tmp_path):
+    src, base = tmp_path / "in", str(tmp_path / "lake")
+    send(src, "a", [{**txn(1), "txn_count_1h": 99, "device_seen_before": True}, "not json"])
+    finish(scorer.start_scorer(scorer.read_enriched_stream(spark, str(src)), base, trigger=ONCE))
+    sent = spark.read.schema(messages.MESSAGE).option("recursiveFileLookup", "true").json(lake.layer(base, "messages_verdicts"))
+    rows = messages.decode_json(sent, schemas.VERDICT).collect()
+    assert {r.agent_type for r in rows} == {"velocity", "geolocation", "behavioral", "network"} and len({r.verdict_id for r in rows}) == 4
+    assert {r.timestamp for r in rows} == {"2024-03-01T12:00:00.000000Z"}
+    assert next(r.risk_score for r in rows if r.agent_type == "velocity") == 0.3
+
+
 def test_stream_decide_by_event_time(spark, tmp_path):
     src, out = tmp_path / "in", str(tmp_path / "out")
     later = T0 + dt.timedelta(hours=1)
