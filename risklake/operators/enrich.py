@@ -37,15 +37,6 @@ def enrich(
     return with_defaults(get_online_features(refs, txns, stores, moment))
 
 
-def only_keys_of(stores: dict[str, DataFrame], batch: DataFrame) -> dict[str, DataFrame]:
-    """The parts of the feature tables that a micro-batch can ask for; Spark's own size
-    statistics decide how the two are joined."""
-    return {
-        name: table.join(batch.select(*VIEWS[name].keys).distinct(), list(VIEWS[name].keys), "left_semi")
-        for name, table in stores.items()
-    }
-
-
 PROFILE = ("avg_txn_amount_30d", "amount_deviation_score", "hour_of_day_risk_score")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from risklake.functions import timeline as tl
 from risklake.functions.scalars import MICROS, micros
-from risklake.sources import lake
+from risklake.sources import lake, snapshots
 
 
 @dataclass(frozen=True)
@@ -130,9 +130,17 @@ def push(view: FeatureView, df: DataFrame, base: str, batch_id: int) -> None:
     lake.upsert(latest(view, view.conform(df)), f"{base}/{view.name}", batch_id)
 
 
-def read_online(view: FeatureView, spark, base: str) -> DataFrame:
-    rows = lake.read_versions(spark, f"{base}/{view.name}", view.struct())
-    return latest(view, rows.drop("batch_id"))
+def read_online(view: FeatureView, spark, base: str, wanted: DataFrame | None = None) -> DataFrame:
+    """The newest row per key; only of the keys of ``wanted``, if it is given, which are picked before anything moves."""
+    rows = lake.read_versions(spark, f"{base}/{view.name}", view.struct()).drop("batch_id")
+    if wanted is not None:
+        rows = rows.join(wanted.select(*view.keys).distinct(), list(view.keys), "left_semi")
+    return latest(view, rows)
+
+
+def fold_online(view: FeatureView, spark, base: str, keep: int = 2) -> int | None:
+    """Take older pushes together, so that a read lists one snapshot and a few pushes."""
+    return snapshots.fold(spark, f"{base}/{view.name}", view.keys, [micros(F.col(view.ts_col)), view.ts_col, *view.columns], keep=keep)
 
 
 def _within_ttl(view: FeatureView, asked_us: Column, feature_us: Column) -> Column:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from risklake.config import TrainingConfig
 from risklake.operators import analytics, behavioral, quality, training
-from risklake.operators.feature_store import USER_BEHAVIORAL_STATS, materialize, push
+from risklake.operators.feature_store import USER_BEHAVIORAL_STATS, VIEWS, fold_online, materialize, push
 from risklake.sources import lake
+from risklake.streaming import decision_sink
 
 # Rows of a roll-up sit in few files, each clustered on the column it is looked up by.
 ROLLUP_CLUSTERS = {
@@ -53,7 +54,7 @@ def compute_features(
 def recent_decisions(spark: SparkSession, base: str, as_of: dt.date, days: int) -> DataFrame:
     """Current decisions of the last ``days`` days. A decision keeps its date in all versions (its
     id follows from the transaction), so older partitions are left out before versions are compared."""
-    versions = lake.read_versions(spark, lake.layer(base, "gold_decisions"))
+    versions = lake.read_versions(spark, lake.layer(base, "gold_decisions"), partition_by=decision_sink.DATES)
     return lake.current(lake.since(versions, "decision_date", as_of, days), "decision_id", ("batch_id", "event_time"))
 
 
@@ -89,6 +90,13 @@ def cluster_analytics(spark: SparkSession, base: str, files: int = 1) -> None:
             lake.compact(spark, path, columns, f"{path}_clustered", files)
 
 
+def fold_tables(spark: SparkSession, base: str, keep: int = 2) -> dict[str, int]:
+    """Take older batches of the keyed tables together; table -> last batch taken in, where there was one."""
+    done = {"gold_decisions": decision_sink.fold_decisions(spark, base, keep)}
+    done |= {name: fold_online(view, spark, lake.layer(base, "online"), keep) for name, view in VIEWS.items()}
+    return {name: batch for name, batch in done.items() if batch is not None}
+
+
 def retrain(
     records: DataFrame, as_of: dt.datetime, model_path: str, cfg: TrainingConfig = TrainingConfig()
 ) -> dict:

@@ -13,9 +13,9 @@ from risklake.operators import behavioral, device, enrich, geo, quality, velocit
 from risklake.operators import feature_store as fs
 from risklake.plans.registry import register, rounded
 from risklake.plans.sql_parts import distance_sql, with_parts
-from risklake.session import scratch_path
+from risklake.session import cut_lineage, scratch_path
 from risklake.sources import events as ev
-from risklake.sources import lake
+from risklake.sources import lake, snapshots
 
 # --- gates ---------------------------------------------------------------------------
 
@@ -521,6 +521,46 @@ def pushed_features(spark, sf_dir):
     )
 
 
+_FOLDED = """
+    SELECT user_id, count(*) AS n, round(sum(amount), 4) AS spent, k % 8 AS batch FROM txns GROUP BY user_id, k % 8"""
+
+
+def _last_batch_sql(stage: str, condition: str) -> str:
+    return f"""SELECT '{stage}' AS stage, user_id, n, spent FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY batch DESC) AS r FROM ({_FOLDED}) WHERE {condition}) WHERE r = 1"""
+
+
+@register(
+    "folded_table",
+    with_parts(
+        " UNION ALL ".join([_last_batch_sql("batches", "batch < 5"), _last_batch_sql("folded", "batch < 5"), _last_batch_sql("folded again", "true")]),
+        "txns",
+    ),
+)
+def folded_table(spark, sf_dir):
+    """A keyed table in eight batches: read from its batches, after a fold, and after more batches and another fold."""
+    path = scratch_path(spark, "folded")
+    totals = ev.transactions(spark, sf_dir).groupBy("user_id", (F.col("k") % 8).alias("batch")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.sum("amount"), 4).alias("spent")
+    )
+
+    def told(stage: str) -> DataFrame:
+        # Stored, since the next fold deletes what this read is made of.
+        current = lake.read_current(spark, path, "user_id").select(F.lit(stage).alias("stage"), "user_id", "n", "spent")
+        return cut_lineage(current)
+
+    for batch in range(5):
+        lake.upsert(totals.filter(F.col("batch") == batch).drop("batch"), path, batch)
+    stages = [told("batches")]
+    snapshots.fold(spark, path, "user_id")
+    stages.append(told("folded"))
+    for batch in range(5, 8):
+        lake.upsert(totals.filter(F.col("batch") == batch).drop("batch"), path, batch)
+    snapshots.fold(spark, path, "user_id", keep=1)
+    stages.append(told("folded again"))
+    return stages[0].unionByName(stages[1]).unionByName(stages[2])
+
+
 @register(
     "exported_features",
     with_parts(

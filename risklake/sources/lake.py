@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from risklake.sources.snapshots import current, has_map, read_versions
+
 # Where each layer lives below the lake's base path.
 LAYERS = {
     "bronze_transactions": "bronze/transactions",
@@ -99,7 +101,8 @@ def upsert(
     """Insert or replace by key, last write wins; creates the table if absent.
 
     Parquet keeps every batch as a version and ``read_current`` picks the last one; a
-    replayed batch replaces its own version. Delta, where installed, merges in place.
+    replayed batch replaces its own version, and ``snapshots.fold`` takes older batches together. Delta,
+    where installed, merges in place.
     """
     if fmt != "delta":
         write_batch(df, path, batch_id, partition_by)
@@ -117,47 +120,13 @@ def upsert(
     )
 
 
-def read_versions(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """All versions with their ``batch_id``; an empty table of ``schema`` if there is none."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        if schema is None:
-            raise
-        return spark.createDataFrame([], schema.add("batch_id", T.LongType()))
-
-
-def current(
-    versions: DataFrame, key: str | Sequence[str], order: Sequence[str | Column] = ("batch_id",)
-) -> DataFrame:
-    """Last version per key, greatest ``order`` first.
-
-    An aggregate and not a ranking window: versions of one key are merged before the
-    shuffle, however many there are.
-    """
-    keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in versions.columns if c not in keys]
-    # The whole row settles ties, so that the result does not depend on arrival.
-    tie = F.xxhash64(*[F.col(c) for c in rest if not _has_map(versions.schema[c].dataType)])
-    newest = versions.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.struct(*order, tie)).alias("_row")
-    )
-    return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*versions.columns)
-
-
-def _has_map(t: T.DataType) -> bool:
-    if isinstance(t, T.StructType):
-        return any(_has_map(f.dataType) for f in t.fields)
-    if isinstance(t, T.ArrayType):
-        return _has_map(t.elementType)
-    return isinstance(t, T.MapType)
-
-
 def read_current(
     spark: SparkSession, path: str, key: str | Sequence[str],
     order: Sequence[str | Column] = ("batch_id",), schema: T.StructType | None = None,
+    partition_by: Sequence[str] = (),
 ) -> DataFrame:
-    return current(read_versions(spark, path, schema), key, order)
+    """The last row per key; of a folded table (``snapshots.fold``) from one snapshot and the batches since."""
+    return current(read_versions(spark, path, schema, partition_by), key, order)
 
 
 def first_per_key(df: DataFrame, key: str, order: Sequence[str | Column]) -> DataFrame:
@@ -230,7 +199,7 @@ def compact(
         spark.sql(f"OPTIMIZE delta.`{path}`" + (f" ZORDER BY ({columns})" if columns else ""))
         return
     df = spark.read.parquet(path)
-    spread = F.xxhash64(*[F.col(c) for c in df.columns if not _has_map(df.schema[c].dataType)])
+    spread = F.xxhash64(*[F.col(c) for c in df.columns if not has_map(df.schema[c].dataType)])
     ranged = (
         df.withColumn("_spread", spread)
         .repartitionByRange(files, *partition_by, *cluster_by, "_spread")

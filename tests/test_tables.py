@@ -16,7 +16,7 @@ from risklake.operators import feature_store as fs
 from risklake.plans import jobs
 from risklake.plans.queries_features import enriched_rows
 from risklake.plans.sql_parts import DECIDING, SCORING
-from risklake.sources import lake, messages
+from risklake.sources import lake, messages, snapshots
 from risklake.streaming.decision_sink import process_decisions, read_decisions
 from tests.conftest import SF_DIR
 
@@ -81,6 +81,51 @@ def test_upsert_keeps_last_and_survives_replay(spark, tmp_path):
     assert lake.table_exists(spark, path) and not lake.table_exists(spark, path + "x")
 
 
+def test_a_hundred_batches_are_folded(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k int, v int"
+    for batch in range(100):
+        lake.upsert(spark.createDataFrame([(batch % 7, batch), (100 + batch, batch)], schema).coalesce(1), path, batch)
+    want = rows_of(lake.read_current(spark, path, "k"), "k", "v")
+    assert len(lake.read_versions(spark, path).inputFiles()) == 100
+    assert snapshots.fold(spark, path, "k", keep=2, files=4) == 97
+    read = lake.read_current(spark, path, "k")
+    assert rows_of(read, "k", "v") == want and len(lake.read_versions(spark, path).inputFiles()) <= 4 + 2
+    # A batch that was taken in comes again; new ones follow; the next fold removes what the first one took.
+    lake.upsert(spark.createDataFrame([(3, -1)], schema), path, 50)
+    assert rows_of(lake.read_current(spark, path, "k"), "k", "v") == want
+    lake.upsert(spark.createDataFrame([(3, 1000)], schema), path, 100)
+    assert snapshots.fold(spark, path, "k", keep=1, files=4) == 99
+    assert snapshots.fold(spark, path, "k", keep=1) is None
+    assert len(snapshots.matching(spark, path, "batch_id=*")) == 3
+    want = [r for r in want if r[0] != 3] + [(3, 1000)]
+    assert rows_of(lake.read_current(spark, path, "k"), "k", "v") == sorted(want, key=str)
+    # A fold that failed halfway has no mark, and is not read.
+    spark.createDataFrame([(3, -5, 7)], schema + ", batch_id long").write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path + "/_snapshot/upto=100")
+    assert rows_of(lake.read_current(spark, path, "k"), "k", "v") == sorted(want, key=str)
+
+
+def test_gold_and_online_tables_are_folded(spark, tmp_path):
+    base, view = str(tmp_path), fs.USER_TRANSACTION_STATS
+    online = lake.layer(base, "online")
+    for batch in range(5):
+        at = T0 + dt.timedelta(days=batch % 3)
+        made = spark.createDataFrame([(f"d{batch % 2}", 0.1 * batch, T0), (f"e{batch}", 0.9, at)], "decision_id string, final_risk_score double, event_time timestamp")
+        process_decisions(made, batch, base)
+        pushed = [("a", T0 - dt.timedelta(hours=batch), batch), (f"u{batch}", T0, batch), ("tie", T0, 10 - batch)]
+        fs.push(view, spark.createDataFrame(pushed, "user_id string, event_timestamp timestamp, txn_count_1h long"), online, batch)
+    gold = rows_of(read_decisions(spark, base), "decision_id", "final_risk_score", "decision_date")
+    stats = rows_of(fs.read_online(view, spark, online), "user_id", "txn_count_1h")
+    assert jobs.fold_tables(spark, base) == {"gold_decisions": 2, "user_transaction_stats": 2}
+    assert rows_of(read_decisions(spark, base), "decision_id", "final_risk_score", "decision_date") == gold
+    assert rows_of(fs.read_online(view, spark, online), "user_id", "txn_count_1h") == stats and ("tie", 10) in stats
+    wanted = spark.createDataFrame([("a",), ("a",), ("nobody",), (None,)], "user_id string")
+    assert rows_of(fs.read_online(view, spark, online, wanted), "user_id", "txn_count_1h") == [("a", 0)]
+    recent = jobs.recent_decisions(spark, base, dt.date(2024, 1, 22), 1)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(decision_date" in plan and rows_of(recent, "decision_id") == [("e1",), ("e2",), ("e4",)]
+
+
 def test_insert_new_keeps_first(spark, tmp_path):
     path = str(tmp_path / "t")
     schema = "k string, v int"
