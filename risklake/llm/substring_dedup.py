@@ -7,13 +7,16 @@ Shards are by content, so no document meets every index. The least hash of the
 ``ANCHOR_WORDS``-word groups in a window is its anchor; equal windows have equal anchors.
 Consecutive windows of one anchor make a segment. Anchors of one document alone end here.
 Equal segments are merged to one with the smallest document; later holders lose all of its
-windows. Distinct segments of one anchor go to one shard, where a compressed FM-index is built
+windows. The distinct segments of one anchor go to one shard, where a compressed FM-index is built
 over them and every segment is streamed through it: backward search gives matching statistics
-against smaller documents, and stretches of at least ``MIN_WORDS`` words are reported.
-
-An anchor with more than ``GROUP_SEGMENTS`` distinct segments (a passage in very many
-documents, at whose edges all differ) would fill a shard. Its windows become anchors of their
-own: equal windows are merged by a 128-bit hash before the shuffle. The result is the same.
+against smaller documents, and stretches of at least ``MIN_WORDS`` words are reported. They are then
+joined with all places of their segment.
+
+An anchor with more than ``GROUP_SEGMENTS`` distinct segments (a passage in very many documents, at
+whose edges all differ) would fill a shard. Its segments are cut by a finer anchor, which equal windows share
+as well: the least hashes of the first and of the last few groups, ever fewer of them, as the words
+at an edge show in these; in the end the whole window. What is cut is settled like any other segments, so
+rows are made of what may still be shared only.
 """
 
 from __future__ import annotations
@@ -27,15 +30,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from risklake.llm.fm_index import FMIndex
-from risklake.llm.words import Words, blocks, utf8, window_hashes, window_rows
+from risklake.llm.words import Words, blocks, mix, utf8, window_hashes, window_rows
 from risklake.session import cut_lineage
 
 MIN_WORDS = 50
 ANCHOR_WORDS = 10
 #: A segment has so many windows at most; longer runs of one anchor are cut.
 SEGMENT_WINDOWS = 64
-#: More distinct segments of one anchor than this are compared by whole windows.
+#: More distinct segments of one anchor than this are cut by a finer anchor.
 GROUP_SEGMENTS = 512
+#: How many groups at either end of a window make its finer anchors; 0 stands for the whole window.
+FINER = (16, 4, 1, 0)
 #: An index is built over whole anchors with about so many words.
 SHARD_WORDS = 400_000
 
@@ -97,41 +102,46 @@ def _spans_hash(words: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.
     return out
 
 
+_IDENTITY = ("anchor", "hash", "windows")
+_SEGMENT = "anchor long, hash long, windows int, id long, many boolean, words array<long>"
+
+
+def _lists(begin: np.ndarray, length: np.ndarray, words: np.ndarray) -> pa.ListArray:
+    """Spans of ``words``, a list each."""
+    inner = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+    return pa.ListArray.from_arrays(
+        pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(_signed(words[np.repeat(begin, length) + inner]))
+    )
+
+
 def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The words of wanted segments as 64-bit hashes: (id, key, pos, windows, anchor, many, words)."""
+    """The words of wanted segments as 64-bit hashes, in the columns of ``_SEGMENT``. Wanted are (anchor, hash,
+    windows, many, owner), the owner being the place (id, key, pos) that they are read from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch):
                 words = Words(*utf8(block.column("text")))
-                hashes = words.hashes()
                 lists = block.column("wanted")
                 row = np.repeat(np.arange(block.num_rows), np.diff(lists.offsets.to_numpy()))
                 flat = lists.flatten()
                 pos, count = (flat.field(k).to_numpy() for k in ("pos", "windows"))
-                begin, length = words.rows[row] + pos, count + MIN_WORDS - 1
-                inner = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
                 yield pa.record_batch({
+                    **{c: flat.field(c) for c in _IDENTITY},
                     "id": block.column("id").take(pa.array(row)),
-                    "key": block.column("key").take(pa.array(row)),
-                    "pos": flat.field("pos"),
-                    "windows": flat.field("windows"),
-                    "anchor": flat.field("anchor"),
                     "many": flat.field("many"),
-                    "words": pa.ListArray.from_arrays(
-                        pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)),
-                        pa.array(_signed(hashes[np.repeat(begin, length) + inner])),
-                    ),
+                    "words": _lists(words.rows[row] + pos, count + MIN_WORDS - 1, words.hashes()),
                 })
 
-    per_doc = wanted.groupBy("id", "key").agg(F.collect_list(F.struct("pos", "windows", "anchor", "many")).alias("wanted"))
-    return docs.join(per_doc, ["id", "key"]).mapInArrow(
-        run, "id long, key long, pos int, windows int, anchor long, many boolean, words array<long>"
+    per_doc = wanted.groupBy(F.col("owner.id").alias("id"), F.col("owner.key").alias("key")).agg(
+        F.collect_list(F.struct("owner.pos", *_IDENTITY, "many")).alias("wanted")
     )
+    return docs.join(per_doc, ["id", "key"]).mapInArrow(run, _SEGMENT)
 
 
 def _search(fetched: DataFrame) -> DataFrame:
-    """(id, key, pos, stop): stretches of words, found through one FM-index per shard."""
+    """(anchor, hash, windows, id, start, stop): stretches of words of a segment that segments of smaller documents
+    hold too, found through one FM-index per shard."""
 
     def shard(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(rows).combine_chunks()
@@ -143,12 +153,12 @@ def _search(fetched: DataFrame) -> DataFrame:
         edge = np.flatnonzero(np.diff(np.concatenate([[False], found, [False]]).astype(np.int8)))
         first, last = edge[::2], edge[1::2]
         row = np.searchsorted(index.starts, first, "right") - 1
-        pos = table.column("pos").to_numpy()[row] + (first - index.starts[row])
+        of = table.select([*_IDENTITY, "id"]).take(pa.array(row)).combine_chunks()
+        start = first - index.starts[row]
         return pa.record_batch({
-            "id": pa.array(ids[row]),
-            "key": pa.array(table.column("key").to_numpy()[row]),
-            "pos": pa.array(pos.astype(np.int32)),
-            "stop": pa.array((pos + (last - first) + MIN_WORDS - 1).astype(np.int32)),
+            **{c: of.column(c).combine_chunks() for c in (*_IDENTITY, "id")},
+            "start": pa.array(start.astype(np.int32)),
+            "stop": pa.array((start + (last - first) + MIN_WORDS - 1).astype(np.int32)),
         })
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,11 +186,13 @@ def _search(fetched: DataFrame) -> DataFrame:
             yield shard(held)
 
     sorted_rows = fetched.repartition("anchor").sortWithinPartitions("anchor")
-    return sorted_rows.mapInArrow(run, "id long, key long, pos int, stop int")
+    return sorted_rows.mapInArrow(run, "anchor long, hash long, windows int, id long, start int, stop int")
 
 
-def _search_windows(fetched: DataFrame) -> DataFrame:
-    """(id, key, pos, stop) by single windows, for anchors with very many distinct segments."""
+def _cut(fetched: DataFrame, level: int) -> DataFrame:
+    """Segments of a finer anchor, with their words and, as p_anchor, p_hash and p_windows, what they are cut from;
+    ``pos`` counts from there."""
+    groups, ends = MIN_WORDS - ANCHOR_WORDS + 1, FINER[level]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,45 +203,64 @@ def _search_windows(fetched: DataFrame) -> DataFrame:
             words = lists.flatten().to_numpy().view(np.uint64)
             count = batch.column("windows").to_numpy()
             row = np.repeat(np.arange(batch.num_rows), count)
-            inner = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            at = offsets[:-1][row] + inner
+            at = offsets[:-1][row] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            anchors = batch.column("anchor").to_numpy().view(np.uint64)[row]
+            with np.errstate(over="ignore"):
+                if ends:
+                    least = _least_of(window_hashes(words, ANCHOR_WORDS), ends)
+                    finer = mix(mix(anchors + least[at]) + least[at + groups - ends])
+                else:
+                    finer = mix(anchors + window_hashes(words, MIN_WORDS)[at])
+            new = np.ones(len(at), bool)
+            new[1:] = (finer[1:] != finer[:-1]) | (row[1:] != row[:-1])
+            first = np.flatnonzero(new)
+            windows = np.diff(np.append(first, len(at)))
+            begin, of = at[first], row[first]
             yield pa.record_batch({
-                "id": batch.column("id").take(pa.array(row)),
-                "key": batch.column("key").take(pa.array(row)),
-                "pos": pa.array((batch.column("pos").to_numpy()[row] + inner).astype(np.int32)),
-                "w0": pa.array(_signed(window_hashes(words, MIN_WORDS, 0)[at])),
-                "w1": pa.array(_signed(window_hashes(words, MIN_WORDS, 1)[at])),
+                **{f"p_{c}": batch.column(c).take(pa.array(of)) for c in _IDENTITY},
+                "id": batch.column("id").take(pa.array(of)),
+                "pos": pa.array((begin - offsets[:-1][of]).astype(np.int32)),
+                "windows": pa.array(windows.astype(np.int32)),
+                "anchor": pa.array(_signed(finer[first])),
+                "hash": pa.array(_signed(_spans_hash(words, begin, windows + MIN_WORDS - 1))),
+                "words": _lists(begin, windows + MIN_WORDS - 1, words),
             })
 
-    windows = fetched.mapInArrow(run, "id long, key long, pos int, w0 long, w1 long")
-    least = windows.groupBy("w0", "w1").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    later = windows.join(least.where("first < last").drop("last"), ["w0", "w1"]).where("id > first")
-    return later.select("id", "key", "pos", (F.col("pos") + MIN_WORDS).cast("int").alias("stop"))
+    return fetched.mapInArrow(
+        run, "p_anchor long, p_hash long, p_windows int, id long, pos int, windows int, anchor long, hash long, words array<long>"
+    )
+
+
+def _settle(found: DataFrame, place: tuple[str, ...], fetch, level: int = 0) -> DataFrame:
+    """(id, the columns of ``place``, pos, stop) of the stretches that smaller documents hold too. ``found`` are
+    segments; ``fetch`` gives the distinct ones of them that are wanted with their words."""
+    anchors = found.groupBy("anchor").agg(F.min("id").alias("least"), F.max("id").alias("most"))
+    shared = cut_lineage(found.join(anchors.where("least < most").select("anchor"), "anchor"))
+    more = [F.any_value("words").alias("words")] if "words" in found.columns else []
+    distinct = shared.groupBy(*_IDENTITY).agg(F.min(F.struct("id", *place, "pos")).alias("owner"), *more)
+    later = shared.join(distinct.select(*_IDENTITY, "owner"), [*_IDENTITY]).where(F.col("id") > F.col("owner.id"))
+    whole = later.select("id", *place, "pos", (F.col("pos") + F.col("windows") + MIN_WORDS - 1).alias("stop"))
+    groups = distinct.groupBy("anchor").agg((F.count("*") > GROUP_SEGMENTS).alias("many"), F.count("*").alias("group"))
+    wanted = distinct.join(groups.where("group > 1").drop("group"), "anchor")
+    fetched = cut_lineage(fetch(wanted))
+    stretches = _search(fetched.where("NOT many"))
+    crowded = fetched.where("many")
+    if level < len(FINER) and not crowded.isEmpty():
+        own = lambda w: w.select(*_IDENTITY, F.col("owner.id").alias("id"), "many", "words")
+        finer = _settle(_cut(crowded, level), ("p_anchor", "p_hash", "p_windows"), own, level + 1)
+        names = {f"p_{c}": c for c in _IDENTITY} | {"pos": "start"}
+        stretches = stretches.unionByName(finer.withColumnsRenamed(names))
+    # Later holders of a segment lose it whole; of its smallest document every place counts.
+    inside = shared.join(stretches, [*_IDENTITY, "id"]).select(
+        "id", *place, (F.col("pos") + F.col("start")).alias("pos"), (F.col("pos") + F.col("stop")).alias("stop")
+    )
+    return whole.unionByName(inside)
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(id, key, pos, stop) of word stretches that smaller documents hold; docs are (id, key, text)."""
     known = docs.where("id IS NOT NULL AND text IS NOT NULL")
-    found = segments(known)
-    anchors = found.groupBy("anchor").agg(F.min("id").alias("least"), F.max("id").alias("most"))
-    shared = cut_lineage(found.join(anchors.where("least < most").select("anchor"), "anchor"))
-    identity = ["anchor", "hash", "windows"]
-    distinct = shared.groupBy(*identity).agg(F.min(F.struct("id", "key", "pos")).alias("owner"))
-    later = shared.join(distinct, identity).where(F.col("id") > F.col("owner.id"))
-    whole = later.select("id", "key", "pos", (F.col("pos") + F.col("windows") + MIN_WORDS - 1).alias("stop"))
-    groups = distinct.groupBy("anchor").agg(F.count("*").alias("group")).where("group > 1")
-    # Of the smallest document every place counts, not only the first.
-    wanted = (
-        shared.join(distinct, identity).where(F.col("id") == F.col("owner.id"))
-        .join(groups, "anchor").select("id", "key", "pos", "windows", "anchor", "group")
-    )
-    wanted = wanted.withColumn("many", F.col("group") > GROUP_SEGMENTS)
-    fetched = cut_lineage(_fetch(known, wanted))
-    return (
-        whole
-        .unionByName(_search(fetched.where("NOT many")))
-        .unionByName(_search_windows(fetched.where("many")))
-    )
+    return _settle(segments(known), ("key",), lambda wanted: _fetch(known, wanted))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -92,6 +92,24 @@ def test_passages_are_removed(docs, rows, monkeypatch, group):
     assert sum(r.n_removed for r in got) > 1000
 
 
+def test_a_passage_in_very_many_documents(spark, monkeypatch):
+    """Edges differ everywhere; a template's middle differs too; one document repeats the passage."""
+    rng = np.random.default_rng(9)
+    passage, head, tail = ([f"{p}{k}" for k in range(n)] for p, n in (("p", 70), ("h", 30), ("t", 30)))
+    own = lambda n: [f"w{rng.integers(10**9)}" for _ in range(n)]
+    rows = [(i, " ".join(own(rng.integers(40)) + passage[rng.integers(10) : 60 + rng.integers(11)] + own(rng.integers(40)))) for i in range(2000)]
+    rows += [(5000 + i, " ".join(head + own(1) + tail)) for i in range(1500)]
+    rows += [(-1, " ".join(x for _ in range(300) for x in own(1) + passage)), (9000, " ".join(head + tail))]
+    made = []
+    cut = substring_dedup._cut
+    monkeypatch.setattr(substring_dedup, "_cut", lambda f, level: made.append((f.count(), cut(f, level).count())) or cut(f, level))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = substring_dedup.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_text").collect()
+    assert sorted(map(tuple, got), key=repr) == kept_words(rows)
+    # Not a row for each of a segment's windows.
+    assert made and made[0][1] < 16 * made[0][0]
+
+
 def shingles(text):
     w = SPACED.findall((text or "").translate(LOWER))
     return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
