@@ -136,6 +136,51 @@ def daily_kpis(decisions: DataFrame, exact_p95: bool = False) -> DataFrame:
     ).orderBy(F.col("decision_date").desc())
 
 
+#: Size of the quantile sketch, whose rank error is about 0.4 %, and of the distinct sketch, whose error is about 1.6 %.
+KLL_SIZE, HLL_SIZE = 800, 12
+
+
+def daily_sketches(decisions: DataFrame, distinct: str = "user_id") -> DataFrame:
+    """Per ``decision_date`` sums that add up and sketches that merge, a few kilobytes a day: store them once, and
+    roll-ups of any span need no decision again."""
+    latency = F.col("total_latency_ms")
+    return decisions.groupBy(F.to_date("event_time").alias("decision_date")).agg(
+        F.count(F.lit(1)).alias("total_decisions"),
+        _count_action("decline").alias("total_declines"),
+        _count_action("review").alias("total_reviews"),
+        F.sum("final_risk_score").alias("score_sum"),
+        F.count("final_risk_score").alias("scored"),
+        F.sum(latency).alias("latency_sum"),
+        F.count(latency).alias("timed"),
+        F.count_if(latency > SLA_MS).alias("sla_breaches"),
+        F.kll_sketch_agg_double(latency, F.lit(KLL_SIZE)).alias("latency_sketch"),
+        F.hll_sketch_agg(distinct, F.lit(HLL_SIZE)).alias("distinct_sketch"),
+    )
+
+
+def rolling_kpis(sketches: DataFrame, days: int = 7) -> DataFrame:
+    """KPIs of the ``days`` days up to each date, from daily sketches alone. The percentile and the number of distinct
+    values carry the sketches' error; all else is exact."""
+    ends = F.sequence("decision_date", F.date_add("decision_date", days - 1))
+    spans = sketches.withColumn("period_end", F.explode(ends))
+    last = sketches.agg(F.max("decision_date").alias("_last"))
+    added = ("total_decisions", "total_declines", "total_reviews", "score_sum", "scored", "latency_sum", "timed", "sla_breaches")
+    merged = spans.join(F.broadcast(last), F.col("period_end") <= F.col("_last")).groupBy("period_end").agg(
+        *[F.sum(c).alias(c) for c in added],
+        F.kll_merge_agg_double("latency_sketch", F.lit(KLL_SIZE)).alias("_latency"),
+        F.hll_union_agg("distinct_sketch").alias("_distinct"),
+    )
+    return merged.select(
+        "period_end", "total_decisions", "total_declines", "total_reviews",
+        F.try_divide("score_sum", "scored").alias("avg_risk_score"),
+        F.try_divide("latency_sum", "timed").alias("avg_latency_ms"),
+        F.when(F.col("timed") > 0, F.kll_sketch_get_quantile_double("_latency", F.lit(0.95))).alias("p95_latency_ms"),
+        "sla_breaches",
+        F.hll_sketch_estimate("_distinct").alias("distinct_users"),
+        F.try_divide("total_declines", "total_decisions").alias("fraud_rate"),
+    )
+
+
 def verdict_counters(verdicts: DataFrame) -> DataFrame:
     """Per agent and level: verdicts processed, and those flagged (score >= 0.5)."""
     return verdicts.groupBy("agent_type", "risk_level").agg(

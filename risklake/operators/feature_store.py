@@ -143,6 +143,35 @@ def fold_online(view: FeatureView, spark, base: str, keep: int = 2) -> int | Non
     return snapshots.fold(spark, f"{base}/{view.name}", view.keys, [micros(F.col(view.ts_col)), view.ts_col, *view.columns], keep=keep)
 
 
+def _ends(spark, path: str) -> list[int]:
+    done = snapshots.matching(spark, path, "_materialized/end=*/_SUCCESS")
+    return sorted(int(d.rsplit("/", 2)[1].split("=")[1]) for d in done)
+
+
+def materialize_until(
+    view: FeatureView, history: DataFrame, base: str, end: dt.datetime, late: dt.timedelta = dt.timedelta(days=1)
+) -> int:
+    """Push the newest rows up to ``end`` that have not been pushed, and remember ``end``; gives the push's batch id.
+
+    Goes on from the last ``end`` remembered, ``late`` before it, so that rows which came late are picked up. ``end`` is
+    remembered after the push only: a run that fails in between is repeated with the same batch, which replaces
+    itself. The online table should have no other writer.
+    """
+    spark, path = history.sparkSession, f"{base}/{view.name}"
+    ends = _ends(spark, path)
+    rows = view.conform(history).filter(F.col(view.ts_col) <= F.lit(end))
+    if ends:
+        rows = rows.filter(F.unix_micros(view.ts_col) > ends[-1] - int(late.total_seconds()) * MICROS)
+    push(view, rows, base, len(ends))
+    _remember(spark, path, end)
+    return len(ends)
+
+
+def _remember(spark, path: str, end: dt.datetime) -> None:
+    at = spark.range(1).select(F.unix_micros(F.lit(end).cast("timestamp")).alias("end_us"))
+    at.coalesce(1).write.mode("overwrite").parquet(f"{path}/_materialized/end={at.first()['end_us']}")
+
+
 def _within_ttl(view: FeatureView, asked_us: Column, feature_us: Column) -> Column:
     return feature_us.isNotNull() & (asked_us - feature_us <= F.lit(view.ttl_us))
 

@@ -22,10 +22,25 @@ TRAINING_FEATURES = (
 )
 
 
-def feature_names(df: DataFrame, features: str = "features") -> list[str]:
-    """Keys that occur in the JSON features: a list of names, not of data."""
-    keys = df.select(F.explode(F.map_keys(F.from_json(features, MAP))).alias("name")).distinct()
-    return sorted(row["name"] for row in keys.collect())
+#: Most features that are looked for in records.
+MOST_FEATURES = 500
+
+
+def feature_keys(df: DataFrame, features: str = "features", most: int = MOST_FEATURES) -> DataFrame:
+    """(name, records, used): every key of the JSON features, how many records have it, and whether it is among
+    the ``most`` frequent ones; ties by name. The keys stay on the executors, however many there are."""
+    counted = (
+        df.select(F.explode(F.map_keys(F.from_json(features, MAP))).alias("name"))
+        .groupBy("name").agg(F.count(F.lit(1)).alias("records"))
+    )
+    used = counted.orderBy(F.desc("records"), "name").limit(most).select("name", F.lit(True).alias("used"))
+    return counted.join(F.broadcast(used), "name", "left").select("name", "records", F.coalesce("used", F.lit(False)).alias("used"))
+
+
+def feature_names(df: DataFrame, features: str = "features", most: int = MOST_FEATURES) -> list[str]:
+    """The names of the ``most`` frequent keys, which is all that comes to the driver; ``feature_keys`` tells the others."""
+    used = feature_keys(df, features, most).filter("used").select("name")
+    return sorted(row["name"] for row in used.collect())
 
 
 def expand_features(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from risklake.config import TrainingConfig
 from risklake.operators import analytics, behavioral, quality, training
 from risklake.operators.feature_store import USER_BEHAVIORAL_STATS, VIEWS, fold_online, materialize, push
+from risklake.session import cut_lineage
 from risklake.sources import lake
 from risklake.streaming import decision_sink
 
@@ -103,7 +104,8 @@ def retrain(
     """Extract, check, train, judge, promote. Raises if the data does not pass."""
     recent = lake.load_training_records(records, as_of)
     names = training.feature_names(recent)
-    table = training.expand_features(recent, names)
+    # Read by the gate, the fit and the judgement; worked out once.
+    table = cut_lineage(training.expand_features(recent, names))
     check = quality.validate_training(table, cfg).first()
     if not check["ok"]:
         raise ValueError(f"training data refused: {check['rows']} rows, fraud rate {check['fraud_rate']}")
@@ -111,4 +113,7 @@ def retrain(
     model = training.train(train_rows, names, cfg)
     metrics = training.evaluate(model, test_rows, names)
     promoted = training.promote(model, metrics, model_path, cfg)
-    return {**metrics, "rows": check["rows"], "fraud_rate": check["fraud_rate"], "promoted": promoted}
+    return {
+        **metrics, "rows": check["rows"], "fraud_rate": check["fraud_rate"], "promoted": promoted, "features": names,
+        "surplus_features": training.feature_keys(recent).filter("NOT used").count(),
+    }

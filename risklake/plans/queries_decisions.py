@@ -58,7 +58,7 @@ def verdict_counters(spark, sf_dir):
     return analytics.verdict_counters(scoring.score_all(enriched_rows(spark, sf_dir), SCORING))
 
 
-def _histogram_sql(source: str) -> str:
+def histogram_sql(source: str) -> str:
     rows = " UNION ALL ".join(
         f"SELECT agent_type, '{b}' AS le, count(*) FILTER (latency_ms / 1000.0 <= {b}) AS cumulative, "
         f"count(*) AS observations, round(sum(latency_ms / 1000.0), 6) AS sum_seconds "
@@ -71,7 +71,7 @@ def _histogram_sql(source: str) -> str:
     )
 
 
-@register("latency_histogram", with_parts(_histogram_sql("verdicts"), "verdicts"))
+@register("latency_histogram", with_parts(histogram_sql("verdicts"), "verdicts"))
 def latency_histogram(spark, sf_dir):
     verdicts = scoring.score_all(enriched_rows(spark, sf_dir), SCORING)
     return rounded(analytics.latency_histogram(verdicts, "latency_ms", ["agent_type"]), 6, "sum_seconds")
@@ -378,6 +378,41 @@ def approx_p95_error(spark, sf_dir):
     )
 
 
+@register(
+    "rolling_kpis",
+    with_parts(
+        """SELECT CAST(p AS STRING) AS period_end, count(*) AS total_decisions, count(*) FILTER (action = 'decline') AS total_declines,
+                  count(*) FILTER (action = 'review') AS total_reviews, round(avg(final_risk_score), 6) AS avg_risk_score,
+                  round(avg(total_latency_ms), 4) AS avg_latency_ms, count(*) FILTER (total_latency_ms > 200) AS sla_breaches,
+                  true AS p95_ok, true AS distinct_ok
+           FROM decisions JOIN (SELECT DISTINCT CAST(event_time AS DATE) AS d FROM decisions) ON d = CAST(event_time AS DATE),
+                (SELECT unnest(generate_series((SELECT min(event_time) FROM txns)::DATE, (SELECT max(event_time) FROM txns)::DATE, INTERVAL 1 DAY))::DATE AS p)
+           WHERE p >= d AND p < d + INTERVAL 7 DAY GROUP BY p""",
+        "decisions", "txns",
+    ),
+)
+def rolling_kpis(spark, sf_dir):
+    """Seven days up to each date, merged from stored daily sketches; are the sketched values within their error
+    (ranks to 1 %, distinct users to 5 %) of the decisions themselves?"""
+    path = scratch_path(spark, "sketches")
+    made = cut_lineage(decided_rows(spark, sf_dir).select("user_id", "event_time", "action", "final_risk_score", "total_latency_ms"))
+    lake.overwrite_table(analytics.daily_sketches(made), path, ["decision_date"])
+    rolled = analytics.rolling_kpis(spark.read.parquet(path))
+    day = F.to_date("event_time")
+    spans = made.withColumn("period_end", F.explode(F.sequence(day, F.date_add(day, 6))))
+    both = spans.join(rolled.select("period_end", "p95_latency_ms", "distinct_users"), "period_end")
+    n, p95, latency = F.count("total_latency_ms"), F.col("p95_latency_ms"), F.col("total_latency_ms")
+    users = F.count_distinct("user_id")
+    ranked = (F.count_if(latency < p95) <= 0.96 * n + 1) & (F.count_if(latency <= p95) >= 0.94 * n - 1)
+    close = F.abs(F.max("distinct_users") - users) <= F.greatest(F.lit(1.0), 0.05 * users)
+    judged = both.groupBy("period_end").agg(ranked.alias("p95_ok"), close.alias("distinct_ok"))
+    out = rolled.join(judged, "period_end").select(
+        F.col("period_end").cast("string").alias("period_end"), "total_decisions", "total_declines", "total_reviews",
+        "avg_risk_score", "avg_latency_ms", "sla_breaches", "p95_ok", "distinct_ok",
+    )
+    return rounded(rounded(out, 6, "avg_risk_score"), 4, "avg_latency_ms")
+
+
 # --- tables ----------------------------------------------------------------------------
 
 
@@ -573,6 +608,24 @@ def expand_features(spark, sf_dir):
     return training.expand_features(_training_table(spark, sf_dir), names).drop("created_at")
 
 
+@register(
+    "feature_keys",
+    with_parts(
+        """SELECT name, count(*) AS records, name IN ('amount', 'hour_of_day', 'network_risk') AS used FROM (
+             SELECT unnest(['amount', 'hour_of_day', 'network_risk', 'once_' || event_id, 'some_' || event_id % 40]) AS name FROM txns)
+           GROUP BY name""",
+        "txns",
+    ),
+)
+def feature_keys(spark, sf_dir):
+    """Keys of the JSON features when every record brings one of its own; three are taken."""
+    number = F.substring("record_id", 5, 20)
+    body = F.from_json("features", "map<string,string>")
+    own = F.create_map(F.concat(F.lit("once_"), number), F.lit("1"), F.concat(F.lit("some_"), number.cast("long") % 40), F.lit("1"))
+    records = _training_table(spark, sf_dir).withColumn("features", F.to_json(F.map_concat(body, own)))
+    return training.feature_keys(records, most=3)
+
+
 _MODEL_FEATURES = [
     "amount", "txn_count_24h", "amount_sum_24h", "distance_from_last_txn_km", "amount_deviation_score",
     "hour_of_day_risk_score", "ip_fraud_score", "linked_fraud_accounts", "latency_ms",

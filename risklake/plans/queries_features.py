@@ -521,6 +521,27 @@ def pushed_features(spark, sf_dir):
     )
 
 
+@register(
+    "materialized_view",
+    with_parts(
+        f"""SELECT user_id, txn_count_24h, epoch_us(event_time) AS at_us FROM ({_latest_sql(f"event_time <= {_AS_OF_SQL}")})""", "velocity"
+    ),
+)
+def materialized_view(spark, sf_dir):
+    """The online view kept by two runs, the second of which fails before it remembers its end and is repeated; rows
+    of a third of the users come late, after the first run."""
+    base, view = scratch_path(spark, "materialized"), fs.USER_TRANSACTION_STATS
+    history = cut_lineage(_velocity_history(ev.transactions(spark, sf_dir)))
+    late = F.xxhash64("user_id") % 3 == 0
+    wait = dt.timedelta(days=60)
+    fs.materialize_until(view, history.filter(~late), base, _START, wait)
+    fs.push(view, view.conform(history).filter(F.col("event_timestamp") <= F.lit(_AS_OF)), base, 1)  # and no end is remembered
+    fs.materialize_until(view, history, base, _AS_OF, wait)
+    return fs.read_online(view, spark, base).select(
+        "user_id", "txn_count_24h", F.unix_micros("event_timestamp").alias("at_us")
+    )
+
+
 _FOLDED = """
     SELECT user_id, count(*) AS n, round(sum(amount), 4) AS spent, k % 8 AS batch FROM txns GROUP BY user_id, k % 8"""
 

@@ -15,14 +15,14 @@ from risklake.config import AGENTS, DEFAULT_MERCHANT_RISK, MERCHANT_RISK
 from risklake.operators import behavioral, device, geo, scoring, velocity
 from risklake.operators import feature_store as fs
 from risklake.operators.velocity import COLUMNS
-from risklake.plans.queries_decisions import decided_rows
+from risklake.plans.queries_decisions import decided_rows, histogram_sql
 from risklake.plans.queries_features import GATED, PASSES, REASONS, enriched_rows, raw_rows
 from risklake.plans.registry import register, rounded
 from risklake.plans.sql_parts import DECIDING, SCORING, with_parts
 from risklake.session import ROCKSDB_PROVIDER, scratch_path
 from risklake.sources import events as ev
 from risklake.sources import lake, messages
-from risklake.streaming import collector, counters, decision_sink, enricher, scorer, windows
+from risklake.streaming import collector, counters, decision_sink, enricher, first_write, live, scorer, windows
 
 _TO_THE_END = {"availableNow": True}
 _ONE_BATCH = {"once": True}
@@ -354,3 +354,60 @@ def stream_chain(spark, sf_dir):
     return decision_sink.read_decisions(spark, base).select(
         "decision_id", "transaction_id", "final_risk_score", "action", F.col("decision_date").cast("string").alias("decision_date")
     )
+
+
+def _live(spark, sf_dir, table: str) -> DataFrame:
+    """The live table after verdicts have come in three micro-batches and a restart."""
+    base = scratch_path(spark, "live")
+    verdicts = scoring.verdict_rows(enriched_rows(spark, sf_dir), SCORING)
+    number = F.substring("transaction_id", 5, 20).cast("long")
+    for k, part in enumerate([number % 3 == 0, number % 3 == 1, number % 3 == 2]):
+        messages.publish(messages.to_messages(verdicts.filter(part), "transaction_id", schemas.VERDICT.names), f"{base}/topic", k)
+        stream = messages.read_verdicts_stream(spark, f"{base}/topic")
+        for query in live.start_live(stream, base, [table], _TO_THE_END):
+            _finish(query)
+    return live.read_live(spark, base, table)
+
+
+@register(
+    "live_verdict_counters",
+    with_parts(
+        """SELECT agent_type, risk_level, count(*) AS processed, count(*) FILTER (risk_score >= 0.5) AS flagged
+           FROM verdicts GROUP BY agent_type, risk_level""",
+        "verdicts",
+    ),
+)
+def live_verdict_counters(spark, sf_dir):
+    return _live(spark, sf_dir, "verdict_counters")
+
+
+@register("live_latency_histogram", with_parts(histogram_sql("verdicts"), "verdicts"))
+def live_latency_histogram(spark, sf_dir):
+    return rounded(_live(spark, sf_dir, "latency_histogram"), 6, "sum_seconds")
+
+
+_PAIR = "user_id || '/' || merchant_id"
+
+
+@register(
+    "stream_first_writes",
+    with_parts(
+        f"""SELECT pair, event_id, amount FROM (
+              SELECT {_PAIR} AS pair, event_id, amount, row_number() OVER (PARTITION BY {_PAIR} ORDER BY k >= 30, event_id) AS r FROM txns)
+            WHERE r = 1""",
+        "txns",
+    ),
+)
+def stream_first_writes(spark, sf_dir):
+    """Rows of some pairs are stored already; a stream adds the others, first row wins, through a restart and with
+    everything delivered again."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    base = scratch_path(spark, "first")
+    rows = ev.transactions(spark, sf_dir).select(F.concat_ws("/", "user_id", "merchant_id").alias("pair"), "event_id", "amount", "k")
+    table, schema = f"{base}/table", "pair string, event_id long, amount double"
+    lake.insert_new(rows.filter("k < 30").drop("k"), table, "pair", 3, ["event_id"])
+    for k, delivered in enumerate([rows.filter("k >= 30"), rows]):
+        messages.publish(messages.to_messages(delivered, "pair", ["pair", "event_id", "amount"]), f"{base}/topic", k)
+        said = messages.read_messages_stream(spark, f"{base}/topic").select(F.from_json("value", schema).alias("r")).select("r.*")
+        _finish(first_write.start_first_writes(said, table, "pair", ["event_id"], f"{base}/checkpoint", _TO_THE_END))
+    return spark.read.parquet(table).drop("batch_id")

@@ -23,6 +23,7 @@ LAYERS = {
     "quarantine": "quarantine",
     "online": "online",
     "late_verdicts": "late_verdicts",
+    "live": "live",
     "messages_enriched": "messages/enriched",
     "messages_verdicts": "messages/verdicts",
     "messages_decisions": "messages/decisions",

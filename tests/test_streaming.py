@@ -20,7 +20,7 @@ from risklake.operators.feature_store import USER_TRANSACTION_STATS, read_online
 from risklake.operators.velocity import COLUMNS, velocity_features
 from risklake.sources import events as ev
 from risklake.sources import lake, messages
-from risklake.streaming import collector, counters, decision_sink, enricher, scorer, windows
+from risklake.streaming import collector, counters, decision_sink, enricher, first_write, live, scorer, windows
 
 ONCE = {"availableNow": True}
 T0 = dt.datetime(2024, 3, 1, 12, 0, 0)
@@ -443,3 +443,47 @@ def test_scored_rows_pass_through_the_stream_schema(spark):
     )
     out = decisions.decide(scoring.with_verdicts(full))
     assert out.first()["action"] == "approve"
+
+
+def test_first_writes_go_on_after_a_restart_without_reading_the_table(spark, tmp_path):
+    src, table, cp = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "cp")
+    schema = "k string, v int, m array<string>"
+    lake.insert_new(spark.createDataFrame([("old", 0, None), (None, 7, None)], schema), table, "k", 4, ["v"])
+
+    def run():
+        said = messages.read_messages_stream(spark, str(src), max_per_trigger=1).select(F.from_json("value", schema).alias("r")).select("r.*")
+        query = first_write.start_first_writes(said, table, "k", ["v"], cp, ONCE)
+        finish(query)
+        return query._jsq.explainInternal(True)
+
+    row = lambda k, v: {"k": k, "v": v, "m": [str(v)]}
+    send(src, "a", [row("old", -5), row("a", 3), row("a", 2), row("a", None), row(None, 1)])
+    send(src, "b", [row("a", 0), row("b", 9)])
+    run()
+    send(src, "c", [row("a", 1), row("b", 1), row("c", 5), row("c", 4), row("old", 3)])
+    plan = run()
+    assert "Scan parquet" not in plan
+    rows = [(r.k, r.v) for r in spark.read.parquet(table).collect()]
+    assert sorted(rows, key=str) == sorted([("old", 0), (None, 7), ("a", None), ("b", 9), ("c", 4)], key=str)
+    # The stored batch stands, and the stream's own begin behind it.
+    assert sorted(int(r.batch_id) for r in spark.read.parquet(table).select("batch_id").distinct().collect()) == [4, 5, 6, 7]
+
+
+def test_live_counters_equal_the_batch(spark, tmp_path):
+    src, base = tmp_path / "in", str(tmp_path / "lake")
+    rng, agents = np.random.default_rng(2), ["velocity", "network", "supervisor"]
+    said = [verdict(f"t{i}", agents[rng.integers(3)], float(rng.integers(0, 11)) / 10) | {"latency_ms": float(rng.integers(1, 1500)), "risk_level": "high"} for i in range(60)]
+    stream = lambda: messages.read_verdicts_stream(spark, str(src), max_per_trigger=1)
+    for k in range(4):
+        send(src, str(k), said[15 * k : 15 * k + 15])
+        if k % 2:
+            for query in live.start_live(stream(), base, trigger=ONCE):
+                finish(query)
+    batch = spark.createDataFrame(said, schemas.VERDICT)
+    for table in live.TABLES:
+        rounded = lambda df: df.withColumn("sum_seconds", F.round("sum_seconds", 6)) if "sum_seconds" in df.columns else df
+        want = rounded(live.totals(batch, table))
+        assert rows_of(rounded(live.read_live(spark, base, table)), *want.columns) == rows_of(want, *want.columns)
+    assert set(live.fold_live(spark, base, keep=1)) == set(live.TABLES)
+    want = live.totals(batch, "verdict_counters")
+    assert rows_of(live.read_live(spark, base, "verdict_counters"), *want.columns) == rows_of(want, *want.columns)

@@ -126,6 +126,46 @@ def test_gold_and_online_tables_are_folded(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(decision_date" in plan and rows_of(recent, "decision_id") == [("e1",), ("e2",), ("e4",)]
 
 
+def test_materialize_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    base, view, hour = str(tmp_path), fs.USER_TRANSACTION_STATS, dt.timedelta(hours=1)
+    row = lambda user, at, n: (user, T0 + at * hour, n)
+    frame = lambda rows: spark.createDataFrame(rows, "user_id string, event_timestamp timestamp, txn_count_1h long")
+    first = [row("a", 0, 1), row("a", 1, 2), row("b", 1, 3), row("late", -30, 4), row("c", 9, 5)]
+    assert fs.materialize_until(view, frame(first), base, T0 + 2 * hour, 12 * hour) == 0
+    state = lambda: rows_of(fs.read_online(view, spark, base), "user_id", "txn_count_1h")
+    assert state() == [("a", 2), ("b", 3), ("late", 4)]
+    # "b" has a row that came late; the one of "d" is older than late rows may be.
+    second = first + [row("b", 1.5, 6), row("d", -40, 7), row("a", 5, 8)]
+    crash = lambda *_: (_ for _ in ()).throw(RuntimeError("lost"))
+    with monkeypatch.context() as broken:
+        broken.setattr(fs, "_remember", crash)
+        with pytest.raises(RuntimeError):
+            fs.materialize_until(view, frame(second), base, T0 + 6 * hour, 12 * hour)
+    after_crash = state()
+    assert fs.materialize_until(view, frame(second), base, T0 + 6 * hour, 12 * hour) == 1
+    assert state() == after_crash == [("a", 8), ("b", 6), ("late", 4)]
+    assert fs.materialize_until(view, frame(second), base, T0 + 10 * hour, 12 * hour) == 2
+    assert state() == [("a", 8), ("b", 6), ("c", 5), ("late", 4)]
+
+
+def test_merged_sketches_stay_within_their_error(spark):
+    rows = spark.range(40_000).select(
+        F.timestamp_seconds(F.lit(1_700_000_000) + (F.col("id") % 10) * 86_400).alias("event_time"),
+        F.when(F.col("id") % 7 == 0, "decline").otherwise("approve").alias("action"), F.lit(0.5).alias("final_risk_score"),
+        F.pmod(F.xxhash64("id"), F.lit(100_000)).cast("double").alias("total_latency_ms"), (F.col("id") % 3001).cast("string").alias("user_id"),
+    )
+    stored = analytics.daily_sketches(rows).cache()
+    found = {r.period_end: r for r in analytics.rolling_kpis(stored, 7).collect()}
+    assert len(found) == 10 and max(len(bytes(r.latency_sketch)) for r in stored.collect()) < 40_000
+    day = F.to_date("event_time")
+    for end, r in found.items():
+        inside = rows.where((day <= F.lit(end)) & (day > F.lit(end) - F.expr("INTERVAL 7 DAYS")))
+        n, below, users = inside.agg(F.count("*"), F.count_if(F.col("total_latency_ms") <= r.p95_latency_ms), F.count_distinct("user_id")).first()
+        assert r.total_decisions == n and abs(below / n - 0.95) < 0.01 and abs(r.distinct_users / users - 1) < 0.05
+    stored.unpersist()
+    assert analytics.rolling_kpis(analytics.daily_sketches(rows.limit(0))).collect() == []
+
+
 def test_insert_new_keeps_first(spark, tmp_path):
     path = str(tmp_path / "t")
     schema = "k string, v int"

@@ -44,6 +44,17 @@ def test_expand_and_split(records):
     assert training.class_balance(table).first()["scale_pos_weight"] == 11
 
 
+def test_a_million_keys_do_not_reach_the_driver(spark):
+    body = F.create_map(F.lit("often"), F.lit("1"), F.concat(F.lit("half"), F.col("id") % 2), F.lit("2"), F.concat(F.lit("k"), "id"), F.lit("3"))
+    many = spark.range(1_000_000).select(F.to_json(body).alias("features"))
+    assert training.feature_names(many, most=3) == ["half0", "half1", "often"]
+    told = training.feature_keys(many, most=4)
+    used = told.filter("used").orderBy("name").collect()
+    assert [(r.name, r.records) for r in used] == [("half0", 500_000), ("half1", 500_000), ("k0", 1), ("often", 1_000_000)]
+    assert told.filter("NOT used").count() == 999_999
+    assert training.feature_names(many.limit(0)) == []
+
+
 def test_gate(spark, records):
     assert quality.validate_training(records).first()["ok"]
     assert not quality.validate_training(records.limit(900)).first()["ok"]
