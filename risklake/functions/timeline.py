@@ -41,100 +41,77 @@ def slice_start(us: Column) -> Column:
     return us - F.pmod(us, F.lit(SLICE_US))
 
 
-def sliced_sums(
-    entries: DataFrame, keys: Sequence[str], measures: Sequence[str]
+def sliced(
+    entries: DataFrame, keys: Sequence[str], sums: Sequence[str] = (), lasts: Sequence[str] = (), inclusive: bool = False,
 ) -> DataFrame:
-    """Per (key, instant) that asks: sum of each measure over earlier instants.
+    """Per (key, instant) that asks: sum of each of ``sums`` and greatest of each of ``lasts`` over earlier
+    instants; of ``lasts`` also over the instant itself, if ``inclusive``.
 
-    ``entries`` has a boolean ``_asks``, false on rows that only contribute.
+    ``entries`` has a boolean ``_asks``, false on rows that only contribute. ``lasts`` are orderable structs that
+    start with the instant, NULL on rows that have none. All that is asked of one time line goes through here at
+    once: rows are reduced and moved as often for many values as for one.
     """
-    instants = (
-        entries.groupBy(*keys, "_us")
-        .agg(F.max("_asks").alias("_asks"), *[F.sum(m).alias(m) for m in measures])
-        .withColumn("_slice", slice_start(F.col("_us")))
-    )
-    inside = Window.partitionBy(*keys, "_slice").orderBy("_us").rowsBetween(START, -1)
+    at = entries.withColumn("_slice", slice_start(F.col("_us")))
+    merged = [F.sum(m).alias(m) for m in sums] + [F.max(v).alias(v) for v in lasts]
+    instants = at.groupBy(*keys, "_slice", "_us").agg(F.max("_asks").alias("_asks"), *merged)
+    inside = Window.partitionBy(*keys, "_slice").orderBy("_us")
+    before, seen = inside.rowsBetween(START, -1), inside.rowsBetween(START, NOW if inclusive else -1)
     across = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(START, -1)
-    carried = (
-        instants.groupBy(*keys, "_slice")
-        .agg(*[F.sum(m).alias(m) for m in measures])
-        .select(*keys, "_slice", *[F.sum(m).over(across).alias(f"_carry_{m}") for m in measures])
+    carried = at.groupBy(*keys, "_slice").agg(*merged).select(
+        *keys, "_slice",
+        *[F.sum(m).over(across).alias(f"_carry_{m}") for m in sums],
+        *[F.max(v).over(across).alias(f"_carry_{v}") for v in lasts],
     )
     scanned = instants.select(
-        *keys, "_us", "_slice", "_asks", *[F.sum(m).over(inside).alias(m) for m in measures]
+        *keys, "_us", "_slice", "_asks", *[F.sum(m).over(before).alias(m) for m in sums], *[F.max(v).over(seen).alias(v) for v in lasts],
     ).filter("_asks")
     return scanned.join(carried, [*keys, "_slice"], "left").select(
         *keys,
         "_us",
-        *[
-            (F.coalesce(F.col(m), F.lit(0)) + F.coalesce(F.col(f"_carry_{m}"), F.lit(0))).alias(m)
-            for m in measures
-        ],
+        *[(F.coalesce(F.col(m), F.lit(0)) + F.coalesce(F.col(f"_carry_{m}"), F.lit(0))).alias(m) for m in sums],
+        *[F.coalesce(v, f"_carry_{v}").alias(v) for v in lasts],
     )
 
 
-def sliced_last(
-    entries: DataFrame, keys: Sequence[str], value: str, inclusive: bool
-) -> DataFrame:
-    """Per (key, instant): greatest ``value`` struct of earlier instants.
-
-    ``value`` must be an orderable struct that starts with the instant, and is NULL on
-    rows that only ask.
-    """
-    instants = (
-        entries.groupBy(*keys, "_us")
-        .agg(F.max(value).alias(value))
-        .withColumn("_slice", slice_start(F.col("_us")))
-    )
-    inside = (
-        Window.partitionBy(*keys, "_slice")
-        .orderBy("_us")
-        .rowsBetween(START, NOW if inclusive else -1)
-    )
-    across = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(START, -1)
-    carried = (
-        instants.groupBy(*keys, "_slice")
-        .agg(F.max(value).alias(value))
-        .select(*keys, "_slice", F.max(value).over(across).alias("_carried"))
-    )
-    scanned = instants.select(*keys, "_us", "_slice", F.max(value).over(inside).alias(value))
-    return scanned.join(carried, [*keys, "_slice"], "left").select(
-        *keys, "_us", F.coalesce(value, "_carried").alias(value)
-    )
+def sliced_last(entries: DataFrame, keys: Sequence[str], value: str, inclusive: bool) -> DataFrame:
+    """``sliced`` for one of ``lasts`` and entries that all ask."""
+    return sliced(entries.withColumn("_asks", F.lit(True)), keys, lasts=(value,), inclusive=inclusive)
 
 
-def sliced_trailing(
-    rows: DataFrame,
-    keys: Sequence[str],
-    measures: Sequence[str],
-    windows: dict[str, int],
+def trailing_entries(
+    rows: DataFrame, keys: Sequence[str], measures: Sequence[str], windows: dict[str, int], also: Sequence[str] = (),
 ) -> DataFrame:
-    """Per (key, instant): sums over trailing windows, as ``<measure>_<window>``.
+    """Entries whose sums over earlier instants are sums over trailing windows, ``<measure>_<window>``.
 
-    An instant adds its amounts to each window at once and takes them out again when the
-    window has passed, so a trailing sum is a running sum of entries and exits.
+    A row adds its amounts to each window at once and takes them out again when the window has passed, so a
+    trailing sum is a running sum of entries and exits. Columns ``also`` stay with the row itself.
     """
-    names = [f"{m}_{w}" for w in windows for m in measures]
-    instants = rows.groupBy(*keys, "_us").agg(*[F.sum(m).alias(m) for m in measures])
 
     def signed(m: str, by: int) -> Column:
         # No product: it would change the type of a decimal.
-        zero = F.lit(0).cast(instants.schema[m].dataType)
+        zero = F.lit(0).cast(rows.schema[m].dataType)
         return {1: F.col(m), -1: -F.col(m), 0: zero}[by]
 
     def step(shift_us: int, sign: Callable[[str], int]) -> Column:
+        here = shift_us == 0
         return F.struct(
             (F.col("_us") + F.lit(shift_us)).alias("_us"),
-            F.lit(shift_us == 0).alias("_asks"),
-            *[
-                signed(m, sign(w)).alias(f"{m}_{w}")
-                for w in windows
-                for m in measures
-            ],
+            F.lit(here).alias("_asks"),
+            *[signed(m, sign(w)).alias(f"{m}_{w}") for w in windows for m in measures],
+            *[(F.col(c) if here else F.lit(None).cast(rows.schema[c].dataType)).alias(c) for c in also],
         )
 
     steps = [step(0, lambda w: 1)]
     for name, seconds in windows.items():
         steps.append(step(seconds * MICROS, lambda w, name=name: -1 if w == name else 0))
-    entries = instants.select(*keys, F.inline(F.array(*steps)))
-    return sliced_sums(entries, keys, names)
+    return rows.select(*keys, F.inline(F.array(*steps)))
+
+
+def sliced_trailing(
+    rows: DataFrame,
+    keys: Sequence[str],
+    measures: Sequence[str],
+    windows: dict[str, int],
+) -> DataFrame:
+    """Per (key, instant): sums over trailing windows, as ``<measure>_<window>``."""
+    return sliced(trailing_entries(rows, keys, measures, windows), keys, [f"{m}_{w}" for w in windows for m in measures])

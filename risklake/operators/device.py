@@ -79,7 +79,7 @@ def _history(rows: DataFrame, links: DataFrame) -> DataFrame:
         )
 
     line = entries(rows, "_us", 0, 1, True).unionByName(entries(links, "_link_us", 1, 0, False))
-    by_instant = tl.sliced_sums(line, DEVICE, ("_tainted", "_earlier"))
+    by_instant = tl.sliced(line, DEVICE, ("_tainted", "_earlier"))
     looked_up = rows.join(by_instant, ["_device", "_us"], "left").join(
         links.withColumnRenamed("_link_us", "_own"), ["_device", "user_id"], "left"
     )

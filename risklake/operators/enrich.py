@@ -52,9 +52,9 @@ def user_history_features(
     rows = velocity.on_timeline(txns).select(
         "transaction_id", "_user", "_us", "amount", "merchant_id", "latitude", "longitude", "country_code", "city",
     )
-    keys = [*velocity.USER, "_us"]
     profile = behavioral.select(F.concat(F.lit("k:"), F.col("user_id")).alias("_user"), *PROFILE)
-    known = geo.attach_geo(rows.join(velocity.velocity_at(rows, cfg), keys, "left"))
+    at_instant = velocity.velocity_at(rows, cfg, {"_prev": geo.sight()})
+    known = geo.attach_geo(rows, at_instant)
     return known.join(profile, "_user", "left").select("transaction_id", *velocity.COLUMNS, *geo.COLUMNS, *PROFILE)
 
 

@@ -15,20 +15,30 @@ COLUMNS = (
 )
 
 
+def _place(kind: str, name: str) -> Column:
+    return F.concat(F.lit(f"{kind}:"), F.col(name))
+
+
 def geo_features(txns: DataFrame) -> DataFrame:
     """Distance and speed since the user's previous instant; first visits to places.
 
     A place is new if the user has earlier rows but none there. Rows without a user have no
     history.
     """
-    return attach_geo(on_timeline(txns)).select(*txns.columns, *COLUMNS)
+    rows = on_timeline(txns)
+    previous = tl.sliced_last(rows.select(*USER, "_us", sight().alias("_prev")), USER, "_prev", inclusive=False)
+    return attach_geo(rows, previous).select(*txns.columns, *COLUMNS)
 
 
-def _sight() -> Column:
+def sight() -> Column:
     """A row as the user's position, ordered by instant, then id."""
     return F.struct("_us", "transaction_id", "latitude", "longitude", "country_code")
 
 
+def _first_there(place: Column) -> Column:
+    return F.coalesce(F.array_contains("_places", place), F.lit(False))
+
+
 def _columns() -> dict[str, Column]:
     known = F.col("_prev").isNotNull()
     distance = haversine_km(
@@ -42,27 +52,24 @@ def _columns() -> dict[str, Column]:
         "last_country_code": F.col("_prev.country_code"),
         "distance_from_last_txn_km": distance,
         "speed_kmh": distance / hours,
-        "is_new_country": known & F.col("_first_country_code").isNotNull(),
-        "is_new_city": known & F.col("_first_city").isNotNull(),
+        "is_new_country": known & _first_there(_place("country", "country_code")),
+        "is_new_city": known & _first_there(_place("city", "city")),
     }
 
 
-def attach_geo(rows: DataFrame) -> DataFrame:
-    """``rows`` (with ``_user`` and ``_us``) and the features."""
-    previous = tl.sliced_last(rows.select(*USER, "_us", _sight().alias("_prev")), USER, "_prev", inclusive=False)
+def _first_visits(rows: DataFrame) -> DataFrame:
+    """Per (user, instant): the countries and cities that the user is at for the first time."""
+    at = rows.select(*USER, "_us", F.explode(F.array_compact(F.array(_place("country", "country_code"), _place("city", "city")))).alias("_place"))
+    first = at.groupBy(*USER, "_place").agg(F.min("_us").alias("_us"))
+    return first.groupBy(*USER, "_us").agg(F.collect_set("_place").alias("_places"))
 
-    def first_visits(place: str) -> DataFrame:
-        # Joined on the instant too, so that a busy user's rows at one place spread.
-        first = rows.where(F.col(place).isNotNull()).groupBy(*USER, place).agg(F.min("_us").alias("_us"))
-        return first.withColumn(f"_first_{place}", F.lit(True))
 
-    return (
-        rows.join(previous, [*USER, "_us"], "left")
-        .join(first_visits("country_code"), [*USER, "country_code", "_us"], "left")
-        .join(first_visits("city"), [*USER, "city", "_us"], "left")
-        .withColumns(_columns())
-        .select(*rows.columns, *COLUMNS)
-    )
+def attach_geo(rows: DataFrame, at_instant: DataFrame) -> DataFrame:
+    """``rows`` (with ``_user`` and ``_us``) with the columns of ``at_instant`` and the features. The former
+    has, per (user, instant), as ``_prev`` the user's last ``sight`` before."""
+    keys = [*USER, "_us"]
+    known = rows.join(at_instant.join(_first_visits(rows), keys, "left"), keys, "left")
+    return known.withColumns(_columns()).drop("_prev", "_places")
 
 
 def impossible_travel(geo: DataFrame, max_speed_kmh: float) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from risklake.config import VelocityConfig
@@ -30,19 +30,19 @@ def on_timeline(txns: DataFrame) -> DataFrame:
     return txns.withColumns({"_us": micros(F.col("event_time")), "_user": tl.own_key("user_id")})
 
 
-def _entries(rows: DataFrame, count: str, amount: str) -> DataFrame:
-    return rows.select(
-        *USER, "_us", F.lit(1).cast("long").alias(count), F.col("amount").try_cast(tl.MONEY).alias(amount)
-    )
-
-
-def velocity_at(rows: DataFrame, cfg: VelocityConfig) -> DataFrame:
-    """The features per (``_user``, ``_us``) of ``rows``."""
-    totals = tl.sliced_trailing(
-        _entries(rows, "n", "amt"), USER, ("n", "amt"), {"1h": cfg.short_s, "24h": cfg.long_s}
+def velocity_at(rows: DataFrame, cfg: VelocityConfig, lasts: dict[str, Column] | None = None) -> DataFrame:
+    """The features per (``_user``, ``_us``) of ``rows``, and of each struct of ``lasts`` (name -> column) the greatest of
+    the user's earlier instants; all from one pass over the time line."""
+    lasts = lasts or {}
+    windows = {"1h": cfg.short_s, "24h": cfg.long_s}
+    own = rows.select(
+        *USER, "_us", F.lit(1).cast("long").alias("n"), F.col("amount").try_cast(tl.MONEY).alias("amt"),
+        *[c.alias(n) for n, c in lasts.items()],
     )
-    merchants = _merchants_in_sight(rows, cfg.short_s)
-    return totals.join(merchants, [*USER, "_us"], "left").select(
+    entries = tl.trailing_entries(own, USER, ("n", "amt"), windows, tuple(lasts)).withColumn("merchants", F.lit(0).cast("long"))
+    entries = entries.unionByName(_merchants_in_sight(rows, cfg.short_s), allowMissingColumns=True)
+    sums = ["n_1h", "amt_1h", "n_24h", "amt_24h", "merchants"]
+    return tl.sliced(entries, USER, sums, tuple(lasts)).select(
         *USER,
         "_us",
         F.col("n_1h").alias("txn_count_1h"),
@@ -50,11 +50,12 @@ def velocity_at(rows: DataFrame, cfg: VelocityConfig) -> DataFrame:
         F.col("n_24h").alias("txn_count_24h"),
         F.col("amt_24h").cast("double").alias("amount_sum_24h"),
         F.col("merchants").alias("unique_merchants_1h"),
+        *lasts,
     )
 
 
 def _merchants_in_sight(df: DataFrame, seconds: int) -> DataFrame:
-    """Distinct merchants of the trailing window, per (user, instant).
+    """Entries whose sum over earlier instants is the number of distinct merchants of the trailing window.
 
     A merchant is in sight from just after a purchase until ``seconds`` after it, and
     purchases of one slice are never further apart than that, so each (user, merchant,
@@ -68,20 +69,10 @@ def _merchants_in_sight(df: DataFrame, seconds: int) -> DataFrame:
     )
     following = F.lead("_first").over(Window.partitionBy(*stretch_key).orderBy("_slice"))
     ends = F.least(F.col("_last") + F.lit(seconds * MICROS), following)
-    marks = stretches.select(*USER, "_first", ends.alias("_end")).select(
-        *USER,
-        F.inline(
-            F.array(
-                F.struct(F.col("_first").alias("_us"), F.lit(1).cast("long").alias("merchants")),
-                F.struct(F.col("_end").alias("_us"), F.lit(-1).cast("long").alias("merchants")),
-            )
-        ),
-    )
-    asking = df.select(*USER, "_us", F.lit(0).cast("long").alias("merchants"))
-    entries = marks.withColumn("_asks", F.lit(False)).unionByName(
-        asking.withColumn("_asks", F.lit(True))
+    mark = lambda us, by: F.struct(F.col(us).alias("_us"), F.lit(False).alias("_asks"), F.lit(by).cast("long").alias("merchants"))
+    return stretches.select(*USER, "_first", ends.alias("_end")).select(
+        *USER, F.inline(F.array(mark("_first", 1), mark("_end", -1)))
     )
-    return tl.sliced_sums(entries, USER, ("merchants",))
 
 
 def idle_reset_counters(txns: DataFrame, cfg: VelocityConfig = VelocityConfig()) -> DataFrame:
@@ -95,22 +86,20 @@ def idle_reset_counters(txns: DataFrame, cfg: VelocityConfig = VelocityConfig())
     rows = on_timeline(txns)
     windows = {"1h": cfg.short_s, "24h": cfg.long_s}
     keys = [*USER, "_us"]
-    totals = tl.sliced_sums(_entries(rows, "_n", "_amt").withColumn("_asks", F.lit(True)), USER, ("_n", "_amt"))
-    previous = tl.sliced_last(
-        rows.select(*keys, F.struct("_us").alias("_seen")), USER, "_seen", inclusive=False
+    own = rows.select(
+        *keys, F.lit(True).alias("_asks"), F.lit(1).cast("long").alias("_n"), F.col("amount").try_cast(tl.MONEY).alias("_amt"),
+        F.struct("_us").alias("_seen"),
     )
-    running = totals.join(previous, keys).select(*keys, "_n", "_amt", F.col("_seen._us").alias("_prev_us"))
-    spells = running
-    for w, seconds in windows.items():
-        opened = tl.sliced_last(
-            running.select(*keys, _spell_opening(seconds).alias(f"_spell_{w}")), USER, f"_spell_{w}", inclusive=True
-        )
-        spells = spells.join(opened, keys)
+    running = tl.sliced(own, USER, ("_n", "_amt"), ("_seen",)).select(*keys, "_n", "_amt", F.col("_seen._us").alias("_prev_us"))
+    opened = running.select(*keys, F.lit(True).alias("_asks"), *[_spell_opening(s).alias(f"_spell_{w}") for w, s in windows.items()], F.struct("_us", "_n", "_amt", "_prev_us").alias("_now"))
+    # The instant itself comes back as the last one up to it.
+    spells = tl.sliced(opened, USER, lasts=("_now", *[f"_spell_{w}" for w in windows]), inclusive=True)
     counters = {}
     for w, seconds in windows.items():
-        alive = F.col("_prev_us").isNotNull() & (F.col("_us") - F.col("_prev_us") <= seconds * MICROS)
-        amount = (F.col("_amt") - F.col(f"_spell_{w}._amt")).cast("double")
-        counters[f"count_{w}"] = F.when(alive, F.col("_n") - F.col(f"_spell_{w}._n")).otherwise(F.lit(0).cast("long"))
+        gap = F.col("_us") - F.col("_now._prev_us")
+        alive = F.col("_now._prev_us").isNotNull() & (gap <= seconds * MICROS)
+        amount = (F.col("_now._amt") - F.col(f"_spell_{w}._amt")).cast("double")
+        counters[f"count_{w}"] = F.when(alive, F.col("_now._n") - F.col(f"_spell_{w}._n")).otherwise(F.lit(0).cast("long"))
         counters[f"amount_{w}"] = F.when(alive, amount).otherwise(0.0)
     values = spells.select(*keys, *[c.alias(n) for n, c in counters.items()])
     return rows.join(values, keys, "left").select(*txns.columns, *counters)
