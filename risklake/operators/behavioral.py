@@ -26,6 +26,40 @@ def user_amount_stats(silver: DataFrame) -> DataFrame:
     )
 
 
+PROFILE_DAYS = 30
+
+
+def daily_profiles(txns: DataFrame, days: int = PROFILE_DAYS) -> DataFrame:
+    """(user_id, event_timestamp, and the numeric profile) as of the start of every day that follows a user's
+    transaction within ``days`` days, from those days alone: what the daily job would have known then.
+
+    Transactions are reduced to one row per user and day, which is then carried to the days after it.
+    """
+    at = F.to_date("event_time")
+    amount = F.col("amount").cast("double")
+    by_day = txns.filter(F.col("user_id").isNotNull()).groupBy("user_id", at.alias("_day")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(amount).alias("paid"), F.sum(amount).alias("s"), F.sum(amount * amount).alias("q"),
+        F.min(amount).alias("least"), F.max(amount).alias("most"),
+        F.count_if(F.hour("event_time").between(0, 5)).alias("night"),
+        F.max(F.struct("event_time", "transaction_id", amount.alias("amount"))).alias("last"),
+    )
+    later = F.explode(F.sequence(F.date_add("_day", 1), F.date_add("_day", days)))
+    spans = by_day.withColumn("_as_of", later).groupBy("user_id", "_as_of").agg(
+        *[F.sum(c).alias(c) for c in ("n", "paid", "s", "q", "night")],
+        F.min("least").alias("least"), F.max("most").alias("most"), F.max("last").alias("last"),
+    )
+    mean = F.try_divide("s", "paid")
+    # Equal amounts spread by nothing; their squares would leave a rounding error.
+    spread = F.sqrt(F.greatest(F.lit(0.0), F.try_divide(F.col("q") - F.col("s") * mean, F.col("paid") - 1)))
+    stddev = F.when((F.col("paid") > 1) & (F.col("least") < F.col("most")), spread).otherwise(0.0)
+    return spans.select(
+        "user_id", F.col("_as_of").cast("timestamp").alias("event_timestamp"),
+        mean.alias("avg_txn_amount_30d"), stddev.alias("stddev_txn_amount_30d"),
+        F.when(stddev > 0, F.abs((F.col("last.amount") - mean) / stddev)).otherwise(0.0).alias("amount_deviation_score"),
+        (F.col("night") / F.col("n")).alias("hour_of_day_risk_score"), F.col("n").alias("txn_count_30d"),
+    )
+
+
 def category_frequency(silver: DataFrame) -> DataFrame:
     return (
         silver.filter(F.col("merchant_category_code").isNotNull())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from risklake.config import DEFAULT_MERCHANT_RISK, MERCHANT_RISK, VelocityConfig
 from risklake.operators import device, geo, velocity
-from risklake.operators.feature_store import ENRICHMENT_REFS, VIEWS, get_online_features
+from risklake.operators.feature_store import ENRICHMENT_REFS, USER_BEHAVIORAL_STATS, get_online_features, held_entries
 from risklake.schemas import FEATURES
 
 MAP = "map<string,string>"
@@ -47,15 +47,23 @@ def user_history_features(
 ) -> DataFrame:
     """``transaction_id`` and all features that depend on the user.
 
-    Only the needed columns move, by (user, instant), which no busy user can skew.
+    Only the needed columns move, by (user, instant), which no busy user can skew. Dated profiles go along the same
+    time line.
     """
     rows = velocity.on_timeline(txns).select(
         "transaction_id", "_user", "_us", "amount", "merchant_id", "latitude", "longitude", "country_code", "city",
     )
-    profile = behavioral.select(F.concat(F.lit("k:"), F.col("user_id")).alias("_user"), *PROFILE)
-    at_instant = velocity.velocity_at(rows, cfg, {"_prev": geo.sight()})
-    known = geo.attach_geo(rows, at_instant)
-    return known.join(profile, "_user", "left").select("transaction_id", *velocity.COLUMNS, *geo.COLUMNS, *PROFILE)
+    key = F.concat(F.lit("k:"), F.col("user_id")).alias("_user")
+    sight = {"_prev": geo.sight()}
+    if USER_BEHAVIORAL_STATS.ts_col in behavioral.columns:
+        held = held_entries(USER_BEHAVIORAL_STATS, behavioral, PROFILE)
+        profiles = held.select(key, "_us", F.col(f"_{USER_BEHAVIORAL_STATS.name}").alias("_profile"))
+        known = geo.attach_geo(rows, velocity.velocity_at(rows, cfg, sight, {"_profile": profiles}))
+        fresh = F.col("_us") - F.col("_profile._us") <= USER_BEHAVIORAL_STATS.ttl_us
+        known = known.withColumns({c: F.when(fresh, F.col(f"_profile.{c}")) for c in PROFILE})
+    else:
+        known = geo.attach_geo(rows, velocity.velocity_at(rows, cfg, sight)).join(behavioral.select(key, *PROFILE), "_user", "left")
+    return known.select("transaction_id", *velocity.COLUMNS, *geo.COLUMNS, *PROFILE)
 
 
 def device_history_features(txns: DataFrame, fraud_labels: DataFrame) -> DataFrame:
@@ -74,10 +82,11 @@ def enrich_history(
     cfg: VelocityConfig = VelocityConfig(),
 ) -> DataFrame:
     """All 14 features for a whole history of transactions: velocity, location and device as
-    of each row's instant; profile and address scores as given, the same on every row.
+    of each row's instant; address scores as given, the same on every row.
 
     ``txns`` must have unique ids (``lake.first_per_key`` makes them so): a repeated
-    delivery is no second purchase. ``behavioral`` is the per-user profile in force.
+    delivery is no second purchase. ``behavioral`` are dated profiles (``behavioral.daily_profiles``), of which a row
+    sees the newest one dated before it, or, without an ``event_timestamp``, the one profile in force.
 
     The two histories are computed from the few columns they need; the full rows are
     shuffled once, by transaction id, which no key can skew.

@@ -231,19 +231,40 @@ def point_in_time_join(
     two sides are merged on one time line per key: no range join, linear in the rows. A row
     without a key has no values.
     """
-    features = list(features or view.columns)
-    payload = [view.ts_col, *features]
-    rows = left.withColumn("_us", micros(F.col(ts_col))).drop(*payload)
-    held = history.select(
-        *view.keys, micros(F.col(view.ts_col)).alias("_us"), _dated(view, payload).alias("_held")
-    )
-    keys = list(view.keys)
-    both = rows.select(*keys, "_us").unionByName(held, allowMissingColumns=True).dropna(subset=keys)
-    by_instant = tl.sliced_last(both, keys, "_held", inclusive=True)
-    found = rows.join(by_instant, [*keys, "_us"], "left")
-    fresh = _within_ttl(view, F.col("_us"), F.col("_held._us"))
-    return (
-        found
-        .withColumns({c: F.when(fresh, F.col(f"_held.{c}")) for c in payload})
-        .drop("_us", "_held")
-    )
+    return point_in_time_views(left, {view.name: history}, ts_col, {view.name: list(features or view.columns)})
+
+
+def held_entries(view: FeatureView, history: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Rows of a view for a time line of its key: the key, ``_us`` and the values as a struct ``_<view>``."""
+    return history.select(
+        *view.keys, micros(F.col(view.ts_col)).alias("_us"), _dated(view, [view.ts_col, *features]).alias(f"_{view.name}")
+    ).dropna(subset=list(view.keys))
+
+
+def point_in_time_views(
+    left: DataFrame, histories: dict[str, DataFrame], ts_col: str = "event_time",
+    features: dict[str, Sequence[str]] | None = None, before: bool = False,
+) -> DataFrame:
+    """To each row of ``left`` the newest values of several views at or before its time, or strictly ``before`` it.
+
+    ``histories``: view name -> its dated rows. All views of one key lie on one time line, which is passed once.
+    Values older than their view's time to live are NULL; so is the view's time column, which has the view's name
+    in front where there are several views.
+    """
+    asked = {n: list((features or {}).get(n) or VIEWS[n].columns) for n in histories}
+    names = {n: VIEWS[n].ts_col if len(asked) == 1 else f"{n}_{VIEWS[n].ts_col}" for n in asked}
+    out = left.withColumn("_asked_us", micros(F.col(ts_col))).drop(*names.values(), *[f for fs in asked.values() for f in fs])
+    for keys in dict.fromkeys(VIEWS[n].keys for n in asked):
+        mine = [n for n in asked if VIEWS[n].keys == keys]
+        line = out.select(*keys, F.col("_asked_us").alias("_us"), F.lit(True).alias("_asks")).dropna(subset=list(keys))
+        for n in mine:
+            held = held_entries(VIEWS[n], histories[n], asked[n]).withColumn("_asks", F.lit(False))
+            line = line.unionByName(held, allowMissingColumns=True)
+        found = tl.sliced(line, list(keys), lasts=[f"_{n}" for n in mine], inclusive=not before).withColumnRenamed("_us", "_asked_us")
+        values = {}
+        for n in mine:
+            fresh = _within_ttl(VIEWS[n], F.col("_asked_us"), F.col(f"_{n}._us"))
+            values[names[n]] = F.when(fresh, F.col(f"_{n}.{VIEWS[n].ts_col}"))
+            values |= {f: F.when(fresh, F.col(f"_{n}.{f}")) for f in asked[n]}
+        out = out.join(found, [*keys, "_asked_us"], "left").withColumns(values).drop(*[f"_{n}" for n in mine])
+    return out.drop("_asked_us")

@@ -30,10 +30,13 @@ def on_timeline(txns: DataFrame) -> DataFrame:
     return txns.withColumns({"_us": micros(F.col("event_time")), "_user": tl.own_key("user_id")})
 
 
-def velocity_at(rows: DataFrame, cfg: VelocityConfig, lasts: dict[str, Column] | None = None) -> DataFrame:
+def velocity_at(
+    rows: DataFrame, cfg: VelocityConfig, lasts: dict[str, Column] | None = None, held: dict[str, DataFrame] | None = None,
+) -> DataFrame:
     """The features per (``_user``, ``_us``) of ``rows``, and of each struct of ``lasts`` (name -> column) the greatest of
-    the user's earlier instants; all from one pass over the time line."""
-    lasts = lasts or {}
+    the user's earlier instants; all from one pass over the time line. ``held`` brings structs of the user's other
+    dated rows: name -> (``_user``, ``_us``, the struct by that name)."""
+    lasts, held = lasts or {}, held or {}
     windows = {"1h": cfg.short_s, "24h": cfg.long_s}
     own = rows.select(
         *USER, "_us", F.lit(1).cast("long").alias("n"), F.col("amount").try_cast(tl.MONEY).alias("amt"),
@@ -41,8 +44,10 @@ def velocity_at(rows: DataFrame, cfg: VelocityConfig, lasts: dict[str, Column] |
     )
     entries = tl.trailing_entries(own, USER, ("n", "amt"), windows, tuple(lasts)).withColumn("merchants", F.lit(0).cast("long"))
     entries = entries.unionByName(_merchants_in_sight(rows, cfg.short_s), allowMissingColumns=True)
+    for table in held.values():
+        entries = entries.unionByName(table.withColumn("_asks", F.lit(False)), allowMissingColumns=True)
     sums = ["n_1h", "amt_1h", "n_24h", "amt_24h", "merchants"]
-    return tl.sliced(entries, USER, sums, tuple(lasts)).select(
+    return tl.sliced(entries, USER, sums, (*lasts, *held)).select(
         *USER,
         "_us",
         F.col("n_1h").alias("txn_count_1h"),
@@ -51,6 +56,7 @@ def velocity_at(rows: DataFrame, cfg: VelocityConfig, lasts: dict[str, Column] |
         F.col("amt_24h").cast("double").alias("amount_sum_24h"),
         F.col("merchants").alias("unique_merchants_1h"),
         *lasts,
+        *held,
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from risklake import schemas
 from risklake.config import AGENTS, LATENCY_BOUNDS_S, TrainingConfig
-from risklake.operators import analytics, decisions, quality, scoring, training
+from risklake.operators import analytics, behavioral, decisions, enrich, quality, scoring, training
 from risklake.plans import jobs
 from risklake.plans.queries_features import enriched_rows
 from risklake.plans.registry import register, rounded
@@ -634,8 +634,11 @@ _MODEL_FEATURES = [
 
 @register("model_scores")
 def model_scores(spark, sf_dir):
-    """A small model trained on four fifths of the enriched rows scores the rest."""
-    rows = enriched_rows(spark, sf_dir).select(
+    """A small model trained on four fifths of the enriched rows scores the rest. Profiles are those dated before each
+    row, so that the model sees nothing later than the row itself."""
+    txns = ev.transactions(spark, sf_dir)
+    known = enrich.enrich_history(txns, behavioral.daily_profiles(txns), ev.fraud_labels(txns), ev.ip_reputation(txns))
+    rows = known.select(
         F.col("transaction_id").alias("record_id"), F.col("is_fraud").cast("int").alias("label"),
         *_MODEL_FEATURES,
     )

@@ -381,6 +381,69 @@ def enriched_transactions(spark, sf_dir):
     return rounded(out, 6, "avg_txn_amount_30d", "amount_deviation_score", "hour_of_day_risk_score")
 
 
+_DAILY = """
+    SELECT u.user_id, d.day AS seen, avg(t.amount) AS mean,
+           CASE WHEN coalesce(stddev_samp(t.amount), 0) > 0 AND min(t.amount) < max(t.amount)
+                THEN abs((arg_max(t.amount, t.event_time) - avg(t.amount)) / stddev_samp(t.amount)) ELSE 0 END AS deviation,
+           count(*) FILTER (hour(t.event_time) < 6) / count(*) AS night, count(*) AS n
+    FROM (SELECT DISTINCT user_id FROM txns) u,
+         (SELECT unnest(generate_series((SELECT min(event_time) FROM txns)::DATE, (SELECT max(event_time) FROM txns)::DATE + 1, INTERVAL 1 DAY))::TIMESTAMP AS day) d,
+         txns t
+    WHERE t.user_id = u.user_id AND t.event_time < d.day AND t.event_time >= d.day - INTERVAL 30 DAY
+    GROUP BY u.user_id, d.day"""
+
+
+@register(
+    "dated_profiles",
+    with_parts(
+        """SELECT t.transaction_id, round(coalesce(p.mean, 0) + 1e-9, 6) AS avg_txn_amount_30d, round(coalesce(p.deviation, 0) + 1e-9, 6) AS amount_deviation_score,
+                  round(coalesce(p.night, 0) + 1e-9, 6) AS hour_of_day_risk_score, v.txn_count_24h
+           FROM txns t JOIN velocity v USING (transaction_id) ASOF LEFT JOIN daily p ON p.user_id = t.user_id AND t.event_time > p.seen""",
+        "txns", "velocity", "daily", instead={"daily": (_DAILY, ("txns",))},
+    ),
+)
+def dated_profiles(spark, sf_dir):
+    """Every row with the profile of the days before its own, as of which nothing later is known."""
+    txns = ev.transactions(spark, sf_dir)
+    profiles = behavioral.daily_profiles(txns)
+    out = enrich.enrich_history(txns, profiles, ev.fraud_labels(txns), ev.ip_reputation(txns)).select(
+        "transaction_id", *enrich.PROFILE, "txn_count_24h"
+    )
+    # A little is added, as means of cents lie halfway between two roundings.
+    return rounded(out.withColumns({c: F.col(c) + 1e-9 for c in enrich.PROFILE}), 6, *enrich.PROFILE)
+
+
+@register(
+    "point_in_time_views",
+    with_parts(
+        """SELECT t.transaction_id, round(CAST(CASE WHEN t.event_time - p.seen <= INTERVAL 30 DAY THEN p.mean END AS FLOAT), 2) AS avg_txn_amount_30d,
+                  CASE WHEN t.event_time - g.seen <= INTERVAL 7 DAY THEN g.country END AS last_country_code,
+                  CASE WHEN t.event_time - d.seen <= INTERVAL 7 DAY THEN d.score END AS ip_fraud_score
+           FROM (SELECT * FROM txns WHERE event_id % 3 = 0) t
+           ASOF LEFT JOIN daily p ON p.user_id = t.user_id AND t.event_time >= p.seen
+           ASOF LEFT JOIN (SELECT user_id, event_time AS seen, country_code AS country FROM txns WHERE event_id % 3 <> 0 AND k % 10 = 0) g
+             ON g.user_id = t.user_id AND t.event_time >= g.seen
+           ASOF LEFT JOIN (SELECT device_fingerprint, event_time AS seen, CAST(max(address_score) AS FLOAT) AS score FROM txns
+                           WHERE event_id % 3 = 1 GROUP BY ALL) d
+             ON d.device_fingerprint = t.device_fingerprint AND t.event_time >= d.seen""",
+        "txns", "daily", instead={"daily": (_DAILY, ("txns",))},
+    ),
+)
+def point_in_time_views(spark, sf_dir):
+    """Three views of two keys looked up for every third transaction, each as of its time."""
+    txns = ev.transactions(spark, sf_dir)
+    dated = lambda view, df: view.conform(df.withColumnRenamed("event_time", "event_timestamp"))
+    histories = {
+        "user_behavioral_stats": fs.USER_BEHAVIORAL_STATS.conform(behavioral.daily_profiles(txns)),
+        "geo_stats": dated(fs.GEO_STATS, txns.filter("event_id % 3 <> 0 AND k % 10 = 0").withColumnRenamed("country_code", "last_country_code")),
+        "device_network_stats": dated(fs.DEVICE_NETWORK_STATS, txns.filter("event_id % 3 = 1").withColumnRenamed("address_score", "ip_fraud_score")),
+    }
+    asked = {"user_behavioral_stats": ["avg_txn_amount_30d"], "geo_stats": ["last_country_code"], "device_network_stats": ["ip_fraud_score"]}
+    rows = txns.filter("event_id % 3 = 0").select("transaction_id", "user_id", "device_fingerprint", "event_time")
+    out = fs.point_in_time_views(rows, histories, features=asked)
+    return rounded(out, 2, "avg_txn_amount_30d").select("transaction_id", "avg_txn_amount_30d", "last_country_code", "ip_fraud_score")
+
+
 # --- feature store ---------------------------------------------------------------------
 
 

@@ -41,20 +41,14 @@ def layer(base: str, name: str) -> str:
 def write_batch(
     df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = (), fmt: str = "parquet"
 ) -> None:
-    """Append the rows of one batch. The same batch again replaces itself.
-
-    Parquet: each batch owns its ``batch_id`` partitions, and only those are overwritten.
-    Delta, where installed, keeps track of batches by itself.
-    """
+    """Append the rows of one batch. The same batch again replaces itself: each batch owns its ``batch_id``
+    partitions, and only those are overwritten."""
     rows = df.withColumn("batch_id", F.lit(batch_id).cast("long"))
     if partition_by:
         # Otherwise each task writes a file into each partition.
         rows = rows.hint("rebalance", *partition_by)
     writer = rows.write.format(fmt).partitionBy(*partition_by, "batch_id")
-    if fmt == "delta":
-        writer.mode("append").option("txnAppId", path).option("txnVersion", batch_id).save(path)
-    else:
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
+    writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
 
 
 def with_date_partition(df: DataFrame, ts_col: str = "event_time") -> DataFrame:
@@ -95,30 +89,13 @@ def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
         return False
 
 
-def upsert(
-    df: DataFrame, path: str, batch_id: int, key: str | None = None,
-    fmt: str = "parquet", partition_by: Sequence[str] = (),
-) -> None:
+def upsert(df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
     """Insert or replace by key, last write wins; creates the table if absent.
 
-    Parquet keeps every batch as a version and ``read_current`` picks the last one; a
-    replayed batch replaces its own version, and ``snapshots.fold`` takes older batches together. Delta,
-    where installed, merges in place.
+    Every batch is kept as a version and ``read_current`` picks the last one; a replayed batch replaces its own
+    version, and ``snapshots.fold`` takes older batches together.
     """
-    if fmt != "delta":
-        write_batch(df, path, batch_id, partition_by)
-        return
-    from delta.tables import DeltaTable  # optional package
-
-    spark = df.sparkSession
-    if not DeltaTable.isDeltaTable(spark, path):
-        df.write.format("delta").partitionBy(*partition_by).save(path)
-        return
-    (
-        DeltaTable.forPath(spark, path).alias("kept")
-        .merge(df.alias("new"), f"kept.{key} = new.{key}")
-        .whenMatchedUpdateAll().whenNotMatchedInsertAll().execute()
-    )
+    write_batch(df, path, batch_id, partition_by)
 
 
 def read_current(
@@ -163,10 +140,7 @@ def overwrite_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet"
 ) -> None:
     """Replace the table, its schema included."""
-    (
-        df.write.format(fmt).mode("overwrite").partitionBy(*partition_by)
-        .option("overwriteSchema", "true").option("partitionOverwriteMode", "static").save(path)
-    )
+    df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).option("partitionOverwriteMode", "static").save(path)
 
 
 EXPORT_COLUMNS = (
@@ -188,17 +162,13 @@ def export_offline_features(
 
 def compact(
     spark: SparkSession, path: str, cluster_by: Sequence[str], target: str, files: int,
-    partition_by: Sequence[str] = (), fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Fewer, larger files, sorted by ``cluster_by``, written to ``target``.
 
     The caller switches readers over; a table is never written over its own input. A hash
     of the row is the last range key, so that equal cluster values can fill several files.
     """
-    if fmt == "delta":
-        columns = ", ".join(cluster_by)
-        spark.sql(f"OPTIMIZE delta.`{path}`" + (f" ZORDER BY ({columns})" if columns else ""))
-        return
     df = spark.read.parquet(path)
     spread = F.xxhash64(*[F.col(c) for c in df.columns if not has_map(df.schema[c].dataType)])
     ranged = (

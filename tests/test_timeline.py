@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import statistics
 
 import numpy as np
 import pytest
@@ -235,3 +236,41 @@ def test_reduced_scan(txns):
     assert "event_type" not in text.split("ReadSchema")[-1]
     labels = ev.fraud_labels(txns)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_type), IsNotNull(props), EqualTo(event_type,error)]" in labels or "EqualTo(event_type,error)" in labels
+
+
+def test_profiles_are_those_dated_before_the_row(spark):
+    """Brute force over a user's days: nothing of a row's own day or later is in its profile."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(200):
+        at = dt.datetime(2024, 1, 1) + dt.timedelta(hours=rng.randrange(24 * 80))
+        rows.append((f"t{i}", rng.choice(["a", "b", None]), f"m{i % 3}", float(rng.choice([5, 5, 10, 40])), at, 1.0, 1.0, "US", "X", "d1", "ip"))
+    rows.append(("only", "c", "m", 5.0, dt.datetime(2024, 1, 5, 3), 1.0, 1.0, "US", "X", "d1", "ip"))
+    rows.append(("same", "c", "m", 5.0, dt.datetime(2024, 1, 6), 1.0, 1.0, "US", "X", "d1", "ip"))
+    rows.append(("next", "c", "m", 5.0, dt.datetime(2024, 1, 7, 1), 1.0, 1.0, "US", "X", "d1", "ip"))
+    txns = spark.createDataFrame(rows, "transaction_id string, user_id string, merchant_id string, amount double, event_time timestamp, "
+                                 "latitude double, longitude double, country_code string, city string, device_fingerprint string, ip_address string")
+    labels = spark.createDataFrame([], "user_id string, fraud_time timestamp")
+    got = {r.transaction_id: r for r in enrich.enrich_history(txns, behavioral.daily_profiles(txns), labels).collect()}
+    for name, user, _, _, at, *_ in rows:
+        # A profile is dated at the start of a day, and one dated at the row's instant is not before it.
+        day = dt.datetime.combine((at - dt.timedelta(microseconds=1)).date(), dt.time())
+        seen = sorted((r[4], r[0], r[3]) for r in rows if r[1] == user and user and day - dt.timedelta(days=30) <= r[4] < day)
+        r = got[name]
+        if not seen:
+            assert r.avg_txn_amount_30d == r.amount_deviation_score == r.hour_of_day_risk_score == 0
+            continue
+        amounts = [s[2] for s in seen]
+        mean = sum(amounts) / len(amounts)
+        spread = statistics.stdev(amounts) if len(amounts) > 1 else 0
+        assert r.avg_txn_amount_30d == pytest.approx(mean)
+        assert r.amount_deviation_score == pytest.approx(abs(amounts[-1] - mean) / spread if spread else 0)
+        assert r.hour_of_day_risk_score == pytest.approx(sum(s[0].hour < 6 for s in seen) / len(seen))
+
+
+def test_plans_move_a_user_s_rows_a_few_times_only(txns):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(velocity.velocity_features(txns)).count("Exchange hash") <= 9
+    assert plan(velocity.idle_reset_counters(txns)).count("Exchange hash") <= 12
+    full = enrich.enrich_history(txns, behavioral.behavioral_features(txns), ev.fraud_labels(txns), ev.ip_reputation(txns))
+    assert plan(full).count("Scan parquet") <= 20
