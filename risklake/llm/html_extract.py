@@ -35,6 +35,7 @@ CLOSES = {
     "td": frozenset({"td", "th"}), "th": frozenset({"td", "th"}), "option": frozenset({"option"}),
     "thead": frozenset({"tr", "td", "th", "thead", "tbody"}), "tbody": frozenset({"tr", "td", "th", "thead", "tbody"}),
 }
+PARAGRAPHS = frozenset({"p", "h1", "h2", "h3", "h4", "h5", "h6"})
 BORDERS = frozenset("table ul ol dl div section article main aside nav header footer body html td th form blockquote".split())
 DROPPED_NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner banners sponsor sponsored sponsors promo promos promotion nav navbar navigation menu "
@@ -44,6 +45,9 @@ DROPPED_NAMES = frozenset(
 )
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 KEPT_NAMES = frozenset("article content main post entry body story text page".split())
+#: Of these, words that an article also uses: inside of one they drop a part only if it is mostly links as well.
+EVERYDAY_NAMES = frozenset("social legal search feedback copyright reply respond".split())
+LINKED_SHARE = 0.3
 #: Points that an element has by its tag alone.
 TAG_POINTS = {"article": 25.0, "main": 25.0, "section": 3.0, "div": 3.0, "blockquote": 1.0, "pre": 1.0, "td": 1.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "li": -3.0}
 #: Shares of a paragraph's points for the elements above it, nearest first.
@@ -58,70 +62,134 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "dropped", "in_article", "points", "size", "link_size")
+    __slots__ = ("tag", "parent", "dropped", "suspect", "in_article", "points", "size", "link_size", "kept")
 
-    def __init__(self, tag: str, parent: _Element | None, dropped: bool):
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: _Element | None, dropped: bool, suspect: bool = False):
+        self.tag, self.parent, self.dropped, self.suspect = tag, parent, dropped, suspect
         self.in_article = tag in ("article", "main") or (parent is not None and parent.in_article)
         self.points = TAG_POINTS.get(tag, 0.0)
         self.size = self.link_size = 0
+        self.kept = False
 
 
-def _is_dropped(tag: str, attributes: str, inside_article: bool) -> bool:
+class _Stack:
+    """Open elements. The last border and what is open above it are found without a search."""
+
+    def __init__(self, root: _Element):
+        self.open = [root]
+        #: Places of elements that aren't inline; the last one owns a text.
+        self.blocks = [0]
+        #: Per border: its place, and by tag the places of what is open above it. Borders are in their own scope.
+        self.scopes: list[tuple[int, dict[str, list[int]]]] = [(0, {})]
+        self.count: dict[str, int] = {}
+
+    def push(self, element: _Element) -> None:
+        tag, place = element.tag, len(self.open)
+        self.open.append(element)
+        self.count[tag] = self.count.get(tag, 0) + 1
+        if tag not in INLINE:
+            self.blocks.append(place)
+        if tag in BORDERS:
+            self.scopes.append((place, {}))
+        else:
+            self.scopes[-1][1].setdefault(tag, []).append(place)
+
+    def cut(self, place: int) -> list[_Element]:
+        gone = self.open[place:]
+        while len(self.open) > place:
+            tag = self.open.pop().tag
+            self.count[tag] -= 1
+            if tag in BORDERS:
+                self.scopes.pop()
+            else:
+                self.scopes[-1][1][tag].pop()
+        while self.blocks[-1] >= place:
+            self.blocks.pop()
+        return gone
+
+    def ended_by_end_tag(self, tag: str) -> int:
+        """The place of the element that an end tag closes, 0 if none. An inline one reaches to the last border."""
+        if tag in INLINE:
+            return (self.scopes[-1][1].get(tag) or [0])[-1]
+        if not self.count.get(tag):
+            return 0
+        return next(i for i in range(len(self.open) - 1, 0, -1) if self.open[i].tag == tag)
+
+    def ended_by_start_tag(self, tag: str) -> int:
+        """The outermost element that a start tag closes, up to a border that it doesn't close; 0 if none."""
+        ended = CLOSES.get(tag, frozenset()) | PARAGRAPHS
+        place = 0
+        for border, held in reversed(self.scopes):
+            mine = [held[t][0] for t in ended if held.get(t)]
+            place = min([place, *mine]) if place and mine else min(mine, default=place)
+            if not border or self.open[border].tag not in ended:
+                break
+            place = border
+        return place
+
+
+def _is_dropped(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool]:
+    """Whether an element goes, and whether it goes if it is mostly links."""
     if tag in DROPPED or (tag == "header" and not inside_article):
-        return True
+        return True, False
     if not attributes or tag in ("html", "body", "main"):
-        return False
+        return False, False
     names: set[str] = set()
     for name, *values in _ATTRIBUTE.findall(attributes):
         value, name = next((v for v in values if v), ""), name.lower()
         if name == "role" and value.lower() in DROPPED_ROLES:
-            return True
+            return True, False
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, False
         if name in ("class", "id"):
             # A part called hidden hides nothing (overflow-hidden), only the class of that name does.
             names.update({x.lower() for x in _NAME.findall(value)} - {"hidden"})
         if name == "class" and "hidden" in value.lower().split():
             names.add("hidden")
     if names & {"comment", "comments", "disqus", "replies"}:
-        return True
-    return tag != "article" and bool(names & DROPPED_NAMES) and not names & KEPT_NAMES
+        return True, False
+    if tag == "article" or names & KEPT_NAMES:
+        return False, False
+    found = names & DROPPED_NAMES
+    if inside_article and found and found <= EVERYDAY_NAMES:
+        return False, True
+    return bool(found), False
 
 
-def blocks_of(html: str) -> list[tuple[str, int, _Element]]:
-    """The page's text blocks (text, characters in links, element), dropped ones left out."""
+def blocks_of(html: str) -> tuple[list[tuple[str, int, _Element]], list[_Element]]:
+    """The page's text blocks (text, characters in links, element), dropped ones left out, and its elements in
+    order of their start."""
     root = _Element("", None, False)
-    stack, out = [root], []
+    stack, out, elements = _Stack(root), [], [root]
     parts: list[str] = []
     linked = [0, 0]  # open links, characters in them
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
-        if text and not stack[-1].dropped:
-            owner = next(e for e in reversed(stack) if e.tag not in INLINE)
-            out.append((text, min(linked[1], len(text)), owner))
+        if text and not stack.open[-1].dropped:
+            out.append((text, min(linked[1], len(text)), stack.open[stack.blocks[-1]]))
         parts.clear()
         linked[1] = 0
 
     def add(text: str) -> None:
-        if text and not stack[-1].dropped:
+        if text and not stack.open[-1].dropped:
             text = unescape(text)
             parts.append(text)
             if linked[0]:
                 linked[1] += len(" ".join(text.split()))
 
     def close_to(place: int) -> None:
-        if any(e.tag not in INLINE for e in stack[place:]):
+        if stack.blocks[-1] >= place:
             flush()
-        linked[0] -= sum(e.tag == "a" for e in stack[place:])
-        del stack[place:]
+        linked[0] -= sum(e.tag == "a" for e in stack.cut(place))
 
-    at, end = 0, len(html)
+    at, end, last = 0, len(html), html.rfind(">")
     while at < end:
         mark = html.find("<", at)
-        if mark < 0:
-            add(html[at:])
+        if mark < 0 or mark > last:
+            # No tag is finished from here on; an unclosed comment hides the rest.
+            comment = html.find("<!--", at)
+            add(html[at:] if comment < 0 else html[at:comment])
             break
         add(html[at:mark])
         found = _TAG.match(html, mark)
@@ -134,8 +202,8 @@ def blocks_of(html: str) -> list[tuple[str, int, _Element]]:
             continue
         tag = found[2].lower()
         if found[1]:
-            place = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if place and not (tag in INLINE and any(e.tag in BORDERS for e in stack[place:])):
+            place = stack.ended_by_end_tag(tag)
+            if place:
                 close_to(place)
             elif tag in ("p", "br"):
                 flush()
@@ -146,38 +214,53 @@ def blocks_of(html: str) -> list[tuple[str, int, _Element]]:
         if tag in VOID:
             continue
         if tag not in INLINE:
-            ended = CLOSES.get(tag, frozenset()) | ({"p", "h1", "h2", "h3", "h4", "h5", "h6"} if tag != "span" else frozenset())
-            place = 0
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in ended:
-                    place = i
-                elif stack[i].tag in BORDERS and not (tag in CLOSES and stack[i].tag in ended):
-                    break
+            place = stack.ended_by_start_tag(tag)
             if place:
                 close_to(place)
             else:
                 flush()
-        parent = stack[-1]
-        dropped = parent.dropped or _is_dropped(tag, found[3] or "", parent.in_article)
+        parent = stack.open[-1]
+        dropped, suspect = (True, False) if parent.dropped else _is_dropped(tag, found[3] or "", parent.in_article)
         if tag in RAW:
             stop = re.compile(rf"</{tag}\s*[^>]*>", re.IGNORECASE).search(html, at)
             at = stop.end() if stop else end
             continue
         if (found[3] or "").rstrip().endswith("/") and tag not in INLINE:
             continue
-        stack.append(_Element(tag, parent, dropped))
+        element = _Element(tag, parent, dropped, suspect)
+        elements.append(element)
+        stack.push(element)
         linked[0] += tag == "a"
     flush()
-    return out
+    return out, elements
 
 
 def _paragraph_points(text: str) -> float:
     return 1.0 + text.count(",") + text.count("，") + min(len(text) / 100, 3.0)
 
 
+def _sizes(found: list[tuple[str, int, _Element]], order: list[_Element]) -> None:
+    """Characters and linked characters of every element with all that is in it, added up from the inside."""
+    for element in order:
+        element.size = element.link_size = 0
+    for text, linked, owner in found:
+        owner.size += len(text)
+        owner.link_size += linked
+    for element in reversed(order[1:]):
+        element.parent.size += element.size
+        element.parent.link_size += element.link_size
+
+
 def main_text(html: str | None) -> str:
-    """The blocks of the best element and its kept siblings, in page order, one a line."""
-    found = blocks_of(html or "")
+    """The blocks of the best element and its kept siblings, in page order, one a line. Linear in the page."""
+    found, order = blocks_of(html or "")
+    _sizes(found, order)
+    if any(e.suspect for e in order):
+        for element in order[1:]:
+            mostly_links = element.suspect and element.link_size > LINKED_SHARE * element.size
+            element.dropped = element.dropped or element.parent.dropped or mostly_links
+        found = [f for f in found if not f[2].dropped]
+        _sizes(found, order)
     if not found:
         return ""
     elements: dict[int, _Element] = {}
@@ -189,11 +272,6 @@ def main_text(html: str | None) -> str:
             element.points += points * SHARES[level]
             elements[id(element)] = element
             element, level = element.parent, level + 1
-        element = owner
-        while element is not None:
-            element.size += len(text)
-            element.link_size += linked
-            element = element.parent
     rated = lambda e: e.points * (1 - e.link_size / e.size if e.size else 1)
     best = max(elements.values(), key=rated)
     # An article holds all of its sections, also those with few points.
@@ -202,23 +280,20 @@ def main_text(html: str | None) -> str:
         outer = outer.parent
     best = outer or best
     enough = max(10.0, 0.2 * rated(best))
-    keep = {id(best)}
+    best.kept = True
     for element in elements.values():
         if element is not best and element.parent is best.parent and best.parent is not None and rated(element) >= enough:
-            keep.add(id(element))
-
-    def kept(text: str, linked: int, owner: _Element) -> bool:
-        element = owner
-        while element is not None:
-            if id(element) in keep:
-                return True
-            element = element.parent
+            element.kept = True
+    for element in order[1:]:
+        element.kept = element.kept or element.parent.kept
+
+    def beside(text: str, linked: int, owner: _Element) -> bool:
         # A paragraph beside the best element belongs to it if it reads like one.
-        beside = owner.tag in ("p", "pre", "blockquote") and owner.parent is best.parent and best.parent is not None
+        near = owner.tag in ("p", "pre", "blockquote") and owner.parent is best.parent and best.parent is not None
         share = linked / len(text)
-        return beside and ((len(text) > 80 and share < 0.25) or (share == 0 and bool(re.search(r"[.!?。](\s|$)", text))))
+        return near and ((len(text) > 80 and share < 0.25) or (share == 0 and bool(re.search(r"[.!?。](\s|$)", text))))
 
-    return "\n".join(text for text, linked, owner in found if kept(text, linked, owner))
+    return "\n".join(f[0] for f in found if f[2].kept or beside(*f))
 
 
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
