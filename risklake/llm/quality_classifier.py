@@ -6,9 +6,8 @@ through a hidden layer to the chunk's logit; the mean and the extremes of the ch
 make one probability. A text of any length is read whole.
 
 Because a byte is one of 256, a filter is a table for each of its ``WIDTH`` places, and a response
-a sum of look-ups. Training uses at most ``SAMPLE_ROWS`` labelled documents, those with the
-smallest hash of their id, and ``SAMPLE_CHUNKS`` chunks spread over each; both bounds are
-parameters. Scoring is independent for each row.
+a sum of look-ups. Training uses at most ``SAMPLE_ROWS`` labelled documents (a parameter), those with the
+smallest hash of their id, each whole. Scoring is independent for each row.
 """
 
 from __future__ import annotations
@@ -28,13 +27,13 @@ EMBEDDING = 8
 FILTERS = 24
 HIDDEN = 16
 CHUNK = 256
-SAMPLE_ROWS = 3_000
-SAMPLE_CHUNKS = 6
+SAMPLE_ROWS = 2_000
 EPOCHS = 12
 BATCH_DOCS = 48
 THRESHOLD = 0.3
-#: Positions whose responses are held at once.
+#: Positions whose responses are held at once, and in training, chunks.
 TILE = 16_384
+TILE_CHUNKS = 512
 
 
 class Network:
@@ -121,16 +120,25 @@ class Network:
                     v += 0.01 * (g * g - v)
                     self.p[k] -= (lr * (m / (1 - 0.9**turn)) / (np.sqrt(v / (1 - 0.99**turn)) + 1e-7)).astype(np.float32)
 
+    def _pooled(self, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Every filter's highest response in each chunk, and the place of it."""
+        width, tables = CHUNK - WIDTH + 1, self.tables()
+        most, where = [], []
+        for at in range(0, len(chunks), TILE_CHUNKS):
+            some = chunks[at : at + TILE_CHUNKS]
+            response = tables[0][some[:, :width]]
+            for k in range(1, WIDTH):
+                response += tables[k][some[:, k : k + width]]
+            place = response.argmax(axis=1)
+            where.append(place)
+            most.append(np.take_along_axis(response, place[:, None, :], 1)[:, 0])
+        return np.concatenate(most), np.concatenate(where)
+
     def _gradients(self, chunks: np.ndarray, count: np.ndarray, labels: np.ndarray) -> dict[str, np.ndarray]:
-        p, m = self.p, len(chunks)
+        p = self.p
         starts = np.cumsum(count) - count
-        tables = self.tables()
-        width = CHUNK - WIDTH + 1
-        response = tables[0][chunks[:, :width]]
-        for k in range(1, WIDTH):
-            response += tables[k][chunks[:, k : k + width]]
-        where = response.argmax(axis=1)
-        pooled = np.take_along_axis(response, where[:, None, :], 1)[:, 0] + p["conv_b"]
+        pooled, where = self._pooled(chunks)
+        pooled = pooled + p["conv_b"]
         active = pooled > 0
         pooled = pooled * active
         before = pooled @ p["dense"] + p["dense_b"]
@@ -150,13 +158,16 @@ class Network:
         dembed = np.zeros_like(p["embed"])
         # A filter learns from the bytes under its highest response only.
         kernel = p["conv"].reshape(WIDTH, EMBEDDING, FILTERS)
-        flat = np.arange(m)[:, None]
-        for k in range(WIDTH):
-            under = chunks[flat, where + k]
-            dconv[k * EMBEDDING : (k + 1) * EMBEDDING] = np.einsum("mfe,mf->ef", p["embed"][under], dpooled)
-            weight = np.zeros((256, FILTERS), np.float32)
-            np.add.at(weight, (under, np.arange(FILTERS)[None, :]), dpooled)
-            dembed += weight @ kernel[k].T
+        filters = np.arange(FILTERS)[None, :]
+        for at in range(0, len(chunks), TILE_CHUNKS):
+            some, place, d = chunks[at : at + TILE_CHUNKS], where[at : at + TILE_CHUNKS], dpooled[at : at + TILE_CHUNKS]
+            flat = np.arange(len(some))[:, None]
+            for k in range(WIDTH):
+                under = some[flat, place + k]
+                dconv[k * EMBEDDING : (k + 1) * EMBEDDING] += np.einsum("mfe,mf->ef", p["embed"][under], d)
+                weight = np.zeros((256, FILTERS), np.float32)
+                np.add.at(weight, (under, filters), d)
+                dembed += weight @ kernel[k].T
         return {
             "embed": dembed, "conv": dconv, "conv_b": dpooled.sum(axis=0), "dense": pooled.T @ dbefore,
             "dense_b": dbefore.sum(axis=0), "out": hidden.T @ dz, "out_b": dz.sum(keepdims=True),
@@ -165,7 +176,8 @@ class Network:
 
 
 def sample_chunks(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> list:
-    """(label, chunks) of the training sample; bounded by SAMPLE_ROWS and SAMPLE_CHUNKS."""
+    """(id, label, chunks) of at most SAMPLE_ROWS labelled documents; the chunks hold the whole text. Of several texts
+    of an id one is taken, the least by hash."""
     marked = labels.where("quality IN (0, 1)").groupBy(F.col(id_col).alias("id")).agg(F.max("quality").alias("label"))
     taught = marked.where(F.col("id").isNotNull() & ~held_out("id"))
     some = taught.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS)
@@ -175,13 +187,16 @@ def sample_chunks(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
             parts = []
             for text in batch.column("text").to_pylist():
                 raw = (text or "").encode()
-                n = max(1, min(SAMPLE_CHUNKS, -(-len(raw) // CHUNK)))
+                n = max(1, -(-len(raw) // CHUNK))
                 at = np.linspace(0, max(0, len(raw) - CHUNK), n).astype(int)
                 parts.append(b"".join(raw[a : a + CHUNK].ljust(CHUNK, b"\0") for a in at))
             yield pa.record_batch({"id": batch.column("id"), "label": batch.column("label"), "chunks": pa.array(parts, pa.binary())})
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(some), "id").mapInArrow(cut, "id long, label int, chunks binary")
+    chosen = texts.join(F.broadcast(some), "id").groupBy("id", "label").agg(
+        F.min(F.struct(F.xxhash64("text"), "text")).alias("one")
+    ).select("id", "label", "one.text")
+    rows = chosen.mapInArrow(cut, "id long, label int, chunks binary")
     return sorted((r["id"], r["label"], bytes(r["chunks"])) for r in rows.collect())
 
 
