@@ -34,7 +34,13 @@ MAX_CLASS_DISTANCE = 0.28
 MAX_WORD_DISTANCE = ((40, 120, 400), (0.465, 0.46, 0.36))
 #: A task sends its counts on, and begins anew, when it holds so many different words.
 COUNTED_WORDS = 200_000
+#: or bytes of words beyond the 64th of each.
+COUNTED_BYTES = 8_000_000
 CLASSES = 8
+#: The columns that ``quality`` adds.
+COLUMNS = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept",
+)
 
 
 def _class_table() -> np.ndarray:
@@ -78,7 +84,7 @@ def _span_hashes(words: Words) -> np.ndarray:
 
 def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
     """(lang, kind, name, n) over all documents: *class* counts, *word* counts of the common
-    words, and *all* words. Counts are exact; a word of over 64 bytes is never a common one."""
+    words, and *all* words. Counts are exact."""
 
     def rows_of(rows: list[tuple]) -> pa.RecordBatch:
         cols = list(zip(*rows)) or [(), (), (), ()]
@@ -96,6 +102,7 @@ def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
         classes: dict[str, np.ndarray] = {}
         words_of: dict[str, dict[bytes, int]] = {}
         totals: Counter[str] = Counter()
+        long = 0
         for batch in batches:
             for block in blocks(batch):
                 data, offsets = utf8(block.column("text"))
@@ -114,11 +121,13 @@ def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
                     held = words_of.setdefault(lang, {})
                     at = mine[first]
                     for a, b, n in zip(starts[at].tolist(), ends[at].tolist(), often.tolist()):
-                        if b - a <= 64:
-                            held[raw[a:b]] = held.get(raw[a:b], 0) + n
-                    if sum(map(len, words_of.values())) > limit:
+                        held[raw[a:b]] = held.get(raw[a:b], 0) + n
+                        long += max(0, b - a - 64)
+                    # Words of usual length are bounded by their number, longer ones by their bytes.
+                    if sum(map(len, words_of.values())) > limit or long > COUNTED_BYTES:
                         yield word_rows(words_of)
                         words_of.clear()
+                        long = 0
         rows = [(lang, "class", str(k), int(n)) for lang, c in classes.items() for k, n in enumerate(c)]
         rows += [(lang, "all", "", n) for lang, n in totals.items()]
         yield rows_of(rows)
@@ -151,7 +160,6 @@ def quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     Null and empty texts have no words and fail. A distance is null where the text is too short
     for it or no document has a language. Columns of ``docs`` with these names are replaced.
     """
-    added = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept")
     learned: dict[str, dict] = {}
     for row in references(docs, lang_col, text_col).collect():  # CLASSES + COMMON + 1 rows a language
         learned.setdefault(row["lang"], {"class": {}, "word": {}, "all": {}})[row["kind"]][row["name"]] = row["n"]
@@ -163,7 +171,7 @@ def quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
         often = np.array([one["word"][w] for w in names] + [max(0, one["all"].get("", 0) - sum(one["word"].values()))], float)
         if classes.sum() and often.sum():
             profiles.append((classes / classes.sum(), names, often / often.sum()))
-    source = docs.drop(*added)
+    source = docs.drop(*COLUMNS)
     kept = source.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -41,6 +41,8 @@ SEGMENT_WINDOWS = 64
 GROUP_SEGMENTS = 512
 #: How many groups at either end of a window make its finer anchors; 0 stands for the whole window.
 FINER = (16, 4, 1, 0)
+#: The columns that ``remove_repeats`` adds.
+COLUMNS = ("n_words", "n_removed", "kept_text")
 #: An index is built over whole anchors with about so many words.
 SHARD_WORDS = 400_000
 
@@ -271,8 +273,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts of one document: they don't remove each other's words. Columns of ``docs`` named as
     the new ones are replaced.
     """
-    added = ("n_words", "n_removed", "kept_text")
-    rest = docs.drop(*added)
+    rest = docs.drop(*COLUMNS)
     keyed = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
     spans = repeated_spans(keyed).groupBy("id", "key").agg(F.collect_set(F.struct("pos", "stop")).alias("_spans"))
     names = {n: f"_c{i}" for i, n in enumerate(rest.columns)}

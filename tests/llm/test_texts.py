@@ -107,6 +107,35 @@ def test_only_real_attributes_hide(attributes, dropped):
     assert html_extract.main_text(page) == ("" if dropped else "Some text, with commas, in it.")
 
 
+@pytest.mark.parametrize(
+    "part, left",
+    [
+        ('<section class="social-policy"><p>On policy, in full.</p></section>', True), ('<p class="legal">The law says so.</p>', True),
+        ('<div class="search-results"><p>What we found, at last.</p></div>', True),
+        ('<div class="social"><a href=x>Like us</a> <a href=y>Follow</a> now</div>', False), ('<div class="notice">We tell you.</div>', False),
+        ('<div class="ad-box">Buy now.</div>', False),
+    ],
+)
+def test_everyday_words_drop_only_links_inside_an_article(part, left):
+    page = f"<body><article><h1>Title</h1><p>Before, with commas, and more.</p>{part}<p>After that, the end.</p></article></body>"
+    got = html_extract.main_text(page).split("\n")
+    assert got[:2] == ["Title", "Before, with commas, and more."] and got[-1] == "After that, the end."
+    assert len(got) == (4 if left else 3)
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<div><p>a</p>" * 50_000, "<div>" * 50_000 + "</p>" * 50_000, "<i>" * 50_000 + "x<br>" * 50_000, "<b><div>" + "<i>" * 50_000 + "</b>" * 50_000,
+     "<i>" * 50_000 + "<p>x" * 50_000, "<a " * 100_000, "<table>" + "<tr><td><p>x" * 50_000, "<div>" * 50_000 + "</section>" * 50_000],
+)
+def test_pages_take_time_in_proportion(page):
+    import time
+
+    begun = time.process_time()
+    html_extract.main_text(page)
+    assert time.process_time() - begun < 5
+
+
 def test_articles_of_the_pages_come_out_whole(spark):
     import html
     import re
@@ -144,6 +173,70 @@ def test_classifier_on_held_out_labels(spark):
     assert {r.predicted for r in none} == {1}
 
 
+def test_network_equals_plain_loops():
+    """Scores from a convolution in loops; gradients from differences."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    network = quality_classifier.Network(5)
+    network.p = {k: v + rng.normal(0, 0.1, v.shape).astype(np.float32) for k, v in network.p.items()}
+    p = {k: v.astype(float) for k, v in network.p.items()}
+    chunk, width = quality_classifier.CHUNK, quality_classifier.WIDTH
+
+    def logit(piece):
+        best = np.full(quality_classifier.FILTERS, -np.inf)
+        for at in range(len(piece) - width + 1):
+            seen = np.concatenate([p["embed"][b] for b in piece[at : at + width]])
+            best = np.maximum(best, seen @ p["conv"])
+        pooled = np.maximum(best + p["conv_b"], 0)
+        return np.maximum(pooled @ p["dense"] + p["dense_b"], 0) @ p["out"] + p["out_b"][0]
+
+    texts = [bytes(rng.integers(1, 256, n, np.uint8)) for n in (0, 3, 130, 400, 900)]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = network.score(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    for text, score in zip(texts, got):
+        # Windows over a text's edges see zero bytes; a chunk is two steps of windows.
+        padded = b"\0" * (width - 1) + text
+        padded = padded.ljust(-(-len(padded) // (chunk // 2)) * (chunk // 2) + width - 1, b"\0")
+        steps = (len(padded) - width + 1) // (chunk // 2)
+        starts = range(max(1, steps - 1))
+        z = [logit(padded[k * chunk // 2 : k * chunk // 2 + min(chunk, steps * chunk // 2) + width - 1]) for k in starts]
+        mixed = p["mix"] @ [np.mean(z), min(z), max(z), 1]
+        assert score == pytest.approx(1 / (1 + np.exp(-mixed)), abs=1e-4)
+
+    chunks = rng.integers(0, 256, (7, chunk)).astype(np.uint8)
+    count, labels = np.array([3, 1, 3]), np.array([1, 0, 1], np.float32)
+
+    def loss():
+        z = np.array([logit(bytes(c)) for c in chunks])
+        parts = np.split(z, np.cumsum(count)[:-1])
+        q = np.array([1 / (1 + np.exp(-(p["mix"] @ [x.mean(), x.min(), x.max(), 1]))) for x in parts])
+        return -np.mean(labels * np.log(q) + (1 - labels) * np.log(1 - q))
+
+    for tile in (2, 1000):
+        quality_classifier.TILE_CHUNKS = tile
+        grads = network._gradients(chunks, count, labels)
+        for name, at in (("conv", (3, 5)), ("conv", (20, 11)), ("embed", (int(chunks[0, 9]), 2)), ("dense", (4, 7)), ("dense_b", (3,)), ("out", (2,)), ("out_b", (0,)), ("mix", (1,)), ("conv_b", (6,))):
+            kept = p[name][at]
+            p[name][at] = kept + 1e-5
+            above = loss()
+            p[name][at] = kept - 1e-5
+            below = loss()
+            p[name][at] = kept
+            assert grads[name][at] == pytest.approx((above - below) / 2e-5, abs=2e-3)
+
+
+def test_the_sample_holds_whole_texts_and_one_text_an_id(spark):
+    docs = spark.createDataFrame([(i, "ab" * (i * 300)) for i in range(1, 20)] * 3 + [(3, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 20)] * 2, "doc_id long, quality int")
+    rows = quality_classifier.sample_chunks(docs, labels, "doc_id", "text")
+    assert len({r[0] for r in rows}) == len(rows)
+    for i, _, chunks in rows:
+        if i != 3:
+            assert len(chunks) // quality_classifier.CHUNK == -(-600 * i // quality_classifier.CHUNK)
+            assert chunks.rstrip(b"\0").count(b"a") >= 300 * i
+
+
 def test_every_chunk_of_a_text_is_scored():
     import numpy as np
 
@@ -168,3 +261,43 @@ def test_pipeline_stages(spark):
     assert final.count() == docs.count()
     whole = corpus_pipeline.run(spark, DATA)
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, final.select(*whole.columns).collect()))
+
+
+def test_pipeline_stages_keep_odd_rows_and_columns(spark):
+    """Null ids and texts, ties, copies, parts of one id, long texts, and columns called like those of the stages."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").limit(60)
+    item = spark.read.parquet(f"{DATA}/benchmark.parquet").where("length(text) > 80").first().text
+    good = corpus_pipeline.apply_quality_rules(spark, spark.read.parquet(f"{DATA}/documents.parquet"), DATA).where("lang = 'en'")
+    other, prose = sorted({r.text for r in good.collect()}, key=len)[-2:]
+    odd = [(None, prose), (None, None), (-1, None), (-2, ""), (-3, "a"), (-4, prose + " once"), (-4, prose + " once"), (-4, "Another part. " + prose[: len(prose) // 2]),
+           (-5, item + " " + other), (-6, "word " * 50_000)]
+    rows = spark.createDataFrame([(i, t, None, "odd", 0) for i, t in odd], docs.schema)
+    clash = ("_id", "_key", "n_words", "KEPT", "kept_text", "key", "id", "base_failed", "component_id", "n_removed")
+    docs = docs.unionByName(rows).select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in clash])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, DATA).cache()
+        assert after.columns == docs.columns and dict(after.dtypes) == dict(docs.dtypes), name
+        if name != "substring_dedup":
+            assert after.exceptAll(docs).isEmpty(), name
+        for c in clash:
+            assert after.where(~F.col(f"`{c}`").eqNullSafe(F.concat(F.lit(c), F.col("doc_id").cast("string")))).isEmpty(), (name, c)
+        ids = [r.doc_id for r in after.collect()]
+        if name == "ngram_jaccard_join":
+            assert ids.count(-4) == 2 and ids.count(-5) == 1 and ids.count(None) == 1
+        if name == "decontamination":
+            assert -5 not in ids and ids.count(None) == 1
+        docs = after
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, DATA).count() == docs.count()
+
+
+def test_pipeline_stages_and_operators_take_empty_tables(spark):
+    none = spark.read.parquet(f"{DATA}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, DATA).isEmpty(), name
+    labels = spark.read.parquet(f"{DATA}/labels.parquet").limit(0)
+    pages = spark.read.parquet(f"{DATA}/pages.parquet").limit(0)
+    events = spark.createDataFrame([], "conv_id long, seq long, message long, op string, role string, text string")
+    assert token_counts.token_counts(none, JSON).isEmpty() and byte_bpe.decode(byte_bpe.encode(none, RANKS), RANKS).isEmpty()
+    assert chat_format.read_back(chat_format.render(chat_format.fold_events(events))).isEmpty()
+    assert html_extract.extract(pages).isEmpty() and language_id.learn_and_identify(none).isEmpty()
+    assert quality_classifier.learn_and_classify(none, labels).isEmpty()
