@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from risklake import schemas
 from risklake.config import AGENTS, LATENCY_BOUNDS_S, TrainingConfig
@@ -17,6 +18,7 @@ from risklake.plans.sql_parts import DECIDING, SCORING, with_parts
 from risklake.session import cut_lineage, scratch_path
 from risklake.sources import events as ev
 from risklake.sources import lake, messages
+from risklake.streaming import decision_sink
 from risklake.streaming.windows import velocity_windows
 
 # --- scoring ---------------------------------------------------------------------------
@@ -180,6 +182,30 @@ def explanation_requests(spark, sf_dir):
     )
 
 
+@register(
+    "mixed_topic",
+    with_parts(
+        """SELECT 'decision' AS kind, transaction_id, final_risk_score AS score, action AS said FROM decisions
+           UNION ALL SELECT 'verdict', transaction_id, risk_score, agent_type FROM verdicts""",
+        "decisions", "verdicts",
+    ),
+)
+def mixed_topic(spark, sf_dir):
+    """Decisions, verdicts, and verdicts of kinds that nobody collects, all on one topic; each reader takes its own."""
+    verdicts = scoring.verdict_rows(enriched_rows(spark, sf_dir), SCORING)
+    number = F.substring("transaction_id", 5, 20).cast("long")
+    others = verdicts.filter(number % 3 == 0).withColumn("agent_type", F.when(number % 2 == 0, "supervisor").otherwise("unheard of"))
+    sent = messages.to_messages(verdicts.unionByName(others), "transaction_id", schemas.VERDICT.names).unionByName(
+        messages.to_messages(decided_rows(spark, sf_dir), "transaction_id", schemas.DECISION.names)
+    )
+    both = T.StructType([*schemas.VERDICT.fields, *[f for f in schemas.DECISION.fields if f.name not in schemas.VERDICT.names]])
+    heard = messages.decode_json(sent, both)
+    told = quality.only_decisions(heard).select(F.lit("decision").alias("kind"), "transaction_id", F.col("final_risk_score").alias("score"), F.col("action").alias("said"))
+    return told.unionByName(quality.only_verdicts(heard).select(
+        F.lit("verdict").alias("kind"), "transaction_id", F.col("risk_score").alias("score"), F.col("agent_type").alias("said")
+    ))
+
+
 @register(
     "decision_columns",
     with_parts(
@@ -282,6 +308,25 @@ def velocity_summary(spark, sf_dir):
     return rounded(rounded(out, 2, "amount_sum_7d"), 4, "avg_amount_7d")
 
 
+@register(
+    "velocity_summary_week",
+    with_parts(
+        """SELECT user_id, txn_count_7d, round(amount_sum_7d, 2) AS amount_sum_7d, avg_ip_fraud_score, peak_txn_count_1h,
+                  CAST(ntile(4) OVER (ORDER BY avg_ip_fraud_score DESC, user_id) AS BIGINT) AS risk_percentile_bucket
+           FROM (SELECT user_id, count(*) AS txn_count_7d, sum(amount) AS amount_sum_7d,
+                        round(avg(ip_fraud_score), 6) AS avg_ip_fraud_score, max(txn_count_1h) AS peak_txn_count_1h
+                 FROM enriched WHERE event_time >= TIMESTAMP '2024-01-24' GROUP BY user_id)
+           ORDER BY txn_count_7d DESC, user_id LIMIT 10000""",
+        "enriched",
+    ),
+)
+def velocity_summary_week(spark, sf_dir):
+    """The summary as the daily job makes it: of the last seven days' rows, whose features look farther back."""
+    dated = lake.with_date_partition(enriched_rows(spark, sf_dir))
+    out = analytics.velocity_summary(lake.since(dated, "date_partition", dt.date(2024, 1, 31), 7)).drop("avg_amount_7d")
+    return rounded(out.withColumn("risk_percentile_bucket", F.col("risk_percentile_bucket").cast("long")), 2, "amount_sum_7d")
+
+
 _KPI = """
     SELECT CAST(CAST(event_time AS DATE) AS STRING) AS decision_date, count(*) AS total_decisions,
            count(*) FILTER (action = 'decline') AS total_declines, count(*) FILTER (action = 'review') AS total_reviews,
@@ -484,6 +529,29 @@ def lake_status(spark, sf_dir):
     )
 
 
+@register(
+    "stored_lake_status",
+    with_parts(
+        """SELECT 'bronze' AS layer, count(*) AS rows FROM txns UNION ALL SELECT 'silver_enriched', count(*) FROM txns WHERE k >= 10
+           UNION ALL SELECT 'gold_decisions', count(*) FROM txns WHERE k >= 30""",
+        "txns",
+    ),
+)
+def stored_lake_status(spark, sf_dir):
+    """Row counts of the stored layers; gold holds the decisions in force, some of them written twice."""
+    base, rows = scratch_path(spark, "lake"), ev.transactions(spark, sf_dir)
+    lake.write_bronze(rows, base, 0)
+    lake.write_silver(rows.filter("k >= 10"), base, 0)
+    made = rows.select(F.md5("transaction_id").alias("decision_id"), "transaction_id", F.lit(0.5).alias("final_risk_score"), "event_time", "k")
+    for batch_id, part in enumerate(("k >= 50", "k BETWEEN 30 AND 70")):
+        decision_sink.process_decisions(made.filter(part).drop("k"), batch_id, base)
+    return lake.lake_status({
+        "bronze": spark.read.parquet(lake.layer(base, "bronze_transactions")),
+        "silver_enriched": spark.read.parquet(lake.layer(base, "silver_enriched")),
+        "gold_decisions": decision_sink.read_decisions(spark, base),
+    })
+
+
 @register(
     "batch_history",
     with_parts(

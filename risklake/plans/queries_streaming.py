@@ -54,6 +54,32 @@ def stream_velocity_windows(spark, sf_dir):
     return rounded(out, 4, "amount_sum")
 
 
+@register(
+    "stream_window_values",
+    with_parts(
+        """SELECT user_id, epoch_us(date_trunc('hour', event_time)) AS start_us, epoch_us(date_trunc('hour', event_time) + INTERVAL 1 HOUR) AS end_us,
+                  round(avg(amount), 6) AS avg_amount, max(amount) AS max_amount, min(amount) AS min_amount, true AS distinct_ok FROM txns
+           GROUP BY user_id, date_trunc('hour', event_time)
+           HAVING date_trunc('hour', event_time) + INTERVAL 1 HOUR <= (SELECT max(event_time) FROM txns) - INTERVAL 10 MINUTE""",
+        "txns",
+    ),
+)
+def stream_window_values(spark, sf_dir):
+    """The windows' other columns; are the sketched distinct counts within 15 % (or 1) of the exact ones?"""
+    work = scratch_path(spark, "window-values")
+    txns = ev.as_transactions(ev.stream_events(spark, sf_dir))
+    _finish(windows.start_velocity_windows(txns, f"{work}/out", f"{work}/checkpoint", _TO_THE_END))
+    exact = windows.velocity_windows(ev.transactions(spark, sf_dir), exact=True).select(
+        "user_id", "window_start", *[F.col(c).alias(f"_{c}") for c in ("unique_merchants", "unique_countries")]
+    )
+    both = spark.read.parquet(f"{work}/out").join(exact, ["user_id", "window_start"], "left")
+    close = lambda c: F.abs(F.col(c) - F.col(f"_{c}")) <= F.greatest(F.lit(1.0), 0.15 * F.col(f"_{c}"))
+    return rounded(both.select(
+        "user_id", F.unix_micros("window_start").alias("start_us"), F.unix_micros("window_end").alias("end_us"),
+        "avg_amount", "max_amount", "min_amount", (close("unique_merchants") & close("unique_countries")).alias("distinct_ok"),
+    ), 6, "avg_amount")
+
+
 @register(
     "stream_velocity_counters",
     with_parts(
