@@ -12,7 +12,8 @@ text is one shingle. Texts link when their sets' similarity is ``PERCENT`` or mo
 3. A first look links nodes to their group's leader; what it links is one component.
 4. The token-group matrix: a group is cut into blocks; a block keeps its members' token union.
    A node of another component is looked up in the blocks of its own group and of every group
-   that holds one of its rare shingles. Its overlap with the union bounds its overlap with any
+   that holds one of its rare shingles as an index shingle. Those are fewer: of a pair the larger node asks,
+   and the smaller one shares 8/9 of its set or more, not only 4/5. Its overlap with the union bounds its overlap with any
    member; only blocks that qualify are opened, and every member in them is compared.
 5. Components of all links give the class.
 
@@ -111,6 +112,11 @@ def _need(n: str = "n"):
     return F.ceil(F.col(n) * PERCENT / 100)
 
 
+def _need_of_larger(n: str = "n"):
+    """The least overlap with a partner that is as large or larger."""
+    return F.ceil(F.col(n) * 2 * PERCENT / (100 + PERCENT))
+
+
 def _with_shared_tokens(nodes: DataFrame, tokens: str) -> DataFrame:
     """(node, n, shared): the tokens that other nodes have too, rarest first."""
     each = nodes.select("node", "n", F.explode(tokens).alias("token"))
@@ -233,8 +239,9 @@ def _links(known: DataFrame, nodes: DataFrame) -> DataFrame:
         shared.select(
             "node", "n",
             ((100 + PERCENT) * F.col("common") / PERCENT - F.col("n")).alias("reach"),
-            F.explode(F.slice("shared", F.lit(1), (F.col("common") - _need() + 1).cast("int"))).alias("t"),
-        ).select("node", "n", "reach", "t.token")
+            (F.col("common") - _need_of_larger()).alias("last"),
+            F.posexplode(F.slice("shared", F.lit(1), (F.col("common") - _need() + 1).cast("int"))).alias("at", "t"),
+        ).select("node", "n", "reach", "t.token", (F.col("at") <= F.col("last")).alias("index"))
     )
     leaders = rare.groupBy("token").agg(F.min("node").alias("grp"), F.count("*").alias("holders")).where("holders > 1")
     led = rare.join(leaders.drop("holders"), "token").groupBy("node", "n", "reach", "grp").agg(F.count("*").alias("votes"))
@@ -250,20 +257,23 @@ def _links(known: DataFrame, nodes: DataFrame) -> DataFrame:
     placed = cut_lineage(
         grouped.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     )
-    # A node is looked up in groups that hold one of its rare shingles and a node it could be as
-    # large as; in its own group, only if it isn't in the component of that group's leader.
+    # Of a pair the larger node is looked up in groups that hold one of its rare shingles as an index shingle, of
+    # nodes that it can link with by size; in its own group, only if it isn't in the component of that group's leader.
     head_of = placed.select(F.col("node").alias("grp"), F.col("component").alias("head"))
     where = placed.join(head_of, "grp").select("node", "grp", "component", "head")
     held = (
-        rare.join(where, "node").groupBy("token", "grp")
-        .agg(F.min("n").alias("least"), F.max("reach").alias("most"), F.min("component").alias("c0"), F.max("component").alias("c1"))
+        rare.where("index").join(where, "node").groupBy("token", "grp").agg(
+            F.min("n").alias("least"), F.max("n").alias("largest"), F.max("reach").alias("most"),
+            F.min("component").alias("c0"), F.max("component").alias("c1"),
+        )
     )
+    by_size = f"least <= n AND n <= most AND largest * 100 >= n * {PERCENT}"
     asked = (
         rare.join(where.withColumnRenamed("grp", "own"), "node")
         .join(
             held.where(F.col("token").isNotNull()), "token"
         )
-        .where("(own != grp OR component != head) AND least <= reach AND n <= most AND (c0 != c1 OR c0 != component)")
+        .where(f"(own != grp OR component != head) AND {by_size} AND (c0 != c1 OR c0 != component)")
         .select("grp", "node", "component", "n").distinct()
     )
     second = _look_up(placed.select("grp", "node", "component", "n"), asked, sets)

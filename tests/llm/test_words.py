@@ -200,6 +200,21 @@ def test_a_template_s_texts_are_not_compared_with_each_other(spark, monkeypatch)
     assert asked == [40, 0]
 
 
+def test_pairs_on_a_template_ask_in_proportion(spark, monkeypatch):
+    """Near copies in pairs, all on one template: 84 shared words, 19 of the pair, one of the text."""
+    asked = []
+    look_up = ngram_jaccard._look_up
+    monkeypatch.setattr(ngram_jaccard, "_look_up", lambda m, q, s: asked.append(q.count()) or look_up(m, q, s))
+    counts = []
+    for n in (100, 200, 400):
+        texts = [" ".join([*(f"t{k}" for k in range(84)), *(f"p{i // 2}_{k}" for k in range(19)), f"own{i}"]) for i in range(n)]
+        asked.clear()
+        got = ngram_jaccard.similarity_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        assert all(r.component_id == r.doc_id - r.doc_id % 2 for r in got) and len(got) == n
+        counts.append(sum(asked))
+    assert counts[2] <= 4.4 * counts[0] and counts[2] <= 4 * 400
+
+
 def test_quality_counts(docs, rows):
     got = {(r.doc_id, r.text): r for r in quality_rules.quality(docs).collect()}
     for i, text, *_ in rows:
