@@ -31,7 +31,7 @@ LATENCY_BOUNDS_S = (0.005, 0.01, 0.025, 0.05, 0.1, 0.2, 0.5, 1.0)
 SLA_MS = 200.0
 EARTH_RADIUS_KM = 6371.0
 
-# --- Settings ----------------------------------------------------------------------
+# --- Settings: may be changed; their defaults are fixed values, too -------------------
 
 
 @dataclass(frozen=True)

@@ -143,6 +143,7 @@ def overwrite_table(
     df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).option("partitionOverwriteMode", "static").save(path)
 
 
+# Column names of the export, in order.
 EXPORT_COLUMNS = (
     "user_id", "avg_txn_amount_30d", "stddev_txn_amount_30d", "amount_deviation_score",
     "hour_of_day_risk_score", "most_common_mcc", "txn_count_30d", "high_risk_mcc_ratio",
