@@ -235,14 +235,16 @@ def _links(known: DataFrame, nodes: DataFrame) -> DataFrame:
     # Overlap o of sets x and y is at most what either shares with anyone: 100 o >= P (x + y - o)
     # then bounds the size of a partner by reach = (100 + P) / P * shared - n.
     shared = _with_shared_tokens(sets, "tokens").withColumn("common", F.size("shared")).where(F.col("common") >= _need())
-    rare = cut_lineage(
+    # Stored with the mark of index shingles in the last bit of the size, as there are very many rows.
+    stored = cut_lineage(
         shared.select(
             "node", "n",
             ((100 + PERCENT) * F.col("common") / PERCENT - F.col("n")).alias("reach"),
             (F.col("common") - _need_of_larger()).alias("last"),
             F.posexplode(F.slice("shared", F.lit(1), (F.col("common") - _need() + 1).cast("int"))).alias("at", "t"),
-        ).select("node", "n", "reach", "t.token", (F.col("at") <= F.col("last")).alias("index"))
+        ).select("node", (2 * F.col("n") + (F.col("at") <= F.col("last")).cast("long")).alias("marked"), "reach", "t.token")
     )
+    rare = stored.select("node", F.shiftright("marked", 1).alias("n"), "reach", "token", (F.col("marked") % 2 == 1).alias("index"))
     leaders = rare.groupBy("token").agg(F.min("node").alias("grp"), F.count("*").alias("holders")).where("holders > 1")
     led = rare.join(leaders.drop("holders"), "token").groupBy("node", "n", "reach", "grp").agg(F.count("*").alias("votes"))
     grouped = cut_lineage(
