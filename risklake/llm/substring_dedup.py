@@ -44,7 +44,7 @@ FINER = (16, 4, 1, 0)
 #: The columns that ``remove_repeats`` adds.
 COLUMNS = ("n_words", "n_removed", "kept_text")
 #: An index is built over whole anchors with about so many words.
-SHARD_WORDS = 400_000
+SHARD_WORDS = 150_000
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
