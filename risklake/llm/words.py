@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 #: White space that separates words: 0x20 and 0x09 to 0x0D.
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 #: Texts are worked on in blocks of about so many bytes; a longer text is a block of its own.
-BLOCK_BYTES = 1_000_000
+BLOCK_BYTES = 500_000
 
 _BASE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
 
