@@ -17,8 +17,8 @@ RUNTIME_OPTIONS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Rows that Python workers get and give at a time. Texts are long: larger batches cost
     # memory on both sides and gain nothing.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 ROCKSDB_PROVIDER = (
