@@ -324,6 +324,35 @@ def test_every_transaction_is_given_out_once(clock):
         assert handle.value is None and not handle.timers
 
 
+def test_a_group_of_transactions_costs_one_state_access(spark):
+    """Sixty transactions of one group: each is given out by itself, from one read and one write of the state."""
+    agents = ["velocity", "geolocation", "behavioral", "network"]
+    handle, calls = StubHandle(), []
+    job = collector.VerdictCollector(4, 1000, "event", 50_000)
+    job.handle = handle
+    job.held = SimpleNamespace(
+        get=lambda: calls.append("get") or handle.value, update=lambda v: calls.append("update") or handle._update(v), clear=lambda: handle._update(None)
+    )
+    at = SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
+    rows = [
+        SimpleNamespace(transaction_id=None if i == 1 else f"t{i}", agent_type=a, risk_score=0.5, reasoning="r", latency_ms=1.0, arrival=i * 1_000_000, print=1)
+        for a in agents for i in range(60) if i % 3 or a != "network"
+    ]
+    got = list(job.handleInputRows((7,), iter(rows), at))
+    assert {g.transaction_id for g in got} == {None, *(f"t{i}" for i in range(2, 60) if i % 3)} and len(got) == 40
+    assert all(g.complete and [v.agent_type for v in g.verdicts] == agents for g in got)
+    assert calls == ["get", "update"] and handle.listTimers() == [1000]
+    # What came in is not told again; the earliest open one runs out first, and the timer goes to the next.
+    assert list(job.handleInputRows((7,), iter(rows), at)) == []
+    late = SimpleNamespace(getCurrentWatermarkInMs=lambda: 1000)
+    gone = list(job.handleExpiredTimer((7,), late, SimpleNamespace(getExpiryTimeInMs=lambda: 1000)))
+    assert [(g.transaction_id, g.complete, len(g.verdicts)) for g in gone] == [("t0", False, 3)]
+    assert max(handle.listTimers()) == 4000
+    straggler = SimpleNamespace(transaction_id="t0", agent_type="network", risk_score=0.1, reasoning="r", latency_ms=1.0, arrival=0, print=2)
+    told = list(job.handleInputRows((7,), iter([straggler, straggler]), late))
+    assert [(g.transaction_id, g.late) for g in told] == [("t0", True)]
+
+
 def test_stragglers_and_conflicts_over_restarts(spark, tmp_path):
     """Three verdicts time out, then the fourth comes: it is told apart, and the decision stands."""
     src, base = tmp_path / "in", str(tmp_path / "lake")
