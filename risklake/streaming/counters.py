@@ -11,7 +11,8 @@ from __future__ import annotations
 import sys
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, groupby
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -54,7 +55,10 @@ class TrailingCounters(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         # A micro-batch is bounded by its source's per-trigger limit.
         new = pd.concat(list(rows), ignore_index=True).sort_values(["us", "transaction_id"])
+        timed = new[new["us"].notna()]
+        arrived = zip(*(timed[c].tolist() for c in ("us", "transaction_id", "amount", "merchant_id")))
         totals = {k[0]: (v[0], v[1], set(v[2])) for k, v in self.totals.iterator()}
+        stored = set(totals)
         loaded: dict[int, tuple[list, list, list]] = {}
         latest: dict[int, int] = {}
         tails: dict[int, tuple[list, list, dict]] = {}
@@ -63,7 +67,7 @@ class TrailingCounters(StatefulProcessor):
         def detail(minute: int) -> tuple[list, list, list]:
             if minute not in loaded:
                 held = None
-                if minute in totals and self.details.containsKey((minute,)):
+                if minute in stored and self.details.containsKey((minute,)):
                     held = self.details.getValue((minute,))
                 loaded[minute] = tuple(list(c) for c in held) if held else ([], [], [])
                 latest[minute] = max(loaded[minute][0], default=-1)
@@ -110,15 +114,15 @@ class TrailingCounters(StatefulProcessor):
                             more.add(merchant)
             return n, amount, len(seen) + len(more - seen)
 
-        def record(us: int, rows: pd.DataFrame) -> None:
+        def record(us: int, rows: list[tuple]) -> None:
             minute = us // MINUTE
             held, (n, amount, seen) = detail(minute), totals.get(minute, (0, 0.0, set()))
-            for row in rows.itertuples(index=False):
-                merchant = row.merchant_id if isinstance(row.merchant_id, str) else None
+            for _, _, paid, merchant_id in rows:
+                merchant = merchant_id if isinstance(merchant_id, str) else None
                 held[0].append(us)
-                held[1].append(float(row.amount))
+                held[1].append(float(paid))
                 held[2].append(merchant)
-                n, amount = n + 1, amount + float(row.amount)
+                n, amount = n + 1, amount + float(paid)
                 if merchant is not None:
                     seen.add(merchant)
             totals[minute] = (n, amount, seen)
@@ -127,12 +131,13 @@ class TrailingCounters(StatefulProcessor):
             changed.add(minute)
 
         results, changed = [], set()
-        for us, same_instant in new.groupby("us", sort=True):
-            us = int(us)
+        # Plain rows: a user's instants are many and small, too small for a frame each.
+        for us, rows_of in groupby(arrived, key=itemgetter(0)):
+            us, same_instant = int(us), list(rows_of)
             if self.include_self:
                 record(us, same_instant)
             short, long = window(us, self.short, True), window(us, self.long, False)
-            for transaction_id in same_instant["transaction_id"]:
+            for _, transaction_id, _, _ in same_instant:
                 results.append((key[0], transaction_id, us, *short[:2], *long[:2], short[2]))
             if not self.include_self:
                 record(us, same_instant)
@@ -143,8 +148,8 @@ class TrailingCounters(StatefulProcessor):
                 n, amount, seen = totals[minute]
                 self.totals.updateValue((int(minute),), (int(n), float(amount), sorted(seen)))
                 self.details.updateValue((int(minute),), tuple(loaded[minute]))
-        for minute in [m for m in totals if m < oldest]:
-            if self.totals.containsKey((int(minute),)):
+        for minute in stored:
+            if minute < oldest:
                 self.totals.removeKey((int(minute),))
                 self.details.removeKey((int(minute),))
 

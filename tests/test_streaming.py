@@ -169,6 +169,31 @@ def test_counters_of_a_busy_user_equal_brute_force(include_self):
     assert time.time() - begun < 20
 
 
+def test_a_new_user_costs_no_look_ups_of_minutes():
+    """Minutes that were never stored are not looked for in the state, however long the user's past in a micro-batch."""
+    asked = []
+
+    class Held(dict):
+        getValue, updateValue, removeKey, iterator = dict.__getitem__, dict.__setitem__, dict.__delitem__, dict.items
+
+        def containsKey(self, key):
+            asked.append(key)
+            return key in self
+
+    job = counters.TrailingCounters(VelocityConfig(), 600, False)
+    job.totals, job.details = Held(), Held()
+    job.handle = SimpleNamespace(listTimers=list, registerTimer=lambda _: None)
+    day = 86_400_000_000
+    new = pd.DataFrame({"transaction_id": [f"t{i}" for i in range(50)], "us": 20_000 * day + np.arange(50) * day // 2, "amount": 1.5, "merchant_id": "m"})
+    got = pd.concat(job.handleInputRows(("u",), iter([new]), None))
+    assert got.txn_count_24h.tolist() == [0, 1] + [2] * 48 and asked == []
+    kept = set(job.totals)
+    # What is stored and too old goes, with its details.
+    later = new.tail(1).assign(us=20_000 * day + 100 * day)
+    assert pd.concat(job.handleInputRows(("u",), iter([later]), None)).txn_count_24h.tolist() == [0]
+    assert kept and set(job.totals) == set(job.details) and not kept & set(job.totals)
+
+
 def test_windows_stream_equals_batch_and_drops_late_rows(spark, tmp_path):
     src, out, cp = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
     batches = [
