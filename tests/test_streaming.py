@@ -541,3 +541,22 @@ def test_live_counters_equal_the_batch(spark, tmp_path):
     assert set(live.fold_live(spark, base, keep=1)) == set(live.TABLES)
     want = live.totals(batch, "verdict_counters")
     assert rows_of(live.read_live(spark, base, "verdict_counters"), *want.columns) == rows_of(want, *want.columns)
+
+
+@pytest.mark.parametrize("name", ["stream_verdict_once", "live_verdict_counters", "live_latency_histogram"])
+def test_deliveries_share_the_features(spark, monkeypatch, name):
+    """The messages of all deliveries are made of stored rows, and travel compressed."""
+    from risklake.plans import catalog
+    from tests.conftest import SF_DIR
+
+    read, publish = [], messages.publish
+
+    def watched(sent, path, *args, **options):
+        # Batches of the streams themselves go elsewhere.
+        read.extend(sent.inputFiles() if path.endswith("/topic") else [])
+        publish(sent, path, *args, **options)
+        read.extend(f for f in spark.read.text(path, recursiveFileLookup=True).inputFiles() if not f.endswith(".gz"))
+
+    monkeypatch.setattr(messages, "publish", watched)
+    assert not catalog.queries()[name](spark, SF_DIR).isEmpty()
+    assert read and all("/enriched-" in f for f in read)
