@@ -560,3 +560,11 @@ def test_deliveries_share_the_features(spark, monkeypatch, name):
     monkeypatch.setattr(messages, "publish", watched)
     assert not catalog.queries()[name](spark, SF_DIR).isEmpty()
     assert read and all("/enriched-" in f for f in read)
+
+
+def test_both_readers_of_the_mixed_topic_share_the_features(spark):
+    from risklake.plans import catalog
+    from tests.conftest import SF_DIR
+
+    files = catalog.queries()["mixed_topic"](spark, SF_DIR).inputFiles()
+    assert files and all("/enriched-" in f for f in files)
