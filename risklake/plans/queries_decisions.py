@@ -708,16 +708,18 @@ def model_scores(spark, sf_dir):
     row, so that the model sees nothing later than the row itself."""
     txns = ev.transactions(spark, sf_dir)
     known = enrich.enrich_history(txns, behavioral.daily_profiles(txns), ev.fraud_labels(txns), ev.ip_reputation(txns))
+    # Trees read their input many times, and the other rows are scored: the features are computed once.
     rows = known.select(
         F.col("transaction_id").alias("record_id"), F.col("is_fraud").cast("int").alias("label"),
         *_MODEL_FEATURES,
-    )
+    ).persist()
     cfg = TrainingConfig(trees=5, depth=3)
     learn, rest = training.split(rows, cfg)
-    # Trees read their input many times; the features are computed once.
-    model = training.train(learn.persist(), _MODEL_FEATURES, cfg)
-    learn.unpersist()
-    return training.predict(rest, model, _MODEL_FEATURES).select("record_id", "label", "fraud_probability")
+    model = training.train(learn, _MODEL_FEATURES, cfg)
+    scores = training.predict(rest, model, _MODEL_FEATURES).select("record_id", "label", "fraud_probability")
+    scores = stored(scores, "scores")
+    rows.unpersist()
+    return scores
 
 
 _SHARE = "CAST('0x' || substr(md5(transaction_id || '|42'), 1, 8) AS BIGINT) % 100"

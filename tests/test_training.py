@@ -79,3 +79,13 @@ def test_retrain_promotes_a_good_model(records, tmp_path):
 def test_poor_model_is_not_promoted(records, tmp_path):
     assert not training.promote(None, {"roc_auc": 0.89}, str(tmp_path / "m"))
     assert not (tmp_path / "m").exists()
+
+
+def test_learning_and_scoring_share_the_features(spark):
+    """The scores are stored; reading them computes no features again."""
+    from risklake.plans import catalog
+
+    scores = catalog.queries()["model_scores"](spark, "/root/testdata/sf0.01")
+    files = scores.inputFiles()
+    assert files and all("/scores-" in f for f in files)
+    assert scores.columns == ["record_id", "label", "fraud_probability"] and not scores.isEmpty()
