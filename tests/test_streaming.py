@@ -523,6 +523,29 @@ def test_first_writes_go_on_after_a_restart_without_reading_the_table(spark, tmp
     assert sorted(int(r.batch_id) for r in spark.read.parquet(table).select("batch_id").distinct().collect()) == [4, 5, 6, 7]
 
 
+def test_first_writes_pick_a_tasks_keys_at_once_and_leave_the_state_to_spark(spark, tmp_path, monkeypatch):
+    """Python sees no single key, and a task drops rows while they come: nulls first, not-a-number last, copies once."""
+    monkeypatch.setattr(first_write, "GATHER_ROWS", 7)
+    src, table, cp = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "cp")
+    schema = "k string, v double, n int, m array<string>"
+    rng = np.random.default_rng(5)
+    rows = [("hot", float(v), n, [str(n)]) for n, v in enumerate(rng.integers(1, 50, 200))] + [("hot", 0.5, n, None) for n in (9, 8, 8)]
+    rows += [(k, v, n, None) for k in ("a", None) for n, v in enumerate([2.0, float("nan"), 1.0])]
+    rows += [("none", v, 0, []) for v in (-1.0, None, float("nan"))] + [("nan", float("nan"), n, None) for n in (4, 3)]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    lines = [{"k": k, "v": "NaN" if v is not None and np.isnan(v) else v, "n": n, "m": m} for k, v, n, m in rows]
+    for part in range(2):  # the second delivers everything again
+        send(src, str(part), lines)
+    said = messages.read_messages_stream(spark, str(src), max_per_trigger=1).select(F.from_json("value", schema).alias("r")).select("r.*")
+    query = first_write.start_first_writes(said, table, "k", ["v", F.col("n")], cp, ONCE)
+    finish(query)
+    got = sorted(((r.k, r.v, r.n) for r in spark.read.parquet(table).collect()), key=str)
+    want = [("a", 1.0, 2), (None, 1.0, 2), ("hot", 0.5, 8), ("none", None, 0), ("nan", float("nan"), 3)]
+    assert str(got) == str(sorted(want, key=str))
+    plan = query._jsq.explainInternal(True)
+    assert "StreamingDeduplicate" in plan and "TransformWithState" not in plan
+
+
 def test_live_counters_equal_the_batch(spark, tmp_path):
     src, base = tmp_path / "in", str(tmp_path / "lake")
     rng, agents = np.random.default_rng(2), ["velocity", "network", "supervisor"]
