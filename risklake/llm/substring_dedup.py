@@ -249,7 +249,9 @@ def _settle(found: DataFrame, place: tuple[str, ...], fetch, level: int = 0) ->
     crowded = fetched.where("many")
     if level < len(FINER) and not crowded.isEmpty():
         own = lambda w: w.select(*_IDENTITY, F.col("owner.id").alias("id"), "many", "words")
-        finer = _settle(_cut(crowded, level), ("p_anchor", "p_hash", "p_windows"), own, level + 1)
+        # Read twice, to find what is shared and to take it.
+        pieces = cut_lineage(_cut(crowded, level))
+        finer = _settle(pieces, ("p_anchor", "p_hash", "p_windows"), own, level + 1)
         names = {f"p_{c}": c for c in _IDENTITY} | {"pos": "start"}
         stretches = stretches.unionByName(finer.withColumnsRenamed(names))
     # Later holders of a segment lose it whole; of its smallest document every place counts.

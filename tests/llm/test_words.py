@@ -110,6 +110,38 @@ def test_a_passage_in_very_many_documents(spark, monkeypatch):
     assert made and made[0][1] < 16 * made[0][0]
 
 
+def test_crowded_anchors_are_cut_once_and_in_proportion(spark, monkeypatch):
+    """Twice the documents around a passage make at most about twice the pieces of a level; none is made again."""
+    monkeypatch.setattr(substring_dedup, "GROUP_SEGMENTS", 32)
+    rng = np.random.default_rng(11)
+    own = lambda n: [f"w{rng.integers(10**9)}" for _ in range(n)]
+    rows = [(i, " ".join(own(20 + i % 20) + [f"p{k}" for k in range(i % 7, 65)] + own(30))) for i in range(600)]
+    cut, run, needed = substring_dedup._cut, {}, {}
+
+    def counted(fetched, level):
+        needed[level] = cut(fetched, level).count()
+        made = run[level] = spark.sparkContext.accumulator(0)
+
+        def count(batches):
+            for batch in batches:
+                made.add(batch.num_rows)
+                yield batch
+
+        pieces = cut(fetched, level)
+        return pieces.mapInArrow(count, pieces.schema)
+
+    monkeypatch.setattr(substring_dedup, "_cut", counted)
+    first = []
+    for n in (300, 600):
+        run.clear(), needed.clear()
+        docs = spark.createDataFrame(rows[:n], "doc_id long, text string").repartition(4)
+        got = substring_dedup.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_text").collect()
+        assert sorted(map(tuple, got), key=repr) == kept_words(rows[:n])
+        assert needed and {k: m.value for k, m in run.items()} == needed
+        first.append(needed[0])
+    assert first[1] < 2.3 * first[0]
+
+
 def shingles(text):
     w = SPACED.findall((text or "").translate(LOWER))
     return {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()}
