@@ -80,8 +80,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row's text, a null one as empty, with the digests of the ids and of what they decode to."""
     prepare(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    return digest_ids(byte_bpe.decode(encoded, path), "ids")
+    return digest_ids(byte_bpe.encode_and_decode(docs.select("doc_id", "text"), path, public_tokenizers.PATTERN), "ids")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -12,7 +12,7 @@ import base64
 import heapq
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -163,6 +163,40 @@ def _columns(df: DataFrame, *drop: str) -> list[str]:
     return [f"`{n}` {t}" for n, t in df.dtypes if n not in drop]
 
 
+def _encoding(path: str, kept: list[str], text_col: str, ids_col: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    memory = _memory(path)
+    for batch in batches:
+        for block in blocks(batch, text_col):
+            cut = Pretokens(*utf8(block.column(text_col)))
+            pieces, which = cut.distinct()
+            found = memory.values(pieces)
+            size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            known = np.frombuffer(b"".join(found), np.int32)
+            first, size = (np.cumsum(size) - size)[which], size[which]
+            ends = np.concatenate([[0], np.cumsum(size)])
+            at = np.repeat(first - ends[:-1], size) + np.arange(ends[-1])
+            ids = pa.ListArray.from_arrays(pa.array(ends[cut.rows].astype(np.int32)), pa.array(known[at]))
+            yield pa.record_batch({n: block.column(n) for n in kept} | {ids_col: ids})
+
+
+def _decoding(path: str, kept: list[str], ids_col: str, bytes_col: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    known = _pieces(path)
+    for batch in batches:
+        for start in range(0, batch.num_rows, 256):
+            part = batch.slice(start, 256)
+            lists = part.column(ids_col)
+            size = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            data, stop = known.decode(lists.flatten().to_numpy())
+            ends = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(size)])]
+            texts = [data[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+            yield pa.record_batch({n: part.column(n) for n in kept} | {bytes_col: pa.array(texts, pa.binary())})
+
+
+def _known(pattern: str) -> None:
+    if pattern != PATTERN:
+        raise ValueError("only the byte-level pattern is known")
+
+
 def encode(docs: DataFrame, path: str, pattern: str = PATTERN, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """All columns of ``docs`` but ``text_col``, and ``ids_col``: the ids of the whole text.
 
@@ -170,46 +204,34 @@ def encode(docs: DataFrame, path: str, pattern: str = PATTERN, text_col: str = "
     no ids, like an empty one. A column already called ``ids_col`` is replaced. Only the usual
     byte-level ``pattern`` is known.
     """
-    if pattern != PATTERN:
-        raise ValueError("only the byte-level pattern is known")
+    _known(pattern)
     source = docs.drop(ids_col) if ids_col != text_col else docs
     kept = [n for n in source.columns if n != text_col]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = _memory(path)
-        for batch in batches:
-            for block in blocks(batch, text_col):
-                cut = Pretokens(*utf8(block.column(text_col)))
-                pieces, which = cut.distinct()
-                found = memory.values(pieces)
-                size = np.fromiter(map(len, found), np.int64, len(found)) // 4
-                known = np.frombuffer(b"".join(found), np.int32)
-                first, size = (np.cumsum(size) - size)[which], size[which]
-                ends = np.concatenate([[0], np.cumsum(size)])
-                at = np.repeat(first - ends[:-1], size) + np.arange(ends[-1])
-                ids = pa.ListArray.from_arrays(pa.array(ends[cut.rows].astype(np.int32)), pa.array(known[at]))
-                yield pa.record_batch({n: block.column(n) for n in kept} | {ids_col: ids})
-
     schema = ", ".join([*_columns(source, text_col), f"`{ids_col}` array<int>"])
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(partial(_encoding, path, kept, text_col, ids_col), schema)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """All columns of ``encoded`` and ``bytes_col``: the bytes of the ids; null ids give none.
     A column already called ``bytes_col`` is replaced."""
     source = encoded.drop(bytes_col)
-    kept = source.columns
+    schema = ", ".join([*_columns(source), f"`{bytes_col}` binary"])
+    return source.mapInArrow(partial(_decoding, path, source.columns, ids_col, bytes_col), schema)
+
+
+def encode_and_decode(
+    docs: DataFrame, path: str, pattern: str = PATTERN, text_col: str = "text", ids_col: str = "ids", bytes_col: str = "decoded"
+) -> DataFrame:
+    """What ``decode`` makes of ``encode``'s rows, both in one worker: one after the other they would take
+    two Python workers a task, each with the tables and what it has met."""
+    _known(pattern)
+    source = docs.drop(*{ids_col, bytes_col} - {text_col})
+    kept = [n for n in source.columns if n != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _pieces(path)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                lists = part.column(ids_col)
-                size = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                data, stop = known.decode(lists.flatten().to_numpy())
-                ends = np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(size)])]
-                texts = [data[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-                yield pa.record_batch({n: part.column(n) for n in kept} | {bytes_col: pa.array(texts, pa.binary())})
-
-    return source.mapInArrow(run, ", ".join([*_columns(source), f"`{bytes_col}` binary"]))
+        encoded = _encoding(path, kept, text_col, ids_col, batches)
+        yield from _decoding(path, [*kept, ids_col], ids_col, bytes_col, encoded)
+        # A worker outlives its task, beside the next one's: what Arrow holds for later goes back.
+        pa.default_memory_pool().release_unused()
+
+    return source.mapInArrow(run, ", ".join([*_columns(source, text_col), f"`{ids_col}` array<int>, `{bytes_col}` binary"]))

@@ -80,8 +80,8 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    return digest_ids(byte_bpe.decode(encoded, path))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digest_ids(byte_bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN))
 
 
 def digest_ids(decoded: DataFrame, *more: str) -> DataFrame:

@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from risklake.llm import byte_bpe, chat_format, html_extract, language_id, quality_classifier, token_counts
+from risklake.llm.queries import QUERIES
 
 JSON = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -49,6 +50,21 @@ def test_bpe_ids_are_the_library_s_and_decode(odd_texts):
         assert bytes(r.decoded) == (r.plain or "").encode()
 
 
+def test_bpe_round_trip_takes_one_python_worker_a_task(spark, odd_texts):
+    rows = odd_texts.withColumn("decoded", F.lit("clash"))
+    both = byte_bpe.encode_and_decode(rows, RANKS)
+    apart = byte_bpe.decode(byte_bpe.encode(rows, RANKS), RANKS)
+    assert both.dtypes == [("doc_id", "bigint"), ("n_tokens", "string"), ("ids", "array<int>"), ("decoded", "binary")]
+    assert sorted(map(repr, both.collect())) == sorted(repr(r) for r in apart.select(both.columns).collect())
+    alone = byte_bpe.encode_and_decode(odd_texts.select("text"), RANKS, bytes_col="text")
+    assert sorted(bytes(r.text) for r in alone.collect()) == sorted((r.text or "").encode() for r in odd_texts.collect())
+    with pytest.raises(ValueError):
+        byte_bpe.encode_and_decode(rows, RANKS, "other")
+    tokens = corpus_pipeline.tokenize(spark, odd_texts.select("doc_id", "text"), DATA)
+    for made in (both, tokens, QUERIES["op6_byte_bpe"](spark, DATA)):
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_perfect_hash_is_minimal():
     keys = [str(i).encode() for i in range(5000)]
     table = byte_bpe.PerfectHash(keys, list(range(5000)))
