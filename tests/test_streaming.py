@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import pickle
 import time
 from types import SimpleNamespace
 
@@ -378,6 +379,39 @@ def test_a_group_of_transactions_costs_one_state_access(spark):
     assert [(g.transaction_id, g.late) for g in told] == [("t0", True)]
 
 
+def test_verdicts_travel_in_packs(spark):
+    """Spark hands the collector a row per group and time, not one per verdict, and gets one for all that a group gives out."""
+    agents = ["velocity", "geolocation", "behavioral", "network"]
+    schema = "bucket long, event_time timestamp, transaction_id string, agent_type string, risk_score double, reasoning string, latency_ms double, arrival long, print long"
+    rows = [
+        (i % 5, None if i == 7 else T0 + dt.timedelta(microseconds=i % 3), None if i == 3 else f"t{i}", a, None if i == 4 else i / 64, "r" * (i % 2), 1.0, i, i)
+        for i in range(40) for a in [*agents, "supervisor", None]
+    ]
+    sent = spark.createDataFrame(rows, schema).coalesce(1)
+    packs = collector.packed(sent, ["bucket", "event_time"])
+    got = packs.select("bucket", F.unix_micros("event_time"), "pack").collect()
+    assert len(got) == len({(b, us) for b, us, _ in got}) == 16
+    heard = sent.where(F.col("agent_type").isin(agents)).select("bucket", F.unix_micros("event_time"), *collector.TAKEN).collect()
+    assert sorted(map(str, ((b, us, *v) for b, us, pack in got for v in pickle.loads(pack)))) == sorted(map(str, map(tuple, heard)))
+
+    def given(kind, rows_of):
+        out = []
+        for bucket in range(5):
+            job, handle = kind(4, 1000, "event", 50_000), StubHandle()
+            job.handle, job.held = handle, handle.held
+            for now in (0, 1000):
+                at = SimpleNamespace(getCurrentWatermarkInMs=lambda now=now: now)
+                out += job.handleInputRows((bucket,), iter(rows_of(bucket)), at)
+            out += job.handleExpiredTimer((bucket,), at, SimpleNamespace(getExpiryTimeInMs=lambda: max(handle.listTimers())))
+        return out
+
+    plain = given(collector.VerdictCollector, lambda b: [SimpleNamespace(**dict(zip(collector.TAKEN, r[2:]))) for r in heard if r[0] == b])
+    by_pack = given(collector.PackedCollector, lambda b: [g for g in got if g["bucket"] == b])
+    assert len(by_pack) == 5 and len(plain) == 40
+    back = collector.unpacked(spark.createDataFrame([(g.pack,) for g in by_pack], "pack binary")).collect()
+    assert sorted(map(str, back)) == sorted(map(str, plain))
+
+
 def test_stragglers_and_conflicts_over_restarts(spark, tmp_path):
     """Three verdicts time out, then the fourth comes: it is told apart, and the decision stands."""
     src, base = tmp_path / "in", str(tmp_path / "lake")
