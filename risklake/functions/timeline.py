@@ -57,11 +57,12 @@ def sliced(
     inside = Window.partitionBy(*keys, "_slice").orderBy("_us")
     before, seen = inside.rowsBetween(START, -1), inside.rowsBetween(START, NOW if inclusive else -1)
     across = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(START, -1)
-    carried = at.groupBy(*keys, "_slice").agg(*merged).select(
-        *keys, "_slice",
+    # A slice that doesn't ask has done its part once it is summed up; it need not move to where it would be looked up.
+    carried = at.groupBy(*keys, "_slice").agg(F.max("_asks").alias("_asks"), *merged).select(
+        *keys, "_slice", "_asks",
         *[F.sum(m).over(across).alias(f"_carry_{m}") for m in sums],
         *[F.max(v).over(across).alias(f"_carry_{v}") for v in lasts],
-    )
+    ).filter("_asks").drop("_asks")
     scanned = instants.select(
         *keys, "_us", "_slice", "_asks", *[F.sum(m).over(before).alias(m) for m in sums], *[F.max(v).over(seen).alias(v) for v in lasts],
     ).filter("_asks")

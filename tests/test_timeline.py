@@ -274,3 +274,12 @@ def test_plans_move_a_user_s_rows_a_few_times_only(txns):
     assert plan(velocity.idle_reset_counters(txns)).count("Exchange hash") <= 12
     full = enrich.enrich_history(txns, behavioral.behavioral_features(txns), ev.fraud_labels(txns), ev.ip_reputation(txns))
     assert plan(full).count("Scan parquet") <= 20
+
+
+def test_what_is_not_asked_for_moves_no_further(spark, dense):
+    """Slices that don't ask are left out once they are summed up, and a day isn't moved once for each day it counts for."""
+    asking = velocity.velocity_at(velocity.on_timeline(dense), VelocityConfig())._jdf.queryExecution().executedPlan().toString()
+    # In the scan of the instants, and in the slices that are looked up.
+    assert sum("Filter" in line and "_asks#" in line for line in asking.splitlines()) == 2
+    days = behavioral.daily_profiles(dense)._jdf.queryExecution().executedPlan().toString()
+    assert 0 <= days.index("Generate explode") < days.index("Exchange hashpartitioning(user_id")
